@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ventana.functions.exprs import col, nan_to_null, numeric_columns, pearson
+from ventana.functions.exprs import col, nan_to_null, numeric_columns, q
 
 STAT_COLUMNS = ["column_name", "mean", "std_dev", "min", "q1", "median", "q3", "max",
                 "iqr", "skewness", "kurtosis"]
@@ -118,26 +118,70 @@ def shape_and_types(df: DataFrame) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Pairwise-complete Pearson for every pair ``i <= j`` in one
-    aggregate (p(p+1)/2 expressions, no shuffle of rows), returned long as
-    ``(column_a, column_b, corr)``; the diagonal is 1, or NULL when constant."""
+    """Pairwise-complete Pearson for every pair ``i <= j``, long as
+    ``(column_a, column_b, corr)``; the diagonal is 1, or NULL when constant.
+
+    Two aggregate passes and no shuffle of rows: pass 1 gets each column's
+    mean, null count and range (3p numbers); pass 2 sums products of the
+    mean-shifted values (shifting keeps the sums well conditioned). Pairs of
+    null-free columns need one product sum; pairs touching a column with
+    NULLs carry masked sums so each pair uses only its complete rows.
+    The O(p^2) expressions are handed to the JVM as SQL text in one call
+    each, which keeps plan construction fast for wide frames.
+    """
     cols = analysis_columns(df, columns)
-    base = df.select(*[nan_to_null(col(c).cast("double")).alias(c) for c in cols])
-    exprs, pairs = [], []
+    k = len(cols)
+    base = df.selectExpr(*[f"CASE WHEN isnan(CAST({q(c)} AS DOUBLE)) THEN NULL ELSE CAST({q(c)} AS DOUBLE) END "
+                           f"AS _x{i}" for i, c in enumerate(cols)])
+    p1 = base.selectExpr(
+        "count(1) AS _n", *[f"avg(_x{i}) AS _mu{i}" for i in range(k)],
+        *[f"count(_x{i}) AS _nn{i}" for i in range(k)],
+        *[f"min(_x{i}) = max(_x{i}) AS _k{i}" for i in range(k)]).collect()[0]
+    n_all = p1["_n"]
+    mu = [p1[f"_mu{i}"] if p1[f"_mu{i}"] is not None else 0.0 for i in range(k)]
+    full = [p1[f"_nn{i}"] == n_all for i in range(k)]
+    const = [p1[f"_k{i}"] is not False for i in range(k)]
+    x = [f"(_x{i} - ({mu[i]!r}D))" for i in range(k)]
+    aggs = []
+    for i in range(k):
+        aggs += [f"sum({x[i]}) AS _s{i}", f"sum({x[i]} * {x[i]}) AS _ss{i}"]
+    for i in range(k):
+        for j in range(i + 1, k):
+            if const[i] or const[j]:
+                continue
+            if full[i] and full[j]:
+                aggs.append(f"sum({x[i]} * {x[j]}) AS _p{i}_{j}")
+            else:
+                m = f"(_x{i} IS NOT NULL AND _x{j} IS NOT NULL)"
+                xi, xj = f"IF({m}, {x[i]}, NULL)", f"IF({m}, {x[j]}, NULL)"
+                aggs += [f"count_if({m}) AS _n{i}_{j}", f"sum({xi}) AS _a{i}_{j}", f"sum({xj}) AS _b{i}_{j}",
+                         f"sum({xi} * {xi}) AS _aa{i}_{j}", f"sum({xj} * {xj}) AS _bb{i}_{j}",
+                         f"sum({xi} * {xj}) AS _p{i}_{j}"]
+    one = base.selectExpr(*aggs)
+
+    def pearson_from(nn, sa, sb, saa, sbb, sab):
+        va = f"({saa} - {sa} * {sa} / {nn})"
+        vb = f"({sbb} - {sb} * {sb} / {nn})"
+        cov = f"({sab} - {sa} * {sb} / {nn})"
+        return f"CASE WHEN {va} > 0 AND {vb} > 0 THEN {cov} / sqrt({va} * {vb}) END"
+
+    def lit(s):
+        return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    rows = []
     for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            b = cols[j]
-            name = f"_c{i}_{j}"
+        for j in range(i, k):
             if i == j:
-                e = F.when(F.stddev_pop(col(a)) > 0, F.lit(1.0))
+                e = "CAST(NULL AS DOUBLE)" if const[i] else "1.0D"
+            elif const[i] or const[j]:
+                e = "CAST(NULL AS DOUBLE)"
+            elif full[i] and full[j]:
+                e = pearson_from(f"{float(n_all)!r}D", f"_s{i}", f"_s{j}", f"_ss{i}", f"_ss{j}", f"_p{i}_{j}")
             else:
-                e = pearson(col(a), col(b))
-            exprs.append(e.alias(name))
-            pairs.append((a, b, name))
-    one = base.agg(*exprs)
-    rows = F.inline(F.array(*[F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
-                                       F.col(n).cast("double").alias("corr")) for a, b, n in pairs]))
-    return one.select(rows)
+                e = pearson_from(f"CAST(_n{i}_{j} AS DOUBLE)", f"_a{i}_{j}", f"_b{i}_{j}", f"_aa{i}_{j}",
+                                 f"_bb{i}_{j}", f"_p{i}_{j}")
+            rows.append(f"struct({lit(a)} AS column_a, {lit(cols[j])} AS column_b, CAST({e} AS DOUBLE) AS corr)")
+    return one.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def categorical_cardinality(df: DataFrame, approx: bool = False) -> DataFrame:
