@@ -188,7 +188,8 @@ def mlp_fitted(theta, shapes, act, features, name, expr_limit: int = 4000) -> Fi
                     nxt.append(z)
                 h = nxt
             return h[0]
-        return ExprFitted(expr, features, name, state={"theta": theta.tolist(), "act": act})
+        return ExprFitted(expr, features, name, state={"theta": theta.tolist(), "act": act,
+                                                      "shapes": [list(x) for x in shapes]})
     return _ArrowMLP(theta, shapes, act, features, name)
 
 

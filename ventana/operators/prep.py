@@ -263,10 +263,10 @@ class FeaturePrepModel:
     scaler_params: list[tuple] = field(default_factory=list)
     passthrough: list[str] = field(default_factory=list)
 
-    def transform(self, df: DataFrame, fit_stats: bool | None = None) -> DataFrame:
+    def transform(self, df: DataFrame, fit_stats: bool | None = None, keep: list[str] | None = None) -> DataFrame:
         cfg = self.config
         df = normalize_column_names(df)
-        keep = [c for c in self.passthrough if c in df.columns]
+        keep = [c for c in self.passthrough + list(keep or []) if c in df.columns]
         missing = [c for c in self.features if c not in df.columns]
         if missing:
             raise ValueError(f"Missing feature columns: {missing}")
@@ -345,8 +345,9 @@ class FeaturePrep:
         passthrough = [c.lower() for c in self.passthrough]
         model = FeaturePrepModel(self.config, feats, {}, [], passthrough)
         train = model.transform(df, fit_stats=True)
-        if self.config.stats_from == "train":
-            model.stats = column_params(normalize_column_names(df).select(*feats), feats, self.config.accuracy)
+        # statistics of the raw training features, reused when scoring rows
+        # that carry no statistics of their own (one request, a stream batch)
+        model.stats = column_params(normalize_column_names(df).select(*feats), feats, self.config.accuracy)
         sp = fit_scaler(train, self.config.feature_scaling or "", feats, accuracy=self.config.accuracy)
         model.scaler_params = [tuple(r) for r in sp.collect()]
         return model
