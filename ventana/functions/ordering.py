@@ -49,7 +49,12 @@ def ordered_chunks(df: DataFrame, order_by: list[str], partition_by: list[str] |
     out = ranged.withColumn(CHUNK, F.spark_partition_id()) \
                 .withColumn(POS, F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)))
     checkpoint_dir(df.sparkSession)
-    return out.checkpoint(eager=True)
+    # persist first: a reliable checkpoint otherwise computes its input twice
+    # (once for the action, once to write the files)
+    out = out.persist()
+    ck = out.checkpoint(eager=True)
+    out.unpersist()
+    return ck
 
 
 def global_row_index(df: DataFrame, order_by: list[str], name: str = "row_idx",
@@ -80,21 +85,24 @@ def fill_forward_backward(df: DataFrame, columns: list[str], order_by: list[str]
         summ_aggs.append(F.max_by(col(c), F.when(ok, sk)).alias(f"_l{i}"))
         summ_aggs.append(F.min_by(col(c), F.when(ok, sk)).alias(f"_f{i}"))
     summ = ch.groupBy(*[col(c) for c in gk]).agg(*summ_aggs)
-    wb = Window.partitionBy(*[col(c) for c in part]).orderBy(CHUNK) if part else Window.orderBy(CHUNK)
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    after = wb.rowsBetween(1, Window.unboundedFollowing)
+    # Only growing frames (unbounded preceding .. current/-1): Spark evaluates
+    # an unbounded-FOLLOWING frame in O(n^2) per partition, so the backward
+    # direction is a forward scan in descending order.
+    pw = Window.partitionBy(*[col(c) for c in part]) if part else Window
+    before = pw.orderBy(F.col(CHUNK).asc()).rowsBetween(Window.unboundedPreceding, -1)
+    after = pw.orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = summ.select(*[col(c) for c in gk],
                         *[F.last(f"_l{i}", ignorenulls=True).over(before).alias(f"_cl{i}") for i in range(len(columns))],
-                        *[F.first(f"_f{i}", ignorenulls=True).over(after).alias(f"_cf{i}") for i in range(len(columns))])
+                        *[F.last(f"_f{i}", ignorenulls=True).over(after).alias(f"_cf{i}") for i in range(len(columns))])
     j = ch.join(carry, gk, "left")
-    wr = Window.partitionBy(*[col(c) for c in gk]).orderBy(POS)
-    upto = wr.rowsBetween(Window.unboundedPreceding, 0)
-    fromh = wr.rowsBetween(0, Window.unboundedFollowing)
+    wr = Window.partitionBy(*[col(c) for c in gk])
+    upto = wr.orderBy(F.col(POS).asc()).rowsBetween(Window.unboundedPreceding, 0)
+    fromh = wr.orderBy(F.col(POS).desc()).rowsBetween(Window.unboundedPreceding, 0)
     filled = {}
     for i, c in enumerate(columns):
         fwd = F.coalesce(F.last(col(c), ignorenulls=True).over(upto), F.col(f"_cl{i}"))
         if backward:
-            fwd = F.coalesce(fwd, F.first(col(c), ignorenulls=True).over(fromh), F.col(f"_cf{i}"))
+            fwd = F.coalesce(fwd, F.last(col(c), ignorenulls=True).over(fromh), F.col(f"_cf{i}"))
         filled[c] = fwd
     out = j.select(*[filled[c].alias(c) if c in filled else col(c) for c in df.columns])
     return out

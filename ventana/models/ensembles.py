@@ -108,7 +108,7 @@ class AdaBoostR2(Spec):
         depth = int(self.params.get("max_depth", 3))
         every = int(self.params.get("checkpoint_every", 5))
         checkpoint_dir(df.sparkSession)
-        cur = df.select(*[F.col(f"`{c}`") for c in features], F.col(label), F.lit(1.0).alias("_w"))
+        cur = df.select(*[F.col(f"`{c}`") for c in features], F.col(label), F.lit(1.0).alias("_w")).persist()
         cur = cur.checkpoint(eager=True)
         trees, weights, cached = [], [], []
         for t in range(n_est):
@@ -143,7 +143,7 @@ class AdaBoostR2(Spec):
             tot = scored.agg(F.sum(nw).alias("s")).collect()[0]["s"] or 1.0
             cur = scored.select(*[F.col(f"`{c}`") for c in features], F.col(label), (nw / F.lit(tot)).alias("_w"))
             if (t + 1) % every == 0:  # cut the lineage in the shared checkpoint folder
-                cur = cur.checkpoint(eager=True)
+                cur = cur.persist().checkpoint(eager=True)
                 for c in cached:
                     c.unpersist()
                 cached = []

@@ -263,7 +263,11 @@ class FeaturePrepModel:
     scaler_params: list[tuple] = field(default_factory=list)
     passthrough: list[str] = field(default_factory=list)
 
-    def transform(self, df: DataFrame, fit_stats: bool | None = None, keep: list[str] | None = None) -> DataFrame:
+    def transform(self, df: DataFrame, fit_stats: bool | None = None, keep: list[str] | None = None,
+                  stats: dict | None = None) -> DataFrame:
+        """``fit_stats``: compute imputation/outlier statistics on this frame
+        (the source's behaviour) instead of using the stored ones; ``stats``
+        passes statistics already computed on exactly this frame."""
         cfg = self.config
         df = normalize_column_names(df)
         keep = [c for c in self.passthrough + list(keep or []) if c in df.columns]
@@ -273,23 +277,34 @@ class FeaturePrepModel:
         x = df.select(*[col(c) for c in keep], *[col(c).cast("double").alias(c) for c in self.features])
         frame_stats = cfg.stats_from == "frame" if fit_stats is None else fit_stats
         feats = self.features
-        st = column_params(x, feats, cfg.accuracy) if frame_stats else self.stats
+        if stats is not None:
+            st = stats
+        else:
+            st = column_params(x, feats, cfg.accuracy) if frame_stats else self.stats
         method = missing_policy(cfg.handle_missing_values)
+        imputed = False
         if method in ("mean", "median"):
             x = impute(x, method, feats, st)
+            imputed = True
         elif method in ("forward_fill", "ffill"):
             if not cfg.order_by:
                 raise ValueError("forward_fill needs PrepConfig.order_by")
             x = forward_back_fill(x, list(cfg.order_by), feats)
+            imputed = True
         if cfg.outlier_method:
-            st2 = column_params(x, feats, cfg.accuracy) if frame_stats else st
+            st2 = column_params(x, feats, cfg.accuracy) if frame_stats and stats is None else st
             if cfg.outlier_method == "iqr":
                 x = iqr_winsorise(x, feats, cfg.outlier_threshold, st2)
             elif cfg.outlier_method == "zscore":
                 x = zscore_replace(x, feats, cfg.outlier_threshold, st2)
         x = clip_negative(x, feats)
-        st3 = column_params(x, feats) if frame_stats else st
-        x = residual_fill(x, feats, st3)
+        if imputed:
+            # after imputation only all-NULL columns still hold NULLs, and
+            # their mean is NULL too: D4 reduces to 0, no statistics needed
+            x = _apply(x, {c: F.coalesce(col(c), F.lit(0.0)) for c in feats})
+        else:
+            st3 = column_params(x, feats) if frame_stats else st
+            x = residual_fill(x, feats, st3)
         if self.scaler_params:
             x = apply_scaler(x, [dict(zip(["column_name", "method", "center", "scale"], r))
                                  for r in self.scaler_params])
@@ -341,20 +356,21 @@ class FeaturePrep:
         return body.columns
 
     def fit(self, df: DataFrame) -> FeaturePrepModel:
+        """Two passes over ``df``: raw per-column statistics (kept for
+        scoring rows that have none of their own), then the scaler
+        statistics of the prepared features."""
         feats = self.select_features(df)
         passthrough = [c.lower() for c in self.passthrough]
         model = FeaturePrepModel(self.config, feats, {}, [], passthrough)
-        train = model.transform(df, fit_stats=True)
-        # statistics of the raw training features, reused when scoring rows
-        # that carry no statistics of their own (one request, a stream batch)
         model.stats = column_params(normalize_column_names(df).select(*feats), feats, self.config.accuracy)
+        train = model.transform(df, fit_stats=True, stats=model.stats)
         sp = fit_scaler(train, self.config.feature_scaling or "", feats, accuracy=self.config.accuracy)
         model.scaler_params = [tuple(r) for r in sp.collect()]
         return model
 
     def fit_transform(self, df: DataFrame) -> tuple[FeaturePrepModel, DataFrame]:
         m = self.fit(df)
-        return m, m.transform(df, fit_stats=True)
+        return m, m.transform(df, fit_stats=True, stats=m.stats)
 
 
 __all__ = ["column_params", "impute", "forward_back_fill", "residual_fill", "missing_policy",
