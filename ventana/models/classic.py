@@ -86,26 +86,30 @@ def _rff_columns(features: list[str], gamma: float, n_components: int, seed: int
     return [(F.lit(s) * F.cos(lincomb(features, W[k], b[k]))).alias(f"_rff{k}") for k in range(n_components)], (W, b)
 
 
-def _svr_local(X, y, w, b, C, eps, n_total, epochs, lr, seed):
-    """Local SGD on one partition's rows for the epsilon-insensitive loss
-    with the global regulariser weight 1/(C n)."""
+def _svr_local(X, y, w, b, C, eps, n_total, epochs, lr, seed, batch: int = 64):
+    """Local mini-batch sub-gradient descent on one partition's rows for the
+    epsilon-insensitive loss with the global regulariser weight 1/(C n);
+    each step is vectorised over ``batch`` rows (numpy)."""
     rng = np.random.default_rng(seed)
     n = len(y)
     lam = 1.0 / (C * n_total)
     t = 0
     for _ in range(epochs):
-        for i in rng.permutation(n):
+        order = rng.permutation(n)
+        for s in range(0, n, batch):
+            idx = order[s:s + batch]
+            xb = X[idx]
             t += 1
             eta = lr / np.sqrt(t)
-            r = y[i] - (X[i] @ w + b)
-            sg = 1.0 if r > eps else (-1.0 if r < -eps else 0.0)
-            w = w - eta * (lam * w - sg * X[i])
-            b = b + eta * sg
+            r = y[idx] - (xb @ w + b)
+            sg = np.where(r > eps, 1.0, np.where(r < -eps, -1.0, 0.0))
+            w = w - eta * (lam * w - sg @ xb / len(idx))
+            b = b + eta * sg.mean()
     return w, b
 
 
 def _svr_gd(df: DataFrame, cols: list[str], label: str, C: float, epsilon: float, rounds: int,
-            lr: float, epochs: int = 3, seed: int = 42) -> tuple[np.ndarray, float]:
+            lr: float, epochs: int = 20, seed: int = 42) -> tuple[np.ndarray, float]:
     """Data-parallel SGD with parameter averaging: each round broadcasts
     (w, b); every partition runs local SGD epochs over its own rows (numpy
     on Arrow batches) and emits its weights times its row count as
@@ -163,7 +167,7 @@ class SVR(Spec):
         eps = float(self.params.get("epsilon", 0.1))
         kernel = self.params.get("kernel", "rbf")
         rounds = int(self.params.get("rounds", 6))
-        lr = float(self.params.get("lr", 0.05))
+        lr = float(self.params.get("lr", 0.5))
         n_comp = int(self.params.get("n_components", 64))
         seed = int(self.params.get("seed", 42))
         st = df.agg(F.avg(F.col(label)).alias("mu"), F.stddev_pop(F.col(label)).alias("sd"),

@@ -44,15 +44,19 @@ def _quantiles(v: Column, probs, accuracy: int | None) -> Column:
     return F.percentile_approx(v, arr, accuracy) if accuracy else F.percentile(v, arr)
 
 
-def column_params(df: DataFrame, columns: list[str], accuracy: int | None = None) -> dict[str, dict]:
+def column_params(df: DataFrame, columns: list[str], accuracy: int | None = None,
+                  quantiles: bool = True) -> dict[str, dict]:
     """Every per-column statistic any D-op needs, in one aggregate; p rows
-    reach the driver (bounded by the schema width)."""
+    reach the driver (bounded by the schema width). ``quantiles=False``
+    skips the percentile sketch/map -- the only non-algebraic part -- when
+    no median, IQR or robust scaling is configured."""
     if not columns:
         return {}
     v = F.col("value")
+    q = _quantiles(v, [0.25, 0.5, 0.75], accuracy) if quantiles else F.lit(None).cast("array<double>")
     rows = to_long(df, columns).groupBy("column_name").agg(
         F.avg(v).alias("mean"), F.stddev_pop(v).alias("std_pop"), F.min(v).alias("min"),
-        F.max(v).alias("max"), _quantiles(v, [0.25, 0.5, 0.75], accuracy).alias("q"),
+        F.max(v).alias("max"), q.alias("q"),
         F.count(v).alias("n_valid"), F.count(F.lit(1)).alias("n_rows")).collect()
     out = {}
     for r in rows:
@@ -94,7 +98,7 @@ def forward_back_fill(df: DataFrame, order_by: list[str], columns: list[str] | N
 def residual_fill(df: DataFrame, columns: list[str] | None = None, params: dict | None = None) -> DataFrame:
     """Leftover NULLs -> column mean; all-NULL column -> 0."""
     cols = _feature_cols(df, columns)
-    p = params or column_params(df, cols)
+    p = params or column_params(df, cols, quantiles=False)
     return _apply(df, {c: F.coalesce(col(c).cast("double"), _lit(p[c]["mean"]), F.lit(0.0)) for c in cols})
 
 
@@ -128,7 +132,7 @@ def zscore_replace(df: DataFrame, columns: list[str] | None = None, t: float = 1
     """``|x - mu| / sigma_pop > t`` -> column mean. A column with any
     NULL, or with sigma 0, is left as it is (scipy's z is NaN there)."""
     cols = _feature_cols(df, columns)
-    p = params or column_params(df, cols)
+    p = params or column_params(df, cols, quantiles=False)
     ex = {}
     for c in cols:
         s = p[c]
@@ -168,7 +172,7 @@ def fit_scaler(df: DataFrame, method: str, columns: list[str] | None = None,
     cols = _feature_cols(df, columns)
     if m is None:
         return spark.createDataFrame([], PARAM_SCHEMA)
-    p = params or column_params(df, cols, accuracy)
+    p = params or column_params(df, cols, accuracy, quantiles=(m == "robust"))
     rows = []
     for c in cols:
         s = p[c]
@@ -253,6 +257,11 @@ class PrepConfig:
     accuracy: int | None = None
 
 
+def _needs_quantiles(cfg: PrepConfig) -> bool:
+    return (cfg.handle_missing_values == "median" or cfg.outlier_method == "iqr"
+            or SCALERS.get(cfg.feature_scaling or "") == "robust")
+
+
 @dataclass
 class FeaturePrepModel:
     """Fitted state (D12): feature list, per-column statistics used for
@@ -277,10 +286,11 @@ class FeaturePrepModel:
         x = df.select(*[col(c) for c in keep], *[col(c).cast("double").alias(c) for c in self.features])
         frame_stats = cfg.stats_from == "frame" if fit_stats is None else fit_stats
         feats = self.features
+        nq = _needs_quantiles(cfg)
         if stats is not None:
             st = stats
         else:
-            st = column_params(x, feats, cfg.accuracy) if frame_stats else self.stats
+            st = column_params(x, feats, cfg.accuracy, nq) if frame_stats else self.stats
         method = missing_policy(cfg.handle_missing_values)
         imputed = False
         if method in ("mean", "median"):
@@ -292,7 +302,7 @@ class FeaturePrepModel:
             x = forward_back_fill(x, list(cfg.order_by), feats)
             imputed = True
         if cfg.outlier_method:
-            st2 = column_params(x, feats, cfg.accuracy) if frame_stats and stats is None else st
+            st2 = column_params(x, feats, cfg.accuracy, nq) if frame_stats and stats is None else st
             if cfg.outlier_method == "iqr":
                 x = iqr_winsorise(x, feats, cfg.outlier_threshold, st2)
             elif cfg.outlier_method == "zscore":
@@ -303,7 +313,7 @@ class FeaturePrepModel:
             # their mean is NULL too: D4 reduces to 0, no statistics needed
             x = _apply(x, {c: F.coalesce(col(c), F.lit(0.0)) for c in feats})
         else:
-            st3 = column_params(x, feats) if frame_stats else st
+            st3 = column_params(x, feats, quantiles=False) if frame_stats else st
             x = residual_fill(x, feats, st3)
         if self.scaler_params:
             x = apply_scaler(x, [dict(zip(["column_name", "method", "center", "scale"], r))
@@ -362,7 +372,8 @@ class FeaturePrep:
         feats = self.select_features(df)
         passthrough = [c.lower() for c in self.passthrough]
         model = FeaturePrepModel(self.config, feats, {}, [], passthrough)
-        model.stats = column_params(normalize_column_names(df).select(*feats), feats, self.config.accuracy)
+        model.stats = column_params(normalize_column_names(df).select(*feats), feats, self.config.accuracy,
+                                    _needs_quantiles(self.config))
         train = model.transform(df, fit_stats=True, stats=model.stats)
         sp = fit_scaler(train, self.config.feature_scaling or "", feats, accuracy=self.config.accuracy)
         model.scaler_params = [tuple(r) for r in sp.collect()]
