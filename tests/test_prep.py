@@ -65,3 +65,24 @@ def test_pipeline_preserves_rows_and_scales(spark):
     for c in pm.features:
         assert st[f"m_{c}"] == pytest.approx(0.0, abs=1e-9)
         assert st[f"s_{c}"] == pytest.approx(1.0, abs=1e-9)
+
+
+def test_pairwise_complete_correlation_matches_pandas(spark):
+    import numpy as np
+    import pandas as pd
+    from ventana.operators.profile import correlation_matrix
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=200)
+    pdf = pd.DataFrame({"x": x, "y": 2 * x + rng.normal(scale=0.1, size=200), "w": rng.normal(size=200),
+                        "c": np.full(200, 5.0)})
+    pdf.loc[rng.random(200) < 0.2, "x"] = np.nan
+    pdf.loc[rng.random(200) < 0.3, "y"] = np.nan
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in row) for row in pdf.to_numpy()],
+                               "x double, y double, w double, c double")
+    got = {(r["column_a"], r["column_b"]): r["corr"] for r in correlation_matrix(df).collect()}
+    want = pdf.corr()
+    for a in "xyw":
+        for b in "xyw":
+            if (a, b) in got:
+                assert got[(a, b)] == pytest.approx(want.loc[a, b], abs=1e-9)
+    assert got[("c", "c")] is None and got[("x", "c")] is None

@@ -121,67 +121,65 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
     """Pairwise-complete Pearson for every pair ``i <= j``, long as
     ``(column_a, column_b, corr)``; the diagonal is 1, or NULL when constant.
 
-    Two aggregate passes and no shuffle of rows: pass 1 gets each column's
-    mean, null count and range (3p numbers); pass 2 sums products of the
-    mean-shifted values (shifting keeps the sums well conditioned). Pairs of
-    null-free columns need one product sum; pairs touching a column with
-    NULLs carry masked sums so each pair uses only its complete rows.
-    The O(p^2) expressions are handed to the JVM as SQL text in one call
-    each, which keeps plan construction fast for wide frames.
+    Two passes, no shuffle of rows. Pass 1 (one aggregate) gets each
+    column's mean and whether it is constant. Pass 2 shifts every value by
+    its column mean (conditioning) and, per Arrow batch, forms with numpy the
+    Gram blocks of ``Z = [mask, x, x^2]`` (NULL -> mask 0, value 0):
+    ``M'M`` (pair counts), ``X'M`` and ``X2'M`` (per-pair sums and sums of
+    squares over the pair's complete rows) and ``X'X`` (cross products). A
+    ``groupBy(index)`` sum merges the blocks -- partially inside each task --
+    so 4p^2 numbers per task cross the network whatever the row count, and
+    the cost per row is one BLAS product instead of O(p^2) SQL expressions.
     """
+    import numpy as np
+    import pandas as pd
+
     cols = analysis_columns(df, columns)
     k = len(cols)
+    spark = df.sparkSession
+    if k == 0:
+        return spark.createDataFrame([], "column_a string, column_b string, corr double")
     base = df.selectExpr(*[f"CASE WHEN isnan(CAST({q(c)} AS DOUBLE)) THEN NULL ELSE CAST({q(c)} AS DOUBLE) END "
                            f"AS _x{i}" for i, c in enumerate(cols)])
-    p1 = base.selectExpr(
-        "count(1) AS _n", *[f"avg(_x{i}) AS _mu{i}" for i in range(k)],
-        *[f"count(_x{i}) AS _nn{i}" for i in range(k)],
-        *[f"min(_x{i}) = max(_x{i}) AS _k{i}" for i in range(k)]).collect()[0]
-    n_all = p1["_n"]
-    mu = [p1[f"_mu{i}"] if p1[f"_mu{i}"] is not None else 0.0 for i in range(k)]
-    full = [p1[f"_nn{i}"] == n_all for i in range(k)]
+    p1 = base.selectExpr(*[f"avg(_x{i}) AS _mu{i}" for i in range(k)],
+                         *[f"min(_x{i}) = max(_x{i}) AS _k{i}" for i in range(k)]).collect()[0]
+    mu = np.array([p1[f"_mu{i}"] if p1[f"_mu{i}"] is not None else 0.0 for i in range(k)])
     const = [p1[f"_k{i}"] is not False for i in range(k)]
-    x = [f"(_x{i} - ({mu[i]!r}D))" for i in range(k)]
-    aggs = []
-    for i in range(k):
-        aggs += [f"sum({x[i]}) AS _s{i}", f"sum({x[i]} * {x[i]}) AS _ss{i}"]
-    for i in range(k):
-        for j in range(i + 1, k):
-            if const[i] or const[j]:
-                continue
-            if full[i] and full[j]:
-                aggs.append(f"sum({x[i]} * {x[j]}) AS _p{i}_{j}")
-            else:
-                m = f"(_x{i} IS NOT NULL AND _x{j} IS NOT NULL)"
-                xi, xj = f"IF({m}, {x[i]}, NULL)", f"IF({m}, {x[j]}, NULL)"
-                aggs += [f"count_if({m}) AS _n{i}_{j}", f"sum({xi}) AS _a{i}_{j}", f"sum({xj}) AS _b{i}_{j}",
-                         f"sum({xi} * {xi}) AS _aa{i}_{j}", f"sum({xj} * {xj}) AS _bb{i}_{j}",
-                         f"sum({xi} * {xj}) AS _p{i}_{j}"]
-    one = base.selectExpr(*aggs)
-
-    def pearson_from(nn, sa, sb, saa, sbb, sab):
-        va = f"({saa} - {sa} * {sa} / {nn})"
-        vb = f"({sbb} - {sb} * {sb} / {nn})"
-        cov = f"({sab} - {sa} * {sb} / {nn})"
-        return f"CASE WHEN {va} > 0 AND {vb} > 0 THEN {cov} / sqrt({va} * {vb}) END"
-
-    def lit(s):
-        return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
+    names = [f"_x{i}" for i in range(k)]
+    schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("v", T.DoubleType())])
+
+    def gram(it):
+        acc = np.zeros((4, k, k))
+        for pdf in it:
+            x = pdf[names].to_numpy(dtype=np.float64)
+            m = (~np.isnan(x)).astype(np.float64)
+            xs = np.where(m > 0, x - mu, 0.0)
+            acc[0] += m.T @ m
+            acc[1] += xs.T @ m
+            acc[2] += (xs * xs).T @ m
+            acc[3] += xs.T @ xs
+        yield pd.DataFrame({"i": np.arange(4 * k * k, dtype=np.int32), "v": acc.ravel()})
+
+    g = np.zeros(4 * k * k)
+    for r in base.mapInPandas(gram, schema).groupBy("i").agg(F.sum("v").alias("v")).collect():
+        g[r["i"]] = r["v"]
+    N, A, Q, P = g.reshape(4, k, k)
     rows = []
-    for i, a in enumerate(cols):
+    for i in range(k):
         for j in range(i, k):
             if i == j:
-                e = "CAST(NULL AS DOUBLE)" if const[i] else "1.0D"
-            elif const[i] or const[j]:
-                e = "CAST(NULL AS DOUBLE)"
-            elif full[i] and full[j]:
-                e = pearson_from(f"{float(n_all)!r}D", f"_s{i}", f"_s{j}", f"_ss{i}", f"_ss{j}", f"_p{i}_{j}")
+                c = None if const[i] else 1.0
+            elif const[i] or const[j] or N[i, j] <= 0:
+                c = None
             else:
-                e = pearson_from(f"CAST(_n{i}_{j} AS DOUBLE)", f"_a{i}_{j}", f"_b{i}_{j}", f"_aa{i}_{j}",
-                                 f"_bb{i}_{j}", f"_p{i}_{j}")
-            rows.append(f"struct({lit(a)} AS column_a, {lit(cols[j])} AS column_b, CAST({e} AS DOUBLE) AS corr)")
-    return one.selectExpr(f"inline(array({', '.join(rows)}))")
+                n = N[i, j]
+                sa, sb = A[i, j], A[j, i]
+                va = Q[i, j] - sa * sa / n
+                vb = Q[j, i] - sb * sb / n
+                cov = P[i, j] - sa * sb / n
+                c = float(cov / np.sqrt(va * vb)) if va > 0 and vb > 0 else None
+            rows.append((cols[i], cols[j], c))
+    return spark.createDataFrame(rows, "column_a string, column_b string, corr double")
 
 
 def categorical_cardinality(df: DataFrame, approx: bool = False) -> DataFrame:
@@ -204,6 +202,26 @@ def profile(df: DataFrame) -> dict[str, DataFrame]:
             "categorical": categorical_cardinality(df)}
 
 
+def profile_long(df: DataFrame) -> DataFrame:
+    """E14 as one long table ``(section, column_name, key, value)`` (value
+    as text): the five E1-E5 tables stacked, each p-sized."""
+    parts = profile(df)
+    out = None
+    for section, t in parts.items():
+        ident = "column_name" if "column_name" in t.columns else None
+        keys = [c for c in t.columns if c not in ("column_name",)]
+        if section == "correlation":
+            t = t.select(F.concat_ws("|", "column_a", "column_b").alias("column_name"), "corr")
+            keys = ["corr"]
+        elif ident is None:
+            continue
+        long = t.select("column_name", F.explode(F.map_from_arrays(
+            F.array(*[F.lit(k) for k in keys]), F.array(*[F.col(k).cast("string") for k in keys]))).alias("key", "value"))
+        long = long.select(F.lit(section).alias("section"), "column_name", "key", "value")
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
 # ---------------------------------------------------------------- outliers
 
 def iqr_bounds(df: DataFrame, columns: list[str] | None = None, k: float = 1.5,

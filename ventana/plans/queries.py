@@ -95,7 +95,7 @@ def e3_shape_types(spark, sf_dir):
     return E.shape_and_types(B.table(spark, sf_dir, "lineitem"))
 
 
-def _e4_sql() -> str:
+def _e4_sql(fill: bool = True) -> str:
     parts = []
     for i, a in enumerate(MONTHS):
         for j in range(i, len(MONTHS)):
@@ -106,7 +106,13 @@ def _e4_sql() -> str:
                 e = (f"regr_sxy({qi(b)}, {qi(a)}) / nullif(sqrt(regr_sxx({qi(b)}, {qi(a)}) * "
                      f"regr_syy({qi(b)}, {qi(a)})), 0)")
             parts.append(f"SELECT '{a}' AS column_a, '{b}' AS column_b, {r6(e, 'corr')} FROM d")
-    return f"WITH d AS MATERIALIZED ({dm_sql()}) " + " UNION ALL ".join(parts)
+    return f"WITH d AS MATERIALIZED ({dm_sql(fill=fill)}) " + " UNION ALL ".join(parts)
+
+
+@register("e4_correlation_null", _e4_sql(fill=False))
+def e4_correlation_null(spark, sf_dir):
+    """E4 on DM_NULL: every pair uses only the rows where both are present."""
+    return E.correlation_matrix(B.dm_null(spark, sf_dir), MONTHS)
 
 
 @register("e4_correlation", _e4_sql())

@@ -188,3 +188,28 @@ def h16_run_summary_counts(spark, sf_dir):
     """The data-derived entries of the run summary on DM."""
     d = B.dm(spark, sf_dir).withColumnRenamed(TARGET, "label")
     return H.run_summary(d, FEATURES, "label").filter(F.col("key").isin("samples", "target_distinct"))
+
+
+@register("e14_profile_long")
+def e14_profile_long(spark, sf_dir):
+    """E14 on DM_NULL: shape, missing, describe, correlation and cardinality
+    stacked long."""
+    from ventana.operators.profile import profile_long
+    return profile_long(B.dm_null(spark, sf_dir))
+
+
+@register("a8_export_timestamped")
+def a8_export_timestamped(spark, sf_dir):
+    """The PREDS leaderboard exported under ``prefix_yyyyMMdd_HHmmss``
+    and read back from the returned path."""
+    from ventana.sources import io as A
+    lb = H.evaluate(B.preds(spark, sf_dir))
+    path = A.export_results(lb, work_dir(spark, "a8") + "/leaderboard")
+    return spark.read.option("header", "true").csv(path)
+
+
+@register("h11_cv_scores")
+def h11_cv_scores(spark, sf_dir):
+    """Per-fold test -MAE of OLS with mean and population std."""
+    return CV.cv_scores(CV.cross_validate(LinearOLS(), _ols_folded(spark, sf_dir), FEATURES, "fold", 5,
+                                          name="logistic_regression"))
