@@ -95,6 +95,18 @@ class ExprFitted(Fitted):
         return df.withColumn(self.output_col, self.expr_fn())
 
 
+def parallel_map(fn, items, parallelism: int = 4):
+    """Run independent fits concurrently from driver threads (Spark
+    schedules their jobs side by side, as ``CrossValidator(parallelism)``
+    does); results keep the order of ``items``."""
+    items = list(items)
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as ex:
+        return list(ex.map(fn, items))
+
+
 def timed(fn, *a, **k):
     t0 = time.time()
     out = fn(*a, **k)

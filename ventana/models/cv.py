@@ -15,7 +15,7 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ventana.models.base import LABEL, PRED, Spec
+from ventana.models.base import LABEL, PRED, Spec, parallel_map
 from ventana.models.classic import SPECS as CLASSIC
 from ventana.models.classic import GradientBoosting, LinearOLS, RandomForest, SVR
 from ventana.models.ensembles import SPECS as ENSEMBLE
@@ -43,28 +43,30 @@ def r2_score_col(y, p):
 
 
 def cross_val_predict(spec: Spec, df: DataFrame, features: list[str], fold_col: str = "fold",
-                      label: str = LABEL, k: int | None = None) -> DataFrame:
+                      label: str = LABEL, k: int | None = None, parallelism: int = 2) -> DataFrame:
     """H9: each row predicted by the model fitted without its fold."""
-    folds = range(k) if k else sorted(r[0] for r in df.select(fold_col).distinct().collect())
+    folds = list(range(k)) if k else sorted(r[0] for r in df.select(fold_col).distinct().collect())
+    models = parallel_map(lambda f: spec.fit(df.filter(F.col(fold_col) != f), features, label), folds, parallelism)
     out = None
-    for f in folds:
-        m = spec.fit(df.filter(F.col(fold_col) != f), features, label)
+    for f, m in zip(folds, models):
         part = m.transform(df.filter(F.col(fold_col) == f))
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def cross_validate(spec: Spec, df: DataFrame, features: list[str], fold_col: str = "fold", k: int = 5,
-                   label: str = LABEL, name: str | None = None) -> DataFrame:
+                   label: str = LABEL, name: str | None = None, parallelism: int = 2) -> DataFrame:
     """Per fold, test and train R2, -MSE, -MAE, fit and score time.
     Predictions of all folds are scored in ONE grouped aggregate."""
     spark = df.sparkSession
     preds, times = None, []
-    for f in range(k):
-        tr = df.filter(F.col(fold_col) != f)
+
+    def fit_fold(f):
         t0 = time.time()
-        m = spec.fit(tr, features, label)
-        ft = time.time() - t0
+        m = spec.fit(df.filter(F.col(fold_col) != f), features, label)
+        return m, time.time() - t0
+    fitted = parallel_map(fit_fold, range(k), parallelism)
+    for f, (m, ft) in enumerate(fitted):
         both = m.transform(df).select(F.lit(f).alias("fold"),
                                       F.when(F.col(fold_col) == f, "test").otherwise("train").alias("part"),
                                       F.col(label).alias("y"), F.col(PRED).alias("p"))
@@ -115,22 +117,24 @@ def param_grid(grid: dict[str, list]) -> list[dict]:
 
 
 def grid_search(spec: Spec, grid: dict[str, list], df: DataFrame, features: list[str], fold_col: str = "fold",
-                k: int = 5, label: str = LABEL):
+                k: int = 5, label: str = LABEL, parallelism: int = 2):
     """Every grid point x k folds scored by mean test R2; the best
     point is refitted on all rows. Returns (fitted, best_params, best_score,
     table of all points)."""
     points = param_grid(grid)
-    results = []
-    for pt in points:
-        s = spec.copy(**pt)
-        preds = None
-        for f in range(k):
-            m = s.fit(df.filter(F.col(fold_col) != f), features, label)
-            part = m.transform(df.filter(F.col(fold_col) == f)).select(
-                F.lit(f).alias("fold"), F.col(label).alias("y"), F.col(PRED).alias("p"))
-            preds = part if preds is None else preds.unionByName(part)
-        score = evaluate(preds, by=["fold"]).agg(F.avg("r2")).collect()[0][0]
-        results.append((str(pt), score))
+    tasks = [(pi, f) for pi in range(len(points)) for f in range(k)]
+    fits = parallel_map(lambda t: spec.copy(**points[t[0]]).fit(df.filter(F.col(fold_col) != t[1]), features, label),
+                        tasks, parallelism)
+    models = dict(zip(tasks, fits))
+    preds = None
+    for (pi, f), m in models.items():
+        part = m.transform(df.filter(F.col(fold_col) == f)).select(
+            F.lit(pi).alias("point"), F.lit(f).alias("fold"), F.col(label).alias("y"), F.col(PRED).alias("p"))
+        preds = part if preds is None else preds.unionByName(part)
+    # every point and fold scored in one grouped aggregate
+    per_fold = evaluate(preds, by=["point", "fold"]).groupBy("point").agg(F.avg("r2").alias("s")).collect()
+    score_of = {r["point"]: r["s"] for r in per_fold}
+    results = [(str(pt), score_of.get(i)) for i, pt in enumerate(points)]
     best_i = max(range(len(points)), key=lambda i: results[i][1] if results[i][1] is not None else float("-inf"))
     best = points[best_i]
     fitted = spec.copy(**best).fit(df, features, label)

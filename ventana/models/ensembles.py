@@ -17,7 +17,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ventana.models.base import LABEL, PRED, VEC, Fitted, MLlibFitted, Spec
+from ventana.models.base import LABEL, PRED, VEC, Fitted, MLlibFitted, Spec, parallel_map
 from ventana.models.classic import DecisionTree, GradientBoosting, LinearOLS, RandomForest, SVR
 from ventana.session import checkpoint_dir
 
@@ -51,7 +51,8 @@ class Voting(Spec):
 
     def fit(self, df, features, label=LABEL):
         bases = self.params.get("bases") or default_bases()
-        fitted = [(n, s.fit(df, features, label)) for n, s in bases]
+        par = int(self.params.get("parallelism", 1))
+        fitted = parallel_map(lambda nb: (nb[0], nb[1].fit(df, features, label)), bases, par)
         return _Chain(fitted, lambda cs: sum(cs[1:], cs[0]) / float(len(cs)), list(features), self.name)
 
 
@@ -72,17 +73,27 @@ class Stacking(Spec):
             df = contiguous_folds(df, list(order), k)
             fold_col = "fold"
         base_cols = [f"_oof{i}" for i in range(len(bases))]
+        # sequential by default: concurrent deep forests multiply tree-building
+        # memory on the driver and executors; opt in with parallelism=n
+        par = int(self.params.get("parallelism", 1))
+        df = df.cache()
+        # every (fold, base) fit and every refit is independent: run them side by side
+        tasks = [(f, i) for f in range(k) for i in range(len(bases))] + [(None, i) for i in range(len(bases))]
+
+        def fit_one(t):
+            f, i = t
+            src = df if f is None else df.filter(F.col(fold_col) != f)
+            return bases[i][1].fit(src, features, label)
+        models = dict(zip(tasks, parallel_map(fit_one, tasks, par)))
         oof = None
         for f in range(k):
-            tr = df.filter(F.col(fold_col) != f)
-            te = df.filter(F.col(fold_col) == f)
-            part = te
-            for i, (_, s) in enumerate(bases):
-                part = s.fit(tr, features, label).with_output(base_cols[i]).transform(part)
+            part = df.filter(F.col(fold_col) == f)
+            for i in range(len(bases)):
+                part = models[(f, i)].with_output(base_cols[i]).transform(part)
             part = part.select(*base_cols, F.col(label))
             oof = part if oof is None else oof.unionByName(part)
         meta = LinearOLS().fit(oof, base_cols, label)
-        fitted = [(n, s.fit(df, features, label)) for n, s in bases]
+        fitted = [(bases[i][0], models[(None, i)]) for i in range(len(bases))]
         lm = meta.model.stages[-1]
         w, b = list(lm.coefficients.toArray()), float(lm.intercept)
 

@@ -32,6 +32,10 @@ def get_spark(master: str | None = None, app: str = "ventana",
     if master:
         b = b.master(master)
     settings = dict(_DEFAULTS)
+    if master and master.startswith("local"):
+        # local runs only: one JVM holds driver and executors (the 1g default
+        # is too small for tree ensembles); on a cluster the deployment sets it
+        settings["spark.driver.memory"] = "4g"
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
