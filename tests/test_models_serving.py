@@ -59,3 +59,11 @@ def test_bundle_batch_equals_stream(spark, planted):
     assert batch == stream and len(batch) == 50
     one = score_one(spark, b, {"2024-1": 2.0}).collect()[0]
     assert "prediction_2025-9" in one.asDict()
+
+
+def test_mlp_and_rbf_bundle_paths(spark, planted):
+    from ventana.models.mlp import MLP
+    m = MLP(rounds=2, local_epochs=5).fit(planted, ["a", "b"])
+    assert "theta" in m.state and m.transform(planted).filter("prediction IS NULL").count() == 0
+    r = CV.get_spec("svm", kernel="rbf").fit(planted, ["a", "b"])
+    assert r.transform(planted).select("id", "prediction").count() == 2000

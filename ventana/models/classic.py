@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ventana.models.base import LABEL, ExprFitted, MLlibSpec, Spec, balanced_sum, lincomb
+from ventana.models.base import LABEL, PRED, ExprFitted, Fitted, MLlibSpec, Spec, lincomb
 
 
 class LinearOLS(MLlibSpec):
@@ -76,14 +76,18 @@ class DecisionTree(MLlibSpec):
 
 # ------------------------------------------------------------------ SVR
 
-def _rff_columns(features: list[str], gamma: float, n_components: int, seed: int):
+def _rff(n_features: int, gamma: float, n_components: int, seed: int):
     """Random Fourier features for exp(-gamma |x - x'|^2):
-    sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma), b ~ U(0, 2 pi)."""
+    z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma), b ~ U(0, 2 pi).
+    Returned as a numpy map applied per Arrow batch."""
     rng = np.random.default_rng(seed)
-    W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_components, len(features)))
+    W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_components, n_features))
     b = rng.uniform(0.0, 2.0 * math.pi, size=n_components)
     s = math.sqrt(2.0 / n_components)
-    return [(F.lit(s) * F.cos(lincomb(features, W[k], b[k]))).alias(f"_rff{k}") for k in range(n_components)], (W, b)
+
+    def phi(X):
+        return s * np.cos(X @ W.T + b)
+    return phi
 
 
 def _svr_local(X, y, w, b, C, eps, n_total, epochs, lr, seed, batch: int = 64):
@@ -109,14 +113,15 @@ def _svr_local(X, y, w, b, C, eps, n_total, epochs, lr, seed, batch: int = 64):
 
 
 def _svr_gd(df: DataFrame, cols: list[str], label: str, C: float, epsilon: float, rounds: int,
-            lr: float, epochs: int = 20, seed: int = 42) -> tuple[np.ndarray, float]:
+            lr: float, epochs: int = 20, seed: int = 42, phi=None, dim: int | None = None) -> tuple[np.ndarray, float]:
     """Data-parallel SGD with parameter averaging: each round broadcasts
     (w, b); every partition runs local SGD epochs over its own rows (numpy
     on Arrow batches) and emits its weights times its row count as
     ``(index, value)`` rows; a ``groupBy(index)`` sum (partially merged in
     each task) averages them, so p + 2 numbers per task cross the network
     and only the averaged vector reaches the driver."""
-    p = len(cols)
+    p_in = len(cols)
+    p = dim or p_in
     spark = df.sparkSession
     data = df.select(*[F.col(f"`{c}`").cast("double").alias(f"x{j}") for j, c in enumerate(cols)],
                      F.col(label).cast("double").alias("y"))
@@ -136,7 +141,9 @@ def _svr_gd(df: DataFrame, cols: list[str], label: str, C: float, epsilon: float
             pdf = pd.concat(frames, ignore_index=True)
             if pdf.empty:
                 return
-            X = pdf[[f"x{j}" for j in range(p)]].to_numpy(dtype=np.float64)
+            X = pdf[[f"x{j}" for j in range(p_in)]].to_numpy(dtype=np.float64)
+            if phi is not None:
+                X = phi(X)
             yv = pdf["y"].to_numpy(dtype=np.float64)
             w0, b0 = _bc.value
             lw, lb = _svr_local(X, yv, w0.copy(), b0, C, epsilon, n_total, epochs, lr / (1 + _r),
@@ -177,40 +184,50 @@ class SVR(Spec):
         mu, sd = st["mu"] or 0.0, st["sd"] or 1.0
         sd = sd if sd > 0 else 1.0
         y = ((F.col(label) - F.lit(mu)) / F.lit(sd)).alias(label)
+        feats = list(features)
         if kernel == "linear":
-            cols = list(features)
-            base = df.select(*[F.col(f"`{c}`") for c in features], y)
-            proj = None
-        else:
-            p = len(features)
-            gamma = self.params.get("gamma", "scale")
-            if gamma == "scale":
-                m = np.array([st[f"m{i}"] or 0.0 for i in range(p)])
-                q = np.array([st[f"q{i}"] or 0.0 for i in range(p)])
-                var_all = float(q.mean() - m.mean() ** 2)
-                gamma = 1.0 / (p * var_all) if var_all > 0 else 1.0
-            elif gamma == "auto":
-                gamma = 1.0 / p
-            rff, proj = _rff_columns(features, float(gamma), n_comp, seed)
-            cols = [f"_rff{k}" for k in range(n_comp)]
-            base = df.select(*rff, y)
-        base = base.cache()
+            base = df.select(*[F.col(f"`{c}`") for c in features], y).cache()
+            try:
+                w, b = _svr_gd(base, feats, label, C, eps / sd, rounds, lr)
+            finally:
+                base.unpersist()
+            return ExprFitted(lambda: lincomb(feats, w, b) * F.lit(sd) + F.lit(mu), feats, self.name,
+                              state={"w": w.tolist(), "b": b, "mu": mu, "sd": sd})
+        p = len(features)
+        gamma = self.params.get("gamma", "scale")
+        if gamma == "scale":
+            m = np.array([st[f"m{i}"] or 0.0 for i in range(p)])
+            q = np.array([st[f"q{i}"] or 0.0 for i in range(p)])
+            var_all = float(q.mean() - m.mean() ** 2)
+            gamma = 1.0 / (p * var_all) if var_all > 0 else 1.0
+        elif gamma == "auto":
+            gamma = 1.0 / p
+        phi = _rff(p, float(gamma), n_comp, seed)
+        base = df.select(*[F.col(f"`{c}`") for c in features], y).cache()
         try:
-            w, b = _svr_gd(base, cols, label, C, eps / sd, rounds, lr)
+            w, b = _svr_gd(base, feats, label, C, eps / sd, rounds, lr, phi=phi, dim=n_comp)
         finally:
             base.unpersist()
-        feats = list(features)
+        return _ArrowKernelSVR(phi, w, b, mu, sd, feats, self.name)
+
+
+class _ArrowKernelSVR(Fitted):
+    """RBF-SVR prediction per Arrow batch: ``phi(X) @ w + b``, rescaled."""
+
+    def __init__(self, phi, w, b, mu, sd, features, name):
+        self.phi, self.w, self.b, self.mu, self.sd = phi, w, b, mu, sd
+        self.features, self.name, self.output_col = features, name, PRED
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        phi, w, b, mu, sd, feats, out = self.phi, self.w, self.b, self.mu, self.sd, self.features, self.output_col
+        schema = T.StructType([f for f in df.schema.fields if f.name != out] + [T.StructField(out, T.DoubleType())])
 
-        def expr():
-            if proj is None:
-                z = lincomb(feats, w, b)
-            else:
-                W, bb = proj
-                s = math.sqrt(2.0 / len(bb))
-                z = balanced_sum([F.lit(float(b))] + [F.lit(float(w[k]) * s) * F.cos(lincomb(feats, W[k], bb[k]))
-                                                      for k in range(len(bb))])
-            return z * F.lit(sd) + F.lit(mu)
-        return ExprFitted(expr, feats, self.name, state={"w": w.tolist(), "b": b, "mu": mu, "sd": sd})
+        def score(it):
+            for pdf in it:
+                X = pdf[feats].to_numpy(dtype=np.float64)
+                pdf[out] = (phi(X) @ w + b) * sd + mu
+                yield pdf[[f.name for f in schema.fields]]
+        return df.mapInPandas(score, schema)
 
 
 SPECS = {"logistic_regression": LinearOLS, "random_forest": RandomForest, "svm": SVR,

@@ -169,7 +169,7 @@ class ChunkedMLP(MLP):
     chunked = True
 
 
-def mlp_fitted(theta, shapes, act, features, name, expr_limit: int = 4000) -> Fitted:
+def mlp_fitted(theta, shapes, act, features, name, expr_limit: int = 300) -> Fitted:
     layers = _unpack(theta, shapes)
     if theta.size <= expr_limit:
         def expr():
@@ -197,11 +197,12 @@ class _ArrowMLP(Fitted):
     def __init__(self, theta, shapes, act, features, name):
         self.theta, self.shapes, self.act, self.features, self.name = theta, shapes, act, features, name
         self.output_col = PRED
+        self.state = {"theta": list(map(float, theta)), "act": act, "shapes": [list(x) for x in shapes]}
 
     def transform(self, df: DataFrame) -> DataFrame:
         layers = _unpack(self.theta, self.shapes)
         feats, act, out = self.features, self.act, self.output_col
-        schema = T.StructType(df.schema.fields + [T.StructField(out, T.DoubleType())])
+        schema = T.StructType([f for f in df.schema.fields if f.name != out] + [T.StructField(out, T.DoubleType())])
 
         def score(it):
             for pdf in it:
@@ -211,5 +212,5 @@ class _ArrowMLP(Fitted):
                     if li < len(layers) - 1:
                         h = _act(h, act)
                 pdf[out] = h[:, 0]
-                yield pdf
+                yield pdf[[f.name for f in schema.fields]]
         return df.mapInPandas(score, schema)

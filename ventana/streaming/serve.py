@@ -43,7 +43,7 @@ class Bundle:
             self.model.save(f"{path}/model")
             meta["kind"] = "mllib"
             meta["features"] = self.model.features
-        elif isinstance(self.model, ExprFitted) and "theta" in self.model.state:
+        elif "theta" in getattr(self.model, "state", {}):
             meta["kind"] = "mlp"
             meta["state"] = self.model.state
             meta["features"] = self.model.features
