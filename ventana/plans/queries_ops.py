@@ -19,6 +19,7 @@ from ventana.operators import prep as D
 from ventana.operators import schema as S
 from ventana.operators import split as SP
 from ventana.plans.oracles import dm_pair_sql, dm_sql, preds_sql, qi, r6
+from ventana.plans.oracles import r6 as _r6
 from ventana.plans.registry import register
 from ventana.session import work_dir
 from ventana.sources import bindings as B
@@ -75,8 +76,9 @@ def a6_save_parquet_roundtrip(spark, sf_dir):
     return A.load_data(spark, path)
 
 
-def _leaderboard_sql(where: str = "") -> str:
+def _leaderboard_sql(where: str = "", rounded: bool = True) -> str:
     e = "(y - p)"
+    r6 = _r6 if rounded else (lambda expr, name: f"({expr})::DOUBLE AS {qi(name)}")
     return (f"SELECT model, {r6(f'avg(abs({e}))', 'mae')}, {r6(f'sqrt(avg({e} * {e}))', 'rmse')}, "
             f"{r6(f'CASE WHEN var_pop(y) = 0 THEN (CASE WHEN sum({e} * {e}) = 0 THEN 1 ELSE 0 END) ELSE 1 - sum({e} * {e}) / (count(*) * var_pop(y)) END', 'r2')}, "
             f"{r6(f'avg({e} * {e})', 'mse')}, {r6(f'quantile_cont(abs({e}), 0.5)', 'medae')}, "
@@ -617,7 +619,7 @@ def h14_prediction_errors(spark, sf_dir):
 # =============================================================== I comparison
 
 def _first_rows_sql() -> str:
-    lb = _leaderboard_sql().replace(f"FROM ({preds_sql()})", f"FROM ({_split_preds_sql()})") \
+    lb = _leaderboard_sql(rounded=False).replace(f"FROM ({preds_sql()})", f"FROM ({_split_preds_sql()})") \
         .replace("SELECT model,", "SELECT model, split,").replace("GROUP BY model", "GROUP BY model, split")
     return (f"WITH lb AS ({lb}), f AS (SELECT split, arg_min(model, (mae, rmse, -r2, model)) AS m FROM lb "
             "GROUP BY split) SELECT CASE lb.split WHEN 'val' THEN 'A' ELSE 'B' END AS source, "
