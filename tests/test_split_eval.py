@@ -41,7 +41,7 @@ def test_metrics_guards(spark):
     assert lb["z"]["r2"] == 0.0 and lb["z"]["mape"] == pytest.approx(1.0 / H.EPS)
 
 
-# Stored leaderboard of the reference run (model, MAE, RMSE, R2).
+# Stored leaderboard of the source pipeline's run (model, MAE, RMSE, R2).
 PUBLISHED = [("Logistic Regression", 26.6062, 212.0000, 0.8297), ("Random Forest", 24.5287, 320.1195, 0.6118),
              ("SVM", 27.2102, 289.0653, 0.6834), ("Gradient Boosting", 25.4388, 230.4732, 0.7988),
              ("Neural Network", 25.7901, 208.9242, 0.8346), ("MLP Regressor", 32.0087, 302.2958, 0.6538),

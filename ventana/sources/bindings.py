@@ -1,6 +1,6 @@
-"""Bindings of the driver tables to the reference's input shape.
+"""Bindings of the driver tables to the source pipeline's input shape.
 
-The reference receives a ready-made wide table (one row per warehouse and
+The source pipeline receives a ready-made wide table (one row per warehouse and
 product, one column per month). Here it is derived from ``lineitem`` by
 Spark, so every binding grows with the data it is computed from.
 """
@@ -23,7 +23,7 @@ TARGET = MONTHS[-1]
 RAW_FEATURES = RAW_MONTHS[:-1]
 RAW_TARGET = RAW_MONTHS[-1]
 
-# warehouse/product attribute names of the reference workbook.
+# warehouse/product attribute names of the source workbook.
 PAIR_ATTRIBUTES = ["codigo_almacen", "almacen", "codigo_producto", "descripcion_producto",
                    "tipo_producto", "descripcion_padre", "valor_promedio"]
 
