@@ -52,3 +52,9 @@ def test_oracle_small(spark, name):
         return sorted((tuple(round(r[i], 5) if isinstance(r[i], float) else r[i] for i in order) for r in rows),
                       key=repr)
     assert norm([tuple(r) for r in sdf.collect()], sdf.columns) == norm(cur.fetchall(), ocols)
+
+
+def test_metrics_json_sink(spark, tmp_path):
+    import json
+    p = A.save_metrics_json({"rf": {"mae": 24.5287, "r2": 0.6118}}, str(tmp_path / "m" / "evaluation.json"))
+    assert json.load(open(p))["rf"]["mae"] == 24.5287

@@ -76,3 +76,11 @@ def test_architecture_leaderboard(spark):
     assert [r["name"] for r in out] == ["Wide_Shallow_ReLU", "Bottleneck_Linear_AdamW", "Deep_ReLU_Adam"]
     assert out[0]["gap"] == pytest.approx(35.527 - 29.240)
     assert math.isclose(math.sqrt(44944.00), 212.0)  # RMSE = sqrt(MSE) in the stored results
+
+
+def test_stratified_folds_balanced_per_class(spark):
+    # one class holds 70% of rows: folds still split every class evenly
+    df = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 10 < 7).cast("int").alias("label"))
+    out = SP.stratified_folds(df, "k", "label", 5)
+    counts = {(r["label"], r["fold"]): r["count"] for r in out.groupBy("label", "fold").count().collect()}
+    assert all(counts[(1, f)] == 140 for f in range(5)) and all(counts[(0, f)] == 60 for f in range(5))
