@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ventana.llm import bpe, token_counts, url_filter
+from ventana.llm import bpe, packing, sharding, token_counts, url_filter
 from ventana.llm.common import table
 
 
@@ -59,6 +59,17 @@ SELECT p.page_id, p.host, p.path, f.best.rule AS rule,
 FROM p LEFT JOIN f USING (page_id)"""
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(spark, table(spark, sf_dir, "documents"), shards=16).select(
+        "doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(spark, table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("piece_bpe_32k.model"))
@@ -67,6 +78,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_url_filter": op2_url_filter,
+    "op5_packing": op5_packing,
+    "op7_sharding": op7_sharding,
     "op9_token_counts": op9_token_counts,
     "pipeline": corpus_pipeline.run,
 }
