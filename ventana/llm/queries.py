@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ventana.llm import bpe, packing, sharding, token_counts, url_filter
+from ventana.llm import bpe, grid_join, packing, sharding, token_counts, topk, url_filter
 from ventana.llm.common import table
 
 
@@ -70,6 +70,47 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(spark, table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+TOPK_SQL = """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (
+  SELECT query_id, vec_id, score,
+         CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+def op10_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.join(spark, table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
+GRID_SQL = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (
+  SELECT a, b FROM l UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a),
+m AS (SELECT a, min(b) AS least FROM reach GROUP BY a)
+SELECT d.vec_id, coalesce(n.n_links, 0) AS n_links, least(d.vec_id, coalesce(m.least, d.vec_id)) AS component_id,
+       d.vec_id <= coalesce(m.least, d.vec_id) AS kept
+FROM embeddings d LEFT JOIN n ON n.a = d.vec_id LEFT JOIN m ON m.a = d.vec_id"""
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(spark, table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("piece_bpe_32k.model"))
@@ -80,12 +121,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op5_packing": op5_packing,
     "op7_sharding": op7_sharding,
+    "op8_topk": op8_topk,
     "op9_token_counts": op9_token_counts,
+    "op10_grid_join": op10_grid_join,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str | None] = {
     "op2_url_filter": URL_SQL,
+    "op8_topk": TOPK_SQL,
+    "op10_grid_join": GRID_SQL,
     "pipeline": corpus_pipeline.ORACLE_SQL,
 }
 
