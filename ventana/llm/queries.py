@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ventana.llm import bpe, grid_join, packing, sharding, token_counts, topk, url_filter
+from ventana.llm import bpe, grid_join, packing, sharding, token_counts, topk, toxicity, url_filter
 from ventana.llm.common import table
 
 
@@ -59,6 +59,15 @@ SELECT p.page_id, p.host, p.path, f.best.rule AS rule,
 FROM p LEFT JOIN f USING (page_id)"""
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(toxicity.fold() != 2)
+    model = toxicity.train(spark, docs, labels)
+    return toxicity.score(spark, docs, model).select(
+        "doc_id", F.coalesce(toxicity.fold() == 2, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -119,6 +128,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_url_filter": op2_url_filter,
+    "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
     "op7_sharding": op7_sharding,
     "op8_topk": op8_topk,
