@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ventana.llm import bpe, grid_join, packing, sharding, token_counts, topk, toxicity, url_filter
+from ventana.llm import bpe, grid_join, packing, pii, sharding, token_counts, topk, toxicity, url_filter
 from ventana.llm.common import table
 
 
@@ -73,6 +73,15 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.recognise(spark, docs, pii.train(spark, docs))
+    return found.select(
+        "doc_id", *[pii.count(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.joined(F.concat("base", "added")).alias("spans"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(spark, table(spark, sf_dir, "documents"), shards=16).select(
         "doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot",
@@ -130,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
+    "op6_pii": op6_pii,
     "op7_sharding": op7_sharding,
     "op8_topk": op8_topk,
     "op9_token_counts": op9_token_counts,
