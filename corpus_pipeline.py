@@ -1,13 +1,70 @@
-"""Corpus cleaning as a chain of stages, each written as Parquet and reread by the next."""
+"""Corpus cleaning as a chain of stages, each written as Parquet and reread by the next.
+
+Every stage takes ``(spark, docs, sf_dir)`` and works on all documents that
+the one before kept; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ventana.llm import ngram_join, packing, pii, toxicity
+from ventana.llm.common import table
+from ventana.session import materialise
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model predicts toxic go. The model learns
+    from the labelled rows outside the held-out fold."""
+    labels = table(spark, sf_dir, "labels").where(toxicity.fold() != 2)
+    model = toxicity.train(spark, docs, labels)
+    scored = toxicity.score(spark, docs, model, keep=tuple(COLUMNS[1:]))
+    return scored.where(F.col("score") < toxicity.THRESHOLD).select("doc_id", *[F.col(f"keep_{c}").alias(c) for c in COLUMNS[1:]])
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near duplicates (5-word shingles, Jaccard similarity
+    0.8 or more, linked on) the document with the smallest doc_id stays; of
+    repeated rows one."""
+    joined = ngram_join.join(spark, docs)
+    gone = joined.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"))
+    kept = docs.withColumn("text_key", F.xxhash64("text")).join(
+        gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_key") == F.col("gone_key")), "left_anti")
+    return kept.select(*COLUMNS)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind in angle brackets; ``n_chars`` follows."""
+    found = pii.recognise(spark, docs, pii.train(spark, docs), keep=("text", "lang", "source", "n_chars"))
+    text = pii.masked(F.col("keep_text"), F.concat("base", "added"))
+    changed = F.size("base") + F.size("added") > 0
+    return found.select("doc_id", text.alias("text"), F.col("keep_lang").alias("lang"), F.col("keep_source").alias("source"),
+                        F.when(changed, F.length(text).cast("long")).otherwise(F.col("keep_n_chars")).alias("n_chars"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' ids in sequences of 2048."""
+    return packing.pack(spark, docs, public_tokenizers.path("word_bpe_49k.json"), window=2048)
+
 
-STAGES = []
-#: The stages run learned models and exact similarity joins: no SQL; see tests/llm.
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near duplicates", one_of_each_group),
+    ("personal data", mask_personal_data),
+    ("packing", pack),
+]
+#: The stages run learned models and a similarity join: no SQL; see tests/llm.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over ``documents``; each result but the last is written to
+    the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs, _ = materialise(spark, stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -243,7 +243,8 @@ def _links(spark: SparkSession, reps: DataFrame, dims: int, cosine: float) -> Da
         root = {int(by_rank[i]): int(by_rank[r]) for i, r in spanning(len(uid), pairs())}
         total = links[0] + links[1] if same else np.concatenate(links)
         out = [(i, int(t), root.get(i)) for i, t in zip(uid, total) if t]
-        return pd.DataFrame(out, columns=["uid", "links", "root"]).astype({"root": "Int64"})
+        return pd.DataFrame({"uid": pd.Series([r[0] for r in out], dtype="int64"), "links": pd.Series([r[1] for r in out], dtype="int64"),
+                             "root": pd.Series([r[2] for r in out], dtype="Int64")})
 
     return first.select(*cols).unionByName(second.select(*cols)).groupBy("interval", "other").applyInPandas(
         meet, "uid bigint, links bigint, root bigint")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ventana.llm import bpe, grid_join, packing, pii, sharding, token_counts, topk, toxicity, url_filter
+from ventana.llm import bpe, grid_join, ngram_join, packing, pii, sharding, token_counts, topk, toxicity, url_filter
 from ventana.llm.common import table
 
 
@@ -59,6 +59,10 @@ SELECT p.page_id, p.host, p.path, f.best.rule AS rule,
 FROM p LEFT JOIN f USING (page_id)"""
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(spark, table(spark, sf_dir, "documents"), threshold=0.8, words=5).select("doc_id", "class_id", "n_links")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(toxicity.fold() != 2)
@@ -137,6 +141,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_url_filter": op2_url_filter,
+    "op3_ngram_join": op3_ngram_join,
     "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
     "op6_pii": op6_pii,

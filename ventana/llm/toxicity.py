@@ -341,7 +341,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: Sampl
 
 def score(spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
           keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, score, toxic_words, spans`` (and the columns ``keep``): the
+    """``doc_id, score, toxic_words, spans`` (and ``keep_<column>`` for the columns ``keep``): the
     document's score, the marginals' sum of squares, and the (start, end)
     offsets, in code points, of runs of words with a marginal over one half.
 
@@ -381,9 +381,8 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "doc
 
     src = pick(docs, doc_id=id_col, text=text_col, **{f"keep_{c}": c for c in keep})
     kinds = "".join(f", keep_{c} {src.schema[f'keep_{c}'].dataType.simpleString()}" for c in keep)
-    out = src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, score double, toxic_words double, "
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, score double, toxic_words double, "
                               "spans array<struct<start: bigint, end: bigint>>" + kinds)
-    return out.withColumnsRenamed({f"keep_{c}": c for c in keep if c not in ("doc_id", "score", "toxic_words", "spans")})
 
 
 def fold(id_col: str = "doc_id"):
