@@ -34,8 +34,9 @@ BUCKET = ["arc", "sub", "salt"]
 
 def ring(spark: SparkSession, shards: int, vnodes: int) -> list[tuple[int, int]]:
     """(place, shard) of every virtual node in ring order."""
-    nodes = (spark.range(shards * vnodes)
-             .select((F.col("id") % shards).cast("int").alias("shard"), F.xxhash64(F.lit("vnode"), "id").alias("place")))
+    # a shard's places are its own: another number of shards leaves them where they are
+    nodes = (spark.range(shards * vnodes).select(F.floor(F.col("id") / vnodes).cast("int").alias("shard"), (F.col("id") % vnodes).alias("nth"))
+             .select("shard", F.xxhash64(F.lit("vnode"), "shard", "nth").alias("place")))
     return sorted((r.place, r.shard) for r in nodes.collect())
 
 

@@ -122,14 +122,12 @@ class Counter:
         return count[n]
 
     def count(self, text: str) -> int:
-        look, total = self.memo.__getitem__, 0
-        for a in range(0, len(text), BATCH_CHARS) if len(text) > BATCH_CHARS else (0,):
-            if a:  # later windows begin where a word does
-                a = self._seam(text, a)
-            b = self._seam(text, a + BATCH_CHARS) if len(text) > a + BATCH_CHARS else len(text)
-            part = text[a:b].replace(" ", MARK)
-            if part:
-                total += sum(map(look, self.words(part if a else MARK + part)))
+        look, total, start = self.memo.__getitem__, 0, 0
+        while start < len(text):  # windows end before a word mark that follows another character
+            end = self._seam(text, start + BATCH_CHARS) if len(text) - start > BATCH_CHARS else len(text)
+            part = text[start:end].replace(" ", MARK)
+            total += sum(map(look, self.words(part if start else MARK + part)))
+            start = end
         return total
 
     @staticmethod
