@@ -94,7 +94,12 @@ def fill_forward_backward(df: DataFrame, columns: list[str], order_by: list[str]
     carry = summ.select(*[col(c) for c in gk],
                         *[F.last(f"_l{i}", ignorenulls=True).over(before).alias(f"_cl{i}") for i in range(len(columns))],
                         *[F.last(f"_f{i}", ignorenulls=True).over(after).alias(f"_cf{i}") for i in range(len(columns))])
-    j = ch.join(carry, gk, "left")
+    # a NULL group is a group: its carried values must reach it
+    carry = carry.withColumnsRenamed({g: f"_g{i}" for i, g in enumerate(gk)})
+    same = F.lit(True)
+    for i, g in enumerate(gk):
+        same = same & col(g).eqNullSafe(F.col(f"_g{i}"))
+    j = ch.join(carry, same, "left")
     wr = Window.partitionBy(*[col(c) for c in gk])
     upto = wr.orderBy(F.col(POS).asc()).rowsBetween(Window.unboundedPreceding, 0)
     fromh = wr.orderBy(F.col(POS).desc()).rowsBetween(Window.unboundedPreceding, 0)

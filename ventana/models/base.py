@@ -8,6 +8,7 @@ A *model spec* is fitted on a DataFrame holding feature columns and a
 
 from __future__ import annotations
 
+import inspect
 import time
 from dataclasses import dataclass, field
 from typing import Any
@@ -37,10 +38,24 @@ class Fitted:
 class Spec:
     """An unfitted model with parameters."""
     name: str = "model"
+    #: the parameters a model knows; another one is an error, not a silent no-op
+    allowed: frozenset[str] = frozenset()
 
     def __init__(self, **params: Any):
+        unknown = sorted(set(params) - self.known_parameters())
+        if unknown:
+            raise TypeError(f"{self.name} has no parameter {', '.join(unknown)}")
         self.params = params
 
+    @classmethod
+    def known_parameters(cls) -> set[str]:
+        return set(cls.allowed)
+
+    def effective(self) -> tuple:
+        """What distinguishes two fits: parameter sets that map to the same
+        estimator are equal here."""
+        return tuple(sorted((k, repr(v)) for k, v in self.params.items()))
+
     def fit(self, df: DataFrame, features: list[str], label: str = LABEL) -> Fitted:  # pragma: no cover
         raise NotImplementedError
 
@@ -72,9 +87,17 @@ class MLlibSpec(Spec):
     """Wraps an MLlib regressor factory ``make(**params)``."""
     make = None
 
+    @classmethod
+    def known_parameters(cls) -> set[str]:
+        return set(inspect.signature(cls.make).parameters)
+
     def estimator(self):
         return type(self).make(**self.params)
 
+    def effective(self) -> tuple:
+        est = self.estimator()
+        return tuple(sorted((k.name, repr(v)) for k, v in est.extractParamMap().items()))
+
     def fit(self, df: DataFrame, features: list[str], label: str = LABEL) -> Fitted:
         est = self.estimator().setFeaturesCol(VEC).setLabelCol(label).setPredictionCol(PRED)
         pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol=VEC, handleInvalid="error"), est])

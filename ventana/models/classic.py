@@ -1,11 +1,19 @@
 """G1-G5, G11 -- regressors.
 
 MLlib where its semantics fit (OLS, forests, boosting, bagging); support
-vector regression is an own iterative job: each round runs local SGD in
-every partition from broadcast weights and averages the weights in ONE
-grouped sum (p + 2 numbers per task), so no row ever leaves its executor.
-The RBF kernel uses random Fourier features (Rahimi & Recht, 2007) written
-as column expressions -- an approximation of the exact kernel machine.
+vector regression is an own iterative job (``models.shards``): each round runs
+mini-batch sub-gradient steps in fixed shards from broadcast weights and
+averages the weights in one grouped sum, until the loss settles. The RBF
+kernel uses random Fourier features (Rahimi & Recht, 2007) in numpy per Arrow
+batch: with D of them the kernel is off by O(1 / sqrt(D)); ``n_components`` is
+the parameter.
+
+Trees: a model lives on the driver while it grows and in the scoring
+broadcast. A forest of T trees has at most T x min(2^(depth + 1), 2 n / leaf)
+nodes of about 100 bytes, so at scale set ``max_depth`` or
+``min_samples_leaf``: the defaults (depth 30, leaf 1) are the source's and
+grow with n. ``min_samples_split = s`` has no MLlib counterpart; it is mapped
+to leaves of at least s // 2 rows, the nearest bound on the same splits.
 """
 
 from __future__ import annotations
@@ -19,16 +27,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ventana.models import shards
 from ventana.models.base import LABEL, PRED, ExprFitted, Fitted, MLlibSpec, Spec, lincomb
 
 
+def _leaf(min_samples_leaf: int, min_samples_split: int) -> int:
+    return max(int(min_samples_leaf), int(min_samples_split) // 2, 1)
+
+
 class LinearOLS(MLlibSpec):
     """G1 ("logistic_regression" in the source): OLS with intercept, no
     penalty; the normal-equation solver is exact and one pass."""
     name = "logistic_regression"
 
     @staticmethod
-    def make(**p):
+    def make():
         return LinearRegression(solver="normal", regParam=0.0, elasticNetParam=0.0, fitIntercept=True,
                                 standardization=False)
 
@@ -39,9 +52,9 @@ class RandomForest(MLlibSpec):
     name = "random_forest"
 
     @staticmethod
-    def make(n_estimators=100, max_depth=None, min_samples_leaf=1, seed=42, **_):
+    def make(n_estimators=100, max_depth=None, min_samples_leaf=1, min_samples_split=2, seed=42):
         return RandomForestRegressor(numTrees=int(n_estimators), maxDepth=int(max_depth or 30),
-                                     minInstancesPerNode=int(min_samples_leaf), featureSubsetStrategy="all",
+                                     minInstancesPerNode=_leaf(min_samples_leaf, min_samples_split), featureSubsetStrategy="all",
                                      bootstrap=True, seed=seed, maxBins=64)
 
 
@@ -51,9 +64,9 @@ class GradientBoosting(MLlibSpec):
     name = "gradient_boosting"
 
     @staticmethod
-    def make(n_estimators=100, learning_rate=0.1, max_depth=3, seed=42, **_):
+    def make(n_estimators=100, learning_rate=0.1, max_depth=3, min_samples_leaf=1, min_samples_split=2, seed=42):
         return GBTRegressor(maxIter=int(n_estimators), stepSize=float(learning_rate), maxDepth=int(max_depth),
-                            seed=seed, maxBins=64)
+                            minInstancesPerNode=_leaf(min_samples_leaf, min_samples_split), seed=seed, maxBins=64)
 
 
 class Bagging(MLlibSpec):
@@ -61,16 +74,16 @@ class Bagging(MLlibSpec):
     name = "bagging_regressor"
 
     @staticmethod
-    def make(n_estimators=10, seed=42, **_):
-        return RandomForestRegressor(numTrees=int(n_estimators), maxDepth=30, featureSubsetStrategy="all",
-                                     bootstrap=True, subsamplingRate=1.0, seed=seed, maxBins=64)
+    def make(n_estimators=10, max_depth=30, min_samples_leaf=1, seed=42):
+        return RandomForestRegressor(numTrees=int(n_estimators), maxDepth=int(max_depth), featureSubsetStrategy="all",
+                                     minInstancesPerNode=int(min_samples_leaf), bootstrap=True, subsamplingRate=1.0, seed=seed, maxBins=64)
 
 
 class DecisionTree(MLlibSpec):
     name = "decision_tree"
 
     @staticmethod
-    def make(max_depth=3, seed=42, **_):
+    def make(max_depth=3, seed=42):
         return DecisionTreeRegressor(maxDepth=int(max_depth), seed=seed, maxBins=64)
 
 
@@ -90,109 +103,78 @@ def _rff(n_features: int, gamma: float, n_components: int, seed: int):
     return phi
 
 
-def _svr_local(X, y, w, b, C, eps, n_total, epochs, lr, seed, batch: int = 64):
-    """Local mini-batch sub-gradient descent on one partition's rows for the
-    epsilon-insensitive loss with the global regulariser weight 1/(C n);
-    each step is vectorised over ``batch`` rows (numpy)."""
+def _svr_local(X, y, wt, theta, C, eps, n_total, epochs, lr, seed, batch: int = 64):
+    """Mini-batch sub-gradient steps on one shard for the epsilon-insensitive
+    loss with the global regulariser weight 1 / (C n); ``theta`` ends with the
+    intercept, ``wt`` counts equal rows."""
     rng = np.random.default_rng(seed)
-    n = len(y)
+    w, b, t = theta[:-1], theta[-1], 0
     lam = 1.0 / (C * n_total)
-    t = 0
+    batch = shards.batch_of(batch, wt)
     for _ in range(epochs):
-        order = rng.permutation(n)
-        for s in range(0, n, batch):
+        order = rng.permutation(len(y))
+        for s in range(0, len(y), batch):
             idx = order[s:s + batch]
-            xb = X[idx]
             t += 1
             eta = lr / np.sqrt(t)
-            r = y[idx] - (xb @ w + b)
-            sg = np.where(r > eps, 1.0, np.where(r < -eps, -1.0, 0.0))
-            w = w - eta * (lam * w - sg @ xb / len(idx))
-            b = b + eta * sg.mean()
-    return w, b
-
-
-def _svr_gd(df: DataFrame, cols: list[str], label: str, C: float, epsilon: float, rounds: int,
-            lr: float, epochs: int = 20, seed: int = 42, phi=None, dim: int | None = None) -> tuple[np.ndarray, float]:
-    """Data-parallel SGD with parameter averaging: each round broadcasts
-    (w, b); every partition runs local SGD epochs over its own rows (numpy
-    on Arrow batches) and emits its weights times its row count as
-    ``(index, value)`` rows; a ``groupBy(index)`` sum (partially merged in
-    each task) averages them, so p + 2 numbers per task cross the network
-    and only the averaged vector reaches the driver."""
-    p_in = len(cols)
-    p = dim or p_in
-    spark = df.sparkSession
-    data = df.select(*[F.col(f"`{c}`").cast("double").alias(f"x{j}") for j, c in enumerate(cols)],
-                     F.col(label).cast("double").alias("y"))
-    n_total = data.count()
-    schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("v", T.DoubleType())])
-    w, b = np.zeros(p), 0.0
-    if n_total == 0:
-        return w, b
-    for r in range(rounds):
-        bc = spark.sparkContext.broadcast((w, b))
-
-        def local(it, _bc=bc, _r=r):
-            import pandas as pd
-            frames = list(it)
-            if not frames:
-                return
-            pdf = pd.concat(frames, ignore_index=True)
-            if pdf.empty:
-                return
-            X = pdf[[f"x{j}" for j in range(p_in)]].to_numpy(dtype=np.float64)
-            if phi is not None:
-                X = phi(X)
-            yv = pdf["y"].to_numpy(dtype=np.float64)
-            w0, b0 = _bc.value
-            lw, lb = _svr_local(X, yv, w0.copy(), b0, C, epsilon, n_total, epochs, lr / (1 + _r),
-                                seed + 7919 * _r + len(yv))
-            vec = np.concatenate([lw * len(yv), [lb * len(yv), float(len(yv))]])
-            yield pd.DataFrame({"i": np.arange(p + 2, dtype=np.int32), "v": vec})
-
-        rows = data.mapInPandas(local, schema).groupBy("i").agg(F.sum("v").alias("v")).collect()
-        bc.unpersist()
-        g = np.zeros(p + 2)
-        for r_ in rows:
-            g[r_["i"]] = r_["v"]
-        if g[p + 1] <= 0:
-            break
-        w, b = g[:p] / g[p + 1], g[p] / g[p + 1]
-    return w, b
+            r = y[idx] - (X[idx] @ w + b)
+            sg = np.where(r > eps, 1.0, np.where(r < -eps, -1.0, 0.0)) * wt[idx] / wt[idx].sum()
+            w = w - eta * (lam * w - sg @ X[idx])
+            b = b + eta * sg.sum()
+    return np.append(w, b)
+
+
+def _svr_fit(df: DataFrame, cols: list[str], label: str, mu: float, sd: float, C: float, epsilon: float, rounds: int, tol: float,
+             lr: float, epochs: int, seed: int, shard_rows: int, phi=None, dim: int | None = None) -> tuple[np.ndarray, float]:
+    """Weights for the label in units of ``sd`` around ``mu`` (rows are dealt
+    and ordered by the label as it is)."""
+    data, n, _ = shards.sharded(df, cols, label, shard_rows)
+    p = dim or len(cols)
+    turn = phi or (lambda X: X)
+
+    def improve(X, y, wt, theta, r, shard):
+        return _svr_local(turn(X), (y - mu) / sd, wt, theta, C, epsilon, n, epochs, lr / (1 + r), seed + 7919 * r + shard)
+
+    def loss(X, y, wt, theta):
+        r = np.abs((y - mu) / sd - (turn(X) @ theta[:-1] + theta[-1]))
+        return float((wt * np.maximum(0.0, r - epsilon)).sum() + wt.sum() * (theta[:-1] @ theta[:-1]) / (2 * C * max(1, n)))
+
+    try:
+        theta, _ = shards.fit(data, len(cols), np.zeros(p + 1), improve, loss, rounds, tol)
+    finally:
+        data.unpersist()
+    return theta[:-1], float(theta[-1])
 
 
 class SVR(Spec):
     """G3 (linear kernel) / G4 (RBF via random Fourier features).
 
     ``gamma='scale'`` is 1 / (p * Var(X)) over all feature values, 'auto' is
-    1 / p. The training frame is cached for the iterations."""
+    1 / p. The training rows are cached for the iterations, which stop when
+    the loss falls by less than ``tol`` of itself (at most ``rounds``)."""
     name = "svm"
+    allowed = frozenset({"C", "epsilon", "kernel", "gamma", "n_components", "rounds", "tol", "lr", "epochs", "seed", "shard_rows"})
 
     def fit(self, df: DataFrame, features: list[str], label: str = LABEL):
         C = float(self.params.get("C", 1.0))
         eps = float(self.params.get("epsilon", 0.1))
         kernel = self.params.get("kernel", "rbf")
-        rounds = int(self.params.get("rounds", 6))
         lr = float(self.params.get("lr", 0.5))
         n_comp = int(self.params.get("n_components", 64))
         seed = int(self.params.get("seed", 42))
+        how = {"rounds": int(self.params.get("rounds", 40)), "tol": float(self.params.get("tol", 1e-3)), "lr": lr,
+               "epochs": int(self.params.get("epochs", 20)), "seed": seed,
+               "shard_rows": int(self.params.get("shard_rows", shards.SHARD_ROWS))}
         st = df.agg(F.avg(F.col(label)).alias("mu"), F.stddev_pop(F.col(label)).alias("sd"),
                     *[F.avg(F.col(f"`{c}`")).alias(f"m{i}") for i, c in enumerate(features)],
                     *[F.avg(F.col(f"`{c}`") * F.col(f"`{c}`")).alias(f"q{i}") for i, c in enumerate(features)]
                     ).collect()[0]
         mu, sd = st["mu"] or 0.0, st["sd"] or 1.0
         sd = sd if sd > 0 else 1.0
-        y = ((F.col(label) - F.lit(mu)) / F.lit(sd)).alias(label)
         feats = list(features)
         if kernel == "linear":
-            base = df.select(*[F.col(f"`{c}`") for c in features], y).cache()
-            try:
-                w, b = _svr_gd(base, feats, label, C, eps / sd, rounds, lr)
-            finally:
-                base.unpersist()
-            return ExprFitted(lambda: lincomb(feats, w, b) * F.lit(sd) + F.lit(mu), feats, self.name,
-                              state={"w": w.tolist(), "b": b, "mu": mu, "sd": sd})
+            w, b = _svr_fit(df, feats, label, mu, sd, C, eps / sd, **how)
+            return linear_svr(w, b, mu, sd, feats, self.name)
         p = len(features)
         gamma = self.params.get("gamma", "scale")
         if gamma == "scale":
@@ -202,30 +184,34 @@ class SVR(Spec):
             gamma = 1.0 / (p * var_all) if var_all > 0 else 1.0
         elif gamma == "auto":
             gamma = 1.0 / p
-        phi = _rff(p, float(gamma), n_comp, seed)
-        base = df.select(*[F.col(f"`{c}`") for c in features], y).cache()
-        try:
-            w, b = _svr_gd(base, feats, label, C, eps / sd, rounds, lr, phi=phi, dim=n_comp)
-        finally:
-            base.unpersist()
-        return _ArrowKernelSVR(phi, w, b, mu, sd, feats, self.name)
+        w, b = _svr_fit(df, feats, label, mu, sd, C, eps / sd, **how, phi=_rff(p, float(gamma), n_comp, seed), dim=n_comp)
+        return _ArrowKernelSVR(float(gamma), seed, w, b, mu, sd, feats, self.name)
+
+
+def linear_svr(w, b, mu, sd, feats, name) -> Fitted:
+    return ExprFitted(lambda: lincomb(feats, w, b) * F.lit(sd) + F.lit(mu), feats, name,
+                      state={"w": list(map(float, w)), "b": float(b), "mu": float(mu), "sd": float(sd)})
 
 
 class _ArrowKernelSVR(Fitted):
     """RBF-SVR prediction per Arrow batch: ``phi(X) @ w + b``, rescaled."""
 
-    def __init__(self, phi, w, b, mu, sd, features, name):
-        self.phi, self.w, self.b, self.mu, self.sd = phi, w, b, mu, sd
+    def __init__(self, gamma, seed, w, b, mu, sd, features, name):
+        self.phi = _rff(len(features), gamma, len(w), seed)
+        self.w, self.b, self.mu, self.sd = np.asarray(w, dtype=np.float64), b, mu, sd
         self.features, self.name, self.output_col = features, name, PRED
+        self.state = {"gamma": gamma, "seed": seed, "w": list(map(float, w)), "b": float(b), "mu": float(mu), "sd": float(sd)}
 
     def transform(self, df: DataFrame) -> DataFrame:
         phi, w, b, mu, sd, feats, out = self.phi, self.w, self.b, self.mu, self.sd, self.features, self.output_col
         schema = T.StructType([f for f in df.schema.fields if f.name != out] + [T.StructField(out, T.DoubleType())])
 
         def score(it):
+            import pandas as pd
             for pdf in it:
                 X = pdf[feats].to_numpy(dtype=np.float64)
-                pdf[out] = (phi(X) @ w + b) * sd + mu
+                v = (phi(X) @ w + b) * sd + mu
+                pdf[out] = pd.Series(np.nan_to_num(v), index=pdf.index, dtype="Float64").mask(np.isnan(v))
                 yield pdf[[f.name for f in schema.fields]]
         return df.mapInPandas(score, schema)
 

@@ -20,7 +20,7 @@ from ventana.models.classic import SPECS as CLASSIC
 from ventana.models.classic import GradientBoosting, LinearOLS, RandomForest, SVR
 from ventana.models.ensembles import SPECS as ENSEMBLE
 from ventana.models.mlp import MLP, ChunkedMLP
-from ventana.operators.evaluate import evaluate, metric_columns
+from ventana.operators.evaluate import evaluate
 
 log = logging.getLogger(__name__)
 
@@ -38,8 +38,13 @@ def get_spec(name: str, **params) -> Spec | None:
     return cls(**params) if cls else None
 
 
-def r2_score_col(y, p):
-    return metric_columns(y, p)[2]
+def core_metrics(preds: DataFrame, by: list[str]) -> DataFrame:
+    """R2, MSE and MAE of ``(y, p)`` per group from plain sums: the three that
+    model selection reads, without the order statistics of the full report."""
+    e = F.col("y") - F.col("p")
+    got = preds.groupBy(*by).agg(F.avg(e * e).alias("mse"), F.avg(F.abs(e)).alias("mae"), F.var_pop("y").alias("v"))
+    r2 = F.when(F.col("v") > 0, 1 - F.col("mse") / F.col("v")).otherwise(F.when(F.col("mse") == 0, 1.0).otherwise(0.0))
+    return got.select(*by, r2.alias("r2"), "mse", "mae")
 
 
 def cross_val_predict(spec: Spec, df: DataFrame, features: list[str], fold_col: str = "fold",
@@ -56,34 +61,24 @@ def cross_val_predict(spec: Spec, df: DataFrame, features: list[str], fold_col:
 
 def cross_validate(spec: Spec, df: DataFrame, features: list[str], fold_col: str = "fold", k: int = 5,
                    label: str = LABEL, name: str | None = None, parallelism: int = 2) -> DataFrame:
-    """Per fold, test and train R2, -MSE, -MAE, fit and score time.
-    Predictions of all folds are scored in ONE grouped aggregate."""
+    """Per fold, test and train R2, -MSE, -MAE, fit and score time (each
+    fold's own: it is scored by one aggregate, 2 rows of which come back)."""
     spark = df.sparkSession
-    preds, times = None, []
 
     def fit_fold(f):
         t0 = time.time()
         m = spec.fit(df.filter(F.col(fold_col) != f), features, label)
         return m, time.time() - t0
-    fitted = parallel_map(fit_fold, range(k), parallelism)
-    for f, (m, ft) in enumerate(fitted):
-        both = m.transform(df).select(F.lit(f).alias("fold"),
-                                      F.when(F.col(fold_col) == f, "test").otherwise("train").alias("part"),
+    rows = []
+    for f, (m, fit_time) in enumerate(parallel_map(fit_fold, range(k), parallelism)):
+        t0 = time.time()
+        both = m.transform(df).select(F.when(F.col(fold_col) == f, "test").otherwise("train").alias("part"),
                                       F.col(label).alias("y"), F.col(PRED).alias("p"))
-        preds = both if preds is None else preds.unionByName(both)
-        times.append((f, ft))
-    t0 = time.time()
-    sc = evaluate(preds, by=["fold", "part"])
-    rows = sc.select("fold", "part", "r2", (-F.col("mse")).alias("neg_mean_squared_error"),
-                     (-F.col("mae")).alias("neg_mean_absolute_error"))
-    wide = rows.groupBy("fold").pivot("part", ["test", "train"]).agg(
-        F.first("r2").alias("r2"), F.first("neg_mean_squared_error").alias("neg_mean_squared_error"),
-        F.first("neg_mean_absolute_error").alias("neg_mean_absolute_error"))
-    wide = wide.cache()
-    wide.count()
-    st = time.time() - t0
-    tt = spark.createDataFrame([(f, ft, st / k) for f, ft in times], "fold int, fit_time double, score_time double")
-    out = wide.join(tt, "fold")
+        got = {r.part: r for r in core_metrics(both, ["part"]).collect()}
+        rows.append((f, *[x for part in ("test", "train") for x in (
+            (got[part].r2, -got[part].mse, -got[part].mae) if part in got else (None, None, None))], fit_time, time.time() - t0))
+    cols = [f"{part}_{m} double" for part in ("test", "train") for m in ("r2", "neg_mean_squared_error", "neg_mean_absolute_error")]
+    out = spark.createDataFrame(rows, ", ".join(["fold int", *cols, "fit_time double", "score_time double"]))
     return out.withColumn("model", F.lit(name or spec.name)).orderBy("fold")
 
 
@@ -117,24 +112,29 @@ def param_grid(grid: dict[str, list]) -> list[dict]:
 
 
 def grid_search(spec: Spec, grid: dict[str, list], df: DataFrame, features: list[str], fold_col: str = "fold",
-                k: int = 5, label: str = LABEL, parallelism: int = 2):
-    """Every grid point x k folds scored by mean test R2; the best
-    point is refitted on all rows. Returns (fitted, best_params, best_score,
-    table of all points)."""
-    points = param_grid(grid)
-    tasks = [(pi, f) for pi in range(len(points)) for f in range(k)]
-    fits = parallel_map(lambda t: spec.copy(**points[t[0]]).fit(df.filter(F.col(fold_col) != t[1]), features, label),
-                        tasks, parallelism)
-    models = dict(zip(tasks, fits))
-    preds = None
-    for (pi, f), m in models.items():
-        part = m.transform(df.filter(F.col(fold_col) == f)).select(
-            F.lit(pi).alias("point"), F.lit(f).alias("fold"), F.col(label).alias("y"), F.col(PRED).alias("p"))
-        preds = part if preds is None else preds.unionByName(part)
-    # every point and fold scored in one grouped aggregate
-    per_fold = evaluate(preds, by=["point", "fold"]).groupBy("point").agg(F.avg("r2").alias("s")).collect()
-    score_of = {r["point"]: r["s"] for r in per_fold}
-    results = [(str(pt), score_of.get(i)) for i, pt in enumerate(points)]
+                k: int = 5, label: str = LABEL, parallelism: int = 2, tuning: DataFrame | None = None):
+    """Every grid point x k folds scored by mean test R2; the best point
+    (the first of equals) is refitted on all rows of ``df``. Returns (fitted,
+    best_params, best_score, table of all points).
+
+    Points are scored one after another and their models let go, so k models
+    are held at a time whatever the grid. Points that map to the same
+    estimator are fitted once. ``tuning``: folded rows to tune on in place of
+    ``df`` (see ``split.tuning_sample``; default all)."""
+    points, rows = param_grid(grid), tuning if tuning is not None else df
+    seen: dict[tuple, float | None] = {}
+    results = []
+    for point in points:
+        sp = spec.copy(**point)
+        key = sp.effective()
+        if key not in seen:
+            fits = parallel_map(lambda f: sp.fit(rows.filter(F.col(fold_col) != f), features, label), range(k), parallelism)
+            preds = None
+            for f, m in enumerate(fits):
+                part = m.transform(rows.filter(F.col(fold_col) == f)).select(F.lit(f).alias("fold"), F.col(label).alias("y"), F.col(PRED).alias("p"))
+                preds = part if preds is None else preds.unionByName(part)
+            seen[key] = core_metrics(preds, ["fold"]).agg(F.avg("r2").alias("s")).first()["s"]
+        results.append((str(point), seen[key]))
     best_i = max(range(len(points)), key=lambda i: results[i][1] if results[i][1] is not None else float("-inf"))
     best = points[best_i]
     fitted = spec.copy(**best).fit(df, features, label)
@@ -144,11 +144,10 @@ def grid_search(spec: Spec, grid: dict[str, list], df: DataFrame, features: list
 
 def train_all(df: DataFrame, features: list[str], label: str = LABEL, names: list[str] | None = None,
               params: dict[str, dict] | None = None, order_by: list[str] | None = None) -> dict:
-    """Six classics then four ensembles on the cached training frame;
-    an ensemble failure is logged and the rest continues."""
+    """Six classics then four ensembles on the training frame (which the
+    caller caches); an ensemble failure is logged and the rest continues."""
     names = names or (CLASSIC_ORDER + ENSEMBLE_ORDER)
     params = params or {}
-    df = df.cache()
     fitted = {}
     for n in names:
         p = dict(params.get(n, {}))
@@ -190,4 +189,4 @@ def select_and_test(models: dict, val: DataFrame, test: DataFrame, key: list[str
 
 __all__ = ["REGISTRY", "get_spec", "cross_val_predict", "cross_validate", "cv_scores", "compare_cv",
            "cv_folds_table", "param_grid", "grid_search", "train_all", "long_predictions", "select_and_test",
-           "LinearOLS", "RandomForest", "SVR", "GradientBoosting", "MLP", "ChunkedMLP", "r2_score_col"]
+           "LinearOLS", "RandomForest", "SVR", "GradientBoosting", "MLP", "ChunkedMLP", "core_metrics"]

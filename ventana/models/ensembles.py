@@ -17,7 +17,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ventana.models.base import LABEL, PRED, VEC, Fitted, MLlibFitted, Spec, parallel_map
+from ventana.models.base import LABEL, PRED, VEC, Fitted, MLlibFitted, Spec, lincomb, parallel_map
 from ventana.models.classic import DecisionTree, GradientBoosting, LinearOLS, RandomForest, SVR
 from ventana.session import checkpoint_dir
 
@@ -28,11 +28,12 @@ def default_bases():
 
 
 class _Chain(Fitted):
-    """Applies fitted bases (each to its own column), then combines."""
+    """Applies fitted bases (each to its own column), then adds them up with
+    weights and an intercept."""
 
-    def __init__(self, bases: list[tuple[str, Fitted]], combine, features, name, drop=True):
-        self.bases, self.combine, self.features, self.name = bases, combine, features, name
-        self.output_col, self.drop = PRED, drop
+    def __init__(self, bases: list[tuple[str, Fitted]], weights, intercept: float, features, name):
+        self.bases, self.weights, self.intercept = bases, [float(w) for w in weights], float(intercept)
+        self.features, self.name, self.output_col = features, name, PRED
 
     def transform(self, df: DataFrame) -> DataFrame:
         cols = []
@@ -41,25 +42,26 @@ class _Chain(Fitted):
             c = f"_base{i}"
             out = m.with_output(c).transform(out)
             cols.append(c)
-        out = out.withColumn(self.output_col, self.combine([F.col(c) for c in cols]))
-        return out.drop(*cols) if self.drop else out
+        return out.withColumn(self.output_col, lincomb(cols, self.weights, self.intercept)).drop(*cols)
 
 
 class Voting(Spec):
     """Mean of the refitted bases' predictions."""
     name = "voting_regressor"
+    allowed = frozenset({"bases", "parallelism"})
 
     def fit(self, df, features, label=LABEL):
         bases = self.params.get("bases") or default_bases()
         par = int(self.params.get("parallelism", 1))
         fitted = parallel_map(lambda nb: (nb[0], nb[1].fit(df, features, label)), bases, par)
-        return _Chain(fitted, lambda cs: sum(cs[1:], cs[0]) / float(len(cs)), list(features), self.name)
+        return _Chain(fitted, [1.0 / len(fitted)] * len(fitted), 0.0, list(features), self.name)
 
 
 class Stacking(Spec):
     """Out-of-fold predictions of the bases over ``fold_col`` (contiguous
     folds, F4) train an OLS meta-model; the bases are refitted on all rows."""
     name = "stacking_regressor"
+    allowed = frozenset({"bases", "cv", "order_by", "fold_col", "parallelism"})
 
     def fit(self, df, features, label=LABEL):
         from ventana.operators.split import contiguous_folds
@@ -95,14 +97,8 @@ class Stacking(Spec):
         meta = LinearOLS().fit(oof, base_cols, label)
         fitted = [(bases[i][0], models[(None, i)]) for i in range(len(bases))]
         lm = meta.model.stages[-1]
-        w, b = list(lm.coefficients.toArray()), float(lm.intercept)
-
-        def combine(cs):
-            e = F.lit(b)
-            for c, wi in zip(cs, w):
-                e = e + c * F.lit(float(wi))
-            return e
-        return _Chain(fitted, combine, list(features), self.name)
+        df.unpersist()
+        return _Chain(fitted, lm.coefficients.toArray(), lm.intercept, list(features), self.name)
 
 
 class AdaBoostR2(Spec):
@@ -112,6 +108,7 @@ class AdaBoostR2(Spec):
     round's weighted loss is 0 (kept) or >= 0.5 (discarded, unless it is
     the first). Prediction = weighted median of the trees."""
     name = "ada_boost"
+    allowed = frozenset({"n_estimators", "learning_rate", "max_depth", "checkpoint_every"})
 
     def fit(self, df, features, label=LABEL):
         n_est = int(self.params.get("n_estimators", 50))
@@ -119,49 +116,36 @@ class AdaBoostR2(Spec):
         depth = int(self.params.get("max_depth", 3))
         every = int(self.params.get("checkpoint_every", 5))
         checkpoint_dir(df.sparkSession)
-        cur = df.select(*[F.col(f"`{c}`") for c in features], F.col(label), F.lit(1.0).alias("_w")).persist()
-        cur = cur.checkpoint(eager=True)
-        trees, weights, cached = [], [], []
+        cur = df.select(*[F.col(f"`{c}`") for c in features], F.col(label), F.lit(1.0).alias("_w")).cache()
+        trees, weights, held = [], [], [cur]
         for t in range(n_est):
-            tree = DecisionTree(max_depth=depth, seed=42 + t)
-            est = tree.estimator().setWeightCol("_w")
+            est = DecisionTree(max_depth=depth, seed=42 + t).estimator().setWeightCol("_w")
             pm = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol=VEC),
                                   est.setFeaturesCol(VEC).setLabelCol(label).setPredictionCol("_p")]).fit(cur)
-            m = MLlibFitted(pm, list(features), f"tree{t}", "_p")
             scored = pm.transform(cur).drop(VEC)
             err = F.abs(F.col(label) - F.col("_p"))
-            st = scored.agg(F.max(err).alias("emax"), F.sum("_w").alias("wsum")).collect()[0]
+            # one aggregate a round: the mean loss is a ratio of sums
+            st = scored.agg(F.max(err).alias("emax"), F.sum("_w").alias("wsum"), F.sum(F.col("_w") * err).alias("werr")).first()
             emax, wsum = st["emax"] or 0.0, st["wsum"] or 0.0
-            if emax <= 0 or wsum <= 0:
-                trees.append(m)
-                weights.append(1.0)
+            lbar = st["werr"] / (emax * wsum) if emax > 0 and wsum > 0 else 0.0
+            if lbar >= 0.5 and trees:
                 break
-            loss = err / F.lit(emax)
-            lbar = scored.agg((F.sum(F.col("_w") * loss) / F.lit(wsum)).alias("l")).collect()[0]["l"]
-            if lbar <= 0:
-                trees.append(m)
+            trees.append(MLlibFitted(pm, list(features), f"tree{t}", "_p"))
+            if lbar <= 0 or lbar >= 0.5:
                 weights.append(1.0)
                 break
-            if lbar >= 0.5:
-                if not trees:
-                    trees.append(m)
-                    weights.append(1.0)
-                break
             beta = lbar / (1.0 - lbar)
-            trees.append(m)
             weights.append(lr * math.log(1.0 / beta))
-            nw = F.col("_w") * F.pow(F.lit(beta), (F.lit(1.0) - loss) * F.lit(lr))
-            tot = scored.agg(F.sum(nw).alias("s")).collect()[0]["s"] or 1.0
-            cur = scored.select(*[F.col(f"`{c}`") for c in features], F.col(label), (nw / F.lit(tot)).alias("_w"))
+            # weights matter up to a factor: this round's sum keeps them near one
+            nw = F.col("_w") / F.lit(wsum) * F.pow(F.lit(beta), (F.lit(1.0) - err / F.lit(emax)) * F.lit(lr))
+            cur = scored.select(*[F.col(f"`{c}`") for c in features], F.col(label), nw.alias("_w")).cache()
+            held.append(cur)
             if (t + 1) % every == 0:  # cut the lineage in the shared checkpoint folder
-                cur = cur.persist().checkpoint(eager=True)
-                for c in cached:
+                cur = cur.checkpoint(eager=True)
+                for c in held:
                     c.unpersist()
-                cached = []
-            else:
-                cur = cur.cache()
-                cached.append(cur)
-        for c in cached:
+                held = []
+        for c in held:
             c.unpersist()
         return _WeightedMedian(trees, weights, list(features), self.name)
 

@@ -1,24 +1,21 @@
 """G6/G7 -- multi-layer perceptron regressor, data-parallel.
 
-Each round broadcasts the current parameters, every partition runs local
-Adam mini-batch epochs over its own rows inside ``mapInPandas`` (numpy on
-Arrow batches), and emits its parameter vector weighted by its row count as
-``(index, value)`` rows; a ``groupBy(index)`` sum -- partially aggregated
-inside each task -- averages them, so only one parameter vector (model-sized,
-not data-sized) reaches the driver per round. G7 is the same job with the
-source's 2,000-row chunks as the local batches and one pass per round (warm
-start from the previous round). Prediction is a JVM-side column expression
-for small networks and an Arrow-batched ``mapInPandas`` for large ones.
+Each round (``models.shards``) broadcasts the parameters; every shard runs
+local Adam mini-batch epochs over its own rows in numpy; one grouped sum
+averages the results, so only a parameter vector (model-sized, not data-sized)
+reaches the driver. Rounds stop when the loss settles. G7 is the same job with
+one pass per round after the first (warm start). Prediction runs on Arrow
+batches; a row with a missing feature has none.
 """
 
 from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ventana.models.base import LABEL, PRED, ExprFitted, Fitted, Spec, balanced_sum
+from ventana.models import shards
+from ventana.models.base import LABEL, PRED, Fitted, Spec
 
 
 def _shapes(p: int, hidden: tuple[int, ...]) -> list[tuple[int, int]]:
@@ -66,13 +63,14 @@ def _dact(a, kind):
     return (a > 0).astype(a.dtype)
 
 
-def _local_train(X, y, theta, shapes, act, lr, alpha, batch, epochs, seed):
+def _local_train(X, y, wt, theta, shapes, act, lr, alpha, batch, epochs, seed):
     """Adam on squared loss/2 + alpha/2 |W|^2 (scikit-learn's objective)."""
     m1 = np.zeros_like(theta)
     m2 = np.zeros_like(theta)
     b1, b2, eps = 0.9, 0.999, 1e-8
     t = 0
     n = len(y)
+    batch = shards.batch_of(batch, wt)
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         order = rng.permutation(n) if batch < n else np.arange(n)
@@ -84,7 +82,8 @@ def _local_train(X, y, theta, shapes, act, lr, alpha, batch, epochs, seed):
             for li, (W, bb) in enumerate(layers):
                 z = acts[-1] @ W + bb
                 acts.append(z if li == len(layers) - 1 else _act(z, act))
-            delta = (acts[-1][:, 0] - yb)[:, None] / len(yb)
+            share = wt[idx] / wt[idx].sum()
+            delta = ((acts[-1][:, 0] - yb) * share)[:, None]
             grads = []
             for li in range(len(layers) - 1, -1, -1):
                 W, _ = layers[li]
@@ -101,61 +100,50 @@ def _local_train(X, y, theta, shapes, act, lr, alpha, batch, epochs, seed):
     return theta
 
 
+def _predict(X, layers, act):
+    h = X
+    for li, (W, bb) in enumerate(layers):
+        h = h @ W + bb
+        if li < len(layers) - 1:
+            h = _act(h, act)
+    return h[:, 0]
+
+
 class MLP(Spec):
     """G6 ("neural_network"): hidden (100,), relu, Adam lr 1e-3, alpha 1e-4.
-    ``rounds`` x ``local_epochs`` replaces scikit-learn's ``max_iter``."""
+    Up to ``rounds`` x ``local_epochs`` passes, fewer once the loss falls by
+    less than ``tol`` of itself."""
     name = "neural_network"
     chunked = False
+    allowed = frozenset({"hidden_layer_sizes", "activation", "learning_rate_init", "alpha", "rounds", "local_epochs",
+                         "batch_size", "seed", "tol", "shard_rows"})
 
     def fit(self, df: DataFrame, features: list[str], label: str = LABEL) -> Fitted:
         hidden = tuple(int(h) for h in self.params.get("hidden_layer_sizes", (100,)))
         act = self.params.get("activation", "relu")
         lr = float(self.params.get("learning_rate_init", 1e-3))
         alpha = float(self.params.get("alpha", 1e-4))
-        rounds = int(self.params.get("rounds", 10))
+        rounds = int(self.params.get("rounds", 25))
         epochs = int(self.params.get("local_epochs", 40))
         batch = int(self.params.get("batch_size", 200))
         seed = int(self.params.get("seed", 42))
-        p = len(features)
-        shapes = _shapes(p, hidden)
-        theta = _init(shapes, seed)
-        spark = df.sparkSession
-        data = df.select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(features)],
-                         F.col(label).cast("double").alias("y")).cache()
-        out_schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("v", T.DoubleType()),
-                                   T.StructField("n", T.LongType())])
+        tol = float(self.params.get("tol", 1e-3))
+        shapes = _shapes(len(features), hidden)
+        chunked = self.chunked
+
+        def improve(X, y, wt, theta, r, shard):
+            # The first pass is a full fit, later ones single warm-started epochs
+            passes = 1 if chunked and r > 0 else epochs
+            return _local_train(X, y, wt, theta, shapes, act, lr, alpha, batch, passes, seed + 7919 * r + shard)
+
+        def loss(X, y, wt, theta):
+            layers = _unpack(theta, shapes)
+            e = _predict(X, layers, act) - y
+            return float((wt * e * e).sum() / 2 + alpha / 2 * sum((W * W).sum() for W, _ in layers))
+
+        data, _, _ = shards.sharded(df, list(features), label, int(self.params.get("shard_rows", shards.SHARD_ROWS)))
         try:
-            for r in range(rounds):
-                bc = spark.sparkContext.broadcast(theta)
-
-                # The first pass is a full fit, later passes are single
-                # warm-started epochs (scikit-learn's fit then partial_fit)
-                ep = 1 if (self.chunked and r > 0) else epochs
-
-                def train_part(it, _bc=bc, _r=r, _ep=ep):
-                    import pandas as pd
-                    frames = [b for b in it]
-                    if not frames:
-                        return
-                    pdf = pd.concat(frames, ignore_index=True)
-                    if pdf.empty:
-                        return
-                    X = pdf[[f"x{i}" for i in range(p)]].to_numpy(dtype=np.float64)
-                    y = pdf["y"].to_numpy(dtype=np.float64)
-                    th = _local_train(X, y, _bc.value.copy(), shapes, act, lr, alpha, batch, _ep,
-                                      seed + 7919 * _r + len(y))
-                    yield pd.DataFrame({"i": np.arange(len(th), dtype=np.int32), "v": th * len(y),
-                                        "n": np.full(len(th), len(y), dtype=np.int64)})
-
-                agg = data.mapInPandas(train_part, out_schema).groupBy("i") \
-                          .agg(F.sum("v").alias("v"), F.sum("n").alias("n")).collect()
-                bc.unpersist()
-                if not agg:
-                    break
-                new = np.zeros_like(theta)
-                for row in agg:
-                    new[row["i"]] = row["v"] / row["n"]
-                theta = new
+            theta, _ = shards.fit(data, len(features), _init(shapes, seed), improve, loss, rounds, tol)
         finally:
             data.unpersist()
         return mlp_fitted(theta, shapes, act, list(features), self.name)
@@ -163,37 +151,21 @@ class MLP(Spec):
 
 class ChunkedMLP(MLP):
     """G7 ("mlp_regressor"): a full fit on the first pass, then warm-started
-    single passes (the source's 2,000-row chunks become the partitions'
-    slices of the data; inside them, 200-row mini-batches as partial_fit)."""
+    single passes (the source's 2,000-row chunks become the shards; inside
+    them, 200-row mini-batches). The source tunes it on a sample first: see
+    ``tuning_rows`` of ``cv.grid_search``."""
     name = "mlp_regressor"
     chunked = True
 
 
-def mlp_fitted(theta, shapes, act, features, name, expr_limit: int = 300) -> Fitted:
-    layers = _unpack(theta, shapes)
-    if theta.size <= expr_limit:
-        def expr():
-            h = [F.col(f"`{c}`").cast("double") for c in features]
-            for li, (W, bb) in enumerate(layers):
-                nxt = []
-                for j in range(W.shape[1]):
-                    z = balanced_sum([F.lit(float(bb[j]))] + [h[i] * F.lit(float(W[i, j])) for i in range(W.shape[0])])
-                    if li < len(layers) - 1:
-                        if act == "tanh":
-                            z = F.tanh(z)
-                        elif act == "logistic":
-                            z = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
-                        elif act != "identity":
-                            z = F.greatest(z, F.lit(0.0))
-                    nxt.append(z)
-                h = nxt
-            return h[0]
-        return ExprFitted(expr, features, name, state={"theta": theta.tolist(), "act": act,
-                                                      "shapes": [list(x) for x in shapes]})
+def mlp_fitted(theta, shapes, act, features, name) -> Fitted:
     return _ArrowMLP(theta, shapes, act, features, name)
 
 
 class _ArrowMLP(Fitted):
+    """Scores Arrow batches with numpy, whatever the network's size. A row
+    with a missing feature has no prediction (NULL)."""
+
     def __init__(self, theta, shapes, act, features, name):
         self.theta, self.shapes, self.act, self.features, self.name = theta, shapes, act, features, name
         self.output_col = PRED
@@ -205,12 +177,10 @@ class _ArrowMLP(Fitted):
         schema = T.StructType([f for f in df.schema.fields if f.name != out] + [T.StructField(out, T.DoubleType())])
 
         def score(it):
+            import pandas as pd
             for pdf in it:
-                h = pdf[feats].to_numpy(dtype=np.float64)
-                for li, (W, bb) in enumerate(layers):
-                    h = h @ W + bb
-                    if li < len(layers) - 1:
-                        h = _act(h, act)
-                pdf[out] = h[:, 0]
+                X = pdf[feats].to_numpy(dtype=np.float64)
+                missing = np.isnan(X).any(axis=1)
+                pdf[out] = pd.Series(np.nan_to_num(_predict(X, layers, act)), index=pdf.index, dtype="Float64").mask(missing)
                 yield pdf[[f.name for f in schema.fields]]
         return df.mapInPandas(score, schema)

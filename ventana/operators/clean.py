@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ventana.functions.exprs import col, numeric_columns
+from ventana.functions.exprs import col, nan_to_null, numeric_columns
 from ventana.operators.schema import normalize_column_names
 
 REASON = "_reason"
@@ -53,13 +53,14 @@ def keep_non_negative(df: DataFrame, columns: list[str] | None = None) -> DataFr
     cols = columns or numeric_columns(df)
     e = F.lit(True)
     for c in cols:
-        e = e & F.coalesce(col(c) >= 0, F.lit(False))
+        e = e & F.coalesce(nan_to_null(col(c).cast("double")) >= 0, F.lit(False))
     return df.filter(e)
 
 
 def in_range(c: Column, lo: float | None, hi: float | None) -> Column:
     """C4 rule: ``(x >= lo or x = 0) and x <= hi``; None is unbounded.
-    NULL yields false (the row is dropped)."""
+    NULL and NaN yield false (the row is dropped)."""
+    c = nan_to_null(c.cast("double"))
     e = F.lit(True)
     if lo is not None:
         e = e & ((c >= F.lit(lo)) | (c == 0))

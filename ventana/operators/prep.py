@@ -22,7 +22,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ventana.functions.exprs import col, numeric_columns
+from ventana.functions.exprs import col, nan_to_null, numeric_columns
 from ventana.functions.ordering import fill_forward_backward
 from ventana.operators.profile import correlation_matrix, to_long
 from ventana.operators.schema import (normalize_column_names, numeric_only, remove_categorical_columns,
@@ -84,7 +84,7 @@ def impute(df: DataFrame, method: str = "mean", columns: list[str] | None = None
     cols = _feature_cols(df, columns)
     p = params or column_params(df, cols, accuracy)
     key = {"mean": "mean", "median": "median"}[method]
-    return _apply(df, {c: F.coalesce(col(c).cast("double"), _lit(p[c][key])) for c in cols})
+    return _apply(df, {c: F.coalesce(nan_to_null(col(c).cast("double")), _lit(p[c][key])) for c in cols})
 
 
 def forward_back_fill(df: DataFrame, order_by: list[str], columns: list[str] | None = None,
@@ -99,13 +99,13 @@ def residual_fill(df: DataFrame, columns: list[str] | None = None, params: dict
     """Leftover NULLs -> column mean; all-NULL column -> 0."""
     cols = _feature_cols(df, columns)
     p = params or column_params(df, cols, quantiles=False)
-    return _apply(df, {c: F.coalesce(col(c).cast("double"), _lit(p[c]["mean"]), F.lit(0.0)) for c in cols})
+    return _apply(df, {c: F.coalesce(nan_to_null(col(c).cast("double")), _lit(p[c]["mean"]), F.lit(0.0)) for c in cols})
 
 
 def missing_policy(method: str | None) -> str | None:
     """Row drops are not allowed after the split; 'drop' becomes 'mean'."""
     if method == "drop":
-        log.warning("handle_missing_values='drop' is not allowed after the split; using 'mean'")
+        log.warning("rows stay after the split: missing values are filled with the column mean, not dropped")
         return "mean"
     return method
 
@@ -146,7 +146,7 @@ def zscore_replace(df: DataFrame, columns: list[str] | None = None, t: float = 1
 def clip_negative(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``greatest(x, 0)`` on every feature column (NULL stays NULL)."""
     cols = _feature_cols(df, columns)
-    return _apply(df, {c: F.greatest(col(c).cast("double"), F.lit(0.0)) for c in cols})
+    return _apply(df, {c: F.when(col(c) < 0, F.lit(0.0)).otherwise(nan_to_null(col(c).cast("double"))) for c in cols})
 
 
 def negative_count(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -271,19 +271,43 @@ class FeaturePrepModel:
     stats: dict = field(default_factory=dict)
     scaler_params: list[tuple] = field(default_factory=list)
     passthrough: list[str] = field(default_factory=list)
+    outlier_stats: dict = field(default_factory=dict)
+
+    def _typed(self, df: DataFrame, keep: list[str]) -> DataFrame:
+        """The kept columns and the features as doubles; NaN is missing."""
+        return df.select(*[col(c) for c in keep], *[nan_to_null(col(c).cast("double")).alias(c) for c in self.features])
+
+    def _imputed(self, x: DataFrame, st: dict) -> tuple[DataFrame, bool]:
+        method = missing_policy(self.config.handle_missing_values)
+        if method in ("mean", "median"):
+            return impute(x, method, self.features, st), True
+        if method in ("forward_fill", "ffill"):
+            if not self.config.order_by:
+                raise ValueError("forward_fill needs PrepConfig.order_by")
+            return forward_back_fill(x, list(self.config.order_by), self.features), True
+        return x, False
+
+    def measure_outliers(self, df: DataFrame, stats: dict) -> dict:
+        """Outlier statistics of the frame AFTER imputation."""
+        if not self.config.outlier_method:
+            return {}
+        df = normalize_column_names(df)
+        x, _ = self._imputed(self._typed(df, [c for c in self.config.order_by if c in df.columns and c not in self.features]), stats)
+        return column_params(x, self.features, self.config.accuracy, _needs_quantiles(self.config))
 
     def transform(self, df: DataFrame, fit_stats: bool | None = None, keep: list[str] | None = None,
                   stats: dict | None = None) -> DataFrame:
-        """``fit_stats``: compute imputation/outlier statistics on this frame
-        (the source's behaviour) instead of using the stored ones; ``stats``
-        passes statistics already computed on exactly this frame."""
+        """``fit_stats``: compute imputation and outlier statistics on this
+        frame (the source's behaviour) instead of using the stored ones;
+        ``stats`` passes the imputation statistics already computed on exactly
+        this frame (then the stored outlier statistics are this frame's too)."""
         cfg = self.config
         df = normalize_column_names(df)
         keep = [c for c in self.passthrough + list(keep or []) if c in df.columns]
         missing = [c for c in self.features if c not in df.columns]
         if missing:
             raise ValueError(f"Missing feature columns: {missing}")
-        x = df.select(*[col(c) for c in keep], *[col(c).cast("double").alias(c) for c in self.features])
+        x = self._typed(df, keep)
         frame_stats = cfg.stats_from == "frame" if fit_stats is None else fit_stats
         feats = self.features
         nq = _needs_quantiles(cfg)
@@ -291,18 +315,10 @@ class FeaturePrepModel:
             st = stats
         else:
             st = column_params(x, feats, cfg.accuracy, nq) if frame_stats else self.stats
-        method = missing_policy(cfg.handle_missing_values)
-        imputed = False
-        if method in ("mean", "median"):
-            x = impute(x, method, feats, st)
-            imputed = True
-        elif method in ("forward_fill", "ffill"):
-            if not cfg.order_by:
-                raise ValueError("forward_fill needs PrepConfig.order_by")
-            x = forward_back_fill(x, list(cfg.order_by), feats)
-            imputed = True
+        x, imputed = self._imputed(x, st)
         if cfg.outlier_method:
-            st2 = column_params(x, feats, cfg.accuracy, nq) if frame_stats and stats is None else st
+            # measured after imputation: filled cells count, and no column holds NULLs any more
+            st2 = column_params(x, feats, cfg.accuracy, nq) if frame_stats and stats is None else self.outlier_stats
             if cfg.outlier_method == "iqr":
                 x = iqr_winsorise(x, feats, cfg.outlier_threshold, st2)
             elif cfg.outlier_method == "zscore":
@@ -323,7 +339,7 @@ class FeaturePrepModel:
     # -- D12 persistence: parameters as parquet + config as JSON
     def save(self, spark: SparkSession, path: str) -> None:
         meta = {"config": asdict(self.config), "features": self.features, "passthrough": self.passthrough,
-                "stats": self.stats}
+                "stats": self.stats, "outlier_stats": self.outlier_stats}
         spark.createDataFrame([(json.dumps(meta, default=float),)], "meta string") \
              .coalesce(1).write.mode("overwrite").text(f"{path}/meta")
         spark.createDataFrame(self.scaler_params or [], PARAM_SCHEMA) \
@@ -337,7 +353,8 @@ class FeaturePrepModel:
             if cfg.get(k) is not None:
                 cfg[k] = tuple(cfg[k])
         params = [tuple(r) for r in spark.read.parquet(f"{path}/scaler").collect()]
-        return FeaturePrepModel(PrepConfig(**cfg), meta["features"], meta["stats"], params, meta["passthrough"])
+        return FeaturePrepModel(PrepConfig(**cfg), meta["features"], meta["stats"], params, meta["passthrough"],
+                                meta["outlier_stats"])
 
 
 class FeaturePrep:
@@ -362,7 +379,7 @@ class FeaturePrep:
             body, _ = remove_categorical_columns(body, list(cfg.categorical_list) if cfg.categorical_list else None)
         body, _ = numeric_only(body)
         if not body.columns:
-            raise ValueError("No numeric feature columns remaining")
+            raise ValueError("selection left no numeric column to train on")
         return body.columns
 
     def fit(self, df: DataFrame) -> FeaturePrepModel:
@@ -374,6 +391,7 @@ class FeaturePrep:
         model = FeaturePrepModel(self.config, feats, {}, [], passthrough)
         model.stats = column_params(normalize_column_names(df).select(*feats), feats, self.config.accuracy,
                                     _needs_quantiles(self.config))
+        model.outlier_stats = model.measure_outliers(df, model.stats)
         train = model.transform(df, fit_stats=True, stats=model.stats)
         sp = fit_scaler(train, self.config.feature_scaling or "", feats, accuracy=self.config.accuracy)
         model.scaler_params = [tuple(r) for r in sp.collect()]

@@ -17,18 +17,20 @@ from ventana.functions.exprs import col, is_numeric, row_mean_skip_nulls
 DEFAULT_CATEGORICAL = ["codigo_almacen", "almacen", "codigo_producto", "descripcion_producto", "cum",
                        "tipo_producto", "descripcion_padre", "valor_promedio", "valor_final"]
 
-_NOT_NAME = re.compile(r"[^a-z0-9_]")
+# What each form of a name leaves out, after lower-casing.
+_LEFT_OUT = {"exact": re.compile(r"[^a-z0-9_]+"), "loose": re.compile(r"[\s_-]+")}
 
 
-def normalize_name(name: str) -> str:
-    """lower-case, then delete everything outside ``[a-z0-9_]`` (accented
-    letters are deleted, not transliterated)."""
-    return _NOT_NAME.sub("", name.lower())
+def normalize_name(name: str, form: str = "exact") -> str:
+    """Lower-case, without what the form leaves out: ``exact`` keeps
+    ``[a-z0-9_]`` (accented letters go, they are not transliterated);
+    ``loose`` (B9's second try) drops white space, dashes and underscores."""
+    return _LEFT_OUT[form].sub("", str(name).lower())
 
 
 def loose_name(name: str) -> str:
-    """B9's looser match: lower-case without spaces, dashes or underscores."""
-    return str(name).lower().replace(" ", "").replace("-", "").replace("_", "")
+    """B9's looser match."""
+    return normalize_name(name, "loose")
 
 
 def normalize_column_names(df: DataFrame) -> DataFrame:

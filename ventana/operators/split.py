@@ -91,21 +91,32 @@ def stratified_folds(df: DataFrame, key: list[str] | str, label: str = "label",
     ks = [key] if isinstance(key, str) else list(key)
     d = df.withColumn(U, uniform_hash(_key(key), seed))
     ranked = global_row_index(d, [label, U] + ks, "_r")
-    first = ranked.groupBy(col(label)).agg(F.min("_r").alias("_r0"))
-    j = ranked.join(first, label)
-    return j.withColumn(FOLD, ((F.col("_r") - F.col("_r0")) % k).cast("int")).drop("_r", "_r0", U)
+    first = ranked.groupBy(col(label).alias("_label")).agg(F.min("_r").alias("_r0"))
+    # rows without a label are a class of their own
+    j = ranked.join(first, col(label).eqNullSafe(F.col("_label")))
+    return j.withColumn(FOLD, ((F.col("_r") - F.col("_r0")) % k).cast("int")).drop("_r", "_r0", "_label", U)
 
 
 def head_sample(df: DataFrame, order_by: list[str], fraction_div: int = 5, minimum: int = 1000) -> DataFrame:
-    """the first ``max(n // 5, 1000)`` rows in ``order_by`` order (the
-    source's tuning sample). Rows are not capped otherwise: this *is* the
-    operator."""
+    """the first ``max(n // 5, 1000)`` rows in ``order_by`` order, what
+    the source's chunked network was tuned on. Nothing here fits on it: tuning
+    uses :func:`tuning_sample`, whose bound is a parameter (default: all rows)."""
     ranked = global_row_index(df, order_by, "_r")
     n = ranked.count()
     m = max(n // fraction_div, minimum)
     return ranked.filter(F.col("_r") < m).drop("_r")
 
 
+def tuning_sample(df: DataFrame, key: list[str] | str, rows: int | None = None, seed: int = 42) -> DataFrame:
+    """The rows a model is tuned on: all of them, or the ``rows`` with the
+    smallest key hash (independent of row order and partitioning)."""
+    if rows is None:
+        return df
+    ks = [key] if isinstance(key, str) else list(key)
+    ranked = global_row_index(df.withColumn(U, uniform_hash(_key(key), seed)), [U] + ks, "_r")
+    return ranked.filter(F.col("_r") < rows).drop("_r", U)
+
+
 def chunk_ids(df: DataFrame, order_by: list[str], size: int = 2000) -> DataFrame:
     """``chunk = row_position div size`` (ceil(n/size) chunks)."""
     ranked = global_row_index(df, order_by, "_r")
@@ -118,4 +129,4 @@ def row_index(df: DataFrame, order_by: list[str], name: str = "row_idx") -> Data
 
 
 __all__ = ["split_data", "split_sizes", "hash_folds", "contiguous_folds", "shuffled_folds_exact",
-           "stratified_folds", "head_sample", "chunk_ids", "row_index", "SPLIT", "FOLD"]
+           "stratified_folds", "head_sample", "tuning_sample", "chunk_ids", "row_index", "SPLIT", "FOLD"]

@@ -24,9 +24,28 @@ from ventana.operators.schema import analysis_columns_fallback, normalize_column
 log = logging.getLogger(__name__)
 
 
+# The source's tuning grids.
+DEFAULT_GRIDS = {
+    "logistic_regression": {},
+    "random_forest": {"n_estimators": [100, 200, 300], "max_depth": [5, 10, 15, None],
+                      "min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2, 4]},
+    "svm": {"C": [0.1, 1, 10, 100], "kernel": ["linear", "rbf"], "gamma": ["scale", "auto"]},
+    "gradient_boosting": {"n_estimators": [50, 100, 200], "learning_rate": [0.01, 0.05, 0.1],
+                          "max_depth": [3, 5, 7], "min_samples_split": [2, 5, 10]},
+    "neural_network": {"hidden_layer_sizes": [(300,), (400, 100), (100, 50, 25)], "learning_rate_init": [0.001, 0.01],
+                       "alpha": [0.0001, 0.001], "activation": ["relu", "tanh"]},
+    "mlp_regressor": {"hidden_layer_sizes": [(100,), (200,), (300,), (100, 50), (200, 100)], "activation": ["relu", "tanh"],
+                      "learning_rate_init": [0.001, 0.01, 0.1], "alpha": [0.0001, 0.001, 0.01]},
+}
+# Folds per tuned model where they are not the run's cv_folds.
+TUNING_FOLDS = {"gradient_boosting": 3, "mlp_regressor": 3}
+
+
 @dataclass(frozen=True)
 class RunConfig:
-    """K4: the source's configuration groups with the same defaults."""
+    """K4: the source's configuration groups. ``tune`` searches ``grids``
+    (default: the source's) for every model that has one; ``tuning_rows``
+    bounds the rows a chunked network is tuned on (default: all)."""
     val_size: float = 0.2
     test_size: float = 0.2
     random_state: int = 42
@@ -35,8 +54,9 @@ class RunConfig:
     filters: C.FilterConfig | None = None
     models: tuple[str, ...] = tuple(CV.CLASSIC_ORDER + CV.ENSEMBLE_ORDER)
     model_params: dict = field(default_factory=dict)
-    grids: dict = field(default_factory=dict)
+    grids: dict = field(default_factory=lambda: dict(DEFAULT_GRIDS))
     tune: bool = False
+    tuning_rows: int | None = None
     exact_split: bool = False
 
 
@@ -73,29 +93,45 @@ def run_training(df: DataFrame, target: str | list[str], key: list[str], config:
     train = prepared.filter(F.col("split") == "train").cache()
     val = prepared.filter(F.col("split") == "val")
     test = prepared.filter(F.col("split") == "test")
-    params = dict(cfg.model_params)
+    params = {n: dict(p) for n, p in cfg.model_params.items()}
     models = {}
-    if cfg.tune and cfg.grids:
-        folded = SP.contiguous_folds(train, key, cfg.cv_folds)
+    if cfg.tune:
+        if not any(cfg.grids.get(n) for n in cfg.models):
+            raise ValueError("tune=True, but none of the run's models has a grid")
         for n in cfg.models:
-            if n in cfg.grids and cfg.grids[n]:
-                fitted, best, score, _ = CV.grid_search(CV.get_spec(n, **params.get(n, {})), cfg.grids[n],
-                                                        folded, feats, "fold", cfg.cv_folds)
-                models[n] = fitted
+            if cfg.grids.get(n):
+                k = TUNING_FOLDS.get(n, cfg.cv_folds)
+                rows = SP.tuning_sample(train, key, cfg.tuning_rows) if n == "mlp_regressor" else train
+                models[n], best, _, _ = CV.grid_search(CV.get_spec(n, **params.get(n, {})), cfg.grids[n], train, feats, "fold", k,
+                                                       tuning=SP.contiguous_folds(rows, key, k))
+                params[n] = params.get(n, {}) | best
+    # the ensembles build on the tuned parameters
+    bases = [(n, CV.get_spec(n, **params.get(n, {}))) for n in ("logistic_regression", "random_forest", "svm", "gradient_boosting")]
+    for n in ("voting_regressor", "stacking_regressor"):
+        params[n] = {"bases": bases} | params.get(n, {})
+    params["stacking_regressor"] = {"order_by": key} | params["stacking_regressor"]
     rest = [n for n in cfg.models if n not in models]
     models.update(CV.train_all(train, feats, "label", rest, params, order_by=key))
     lb, best, test_m = CV.select_and_test(models, val, test, key)
+    lb, test_m = _small(lb), _small(test_m)
     cv = None
     if cross_validate_best:
         folded = SP.hash_folds(train, key, cfg.cv_folds, cfg.random_state)
-        cv = CV.cross_validate(CV.get_spec(best, **params.get(best, {"order_by": key})), folded, feats, "fold",
-                               cfg.cv_folds, name=best)
+        cv = CV.cross_validate(CV.get_spec(best, **params.get(best, {})), folded, feats, "fold", cfg.cv_folds, name=best)
     tm = test_m.first()
     summary = H.run_summary(prepared.filter(F.col("split") != "none"), feats, "label", list(models), best,
                             tm.asDict() if tm else None, {"models": len(models), "tune": cfg.tune})
+    summary = _small(summary)
+    train.unpersist()
+    prepared.unpersist()
     return TrainingResult(lb, best, test_m, cv, summary, models, pm, feats, SP.split_sizes(split), clean_stats)
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """A result of a few rows, computed now: it outlives the cached inputs."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def run_profile(df: DataFrame, usable: list[str], k: float = 1.5, t: float = 3.0, bins: int = 50,
                 columns: list[str] | None = None) -> dict[str, DataFrame]:
     """K3: normalise names, choose columns (B9), then the statistics table

@@ -176,8 +176,9 @@ def j2_stream_scoring(spark, sf_dir):
     Structured Streaming query (availableNow), output read back."""
     b, te = _bundle(spark, sf_dir)
     base = work_dir(spark, "j2")
-    te.drop("split", "label", "product_id").write.mode("overwrite").option("header", "true").csv(f"{base}/in")
-    q = score_stream(spark, b, f"{base}/in", f"{base}/out", checkpoint=f"{base}/ckpt")
+    files = te.drop("split", "label")
+    files.write.mode("overwrite").option("header", "true").csv(f"{base}/in")
+    q = score_stream(spark, b, f"{base}/in", f"{base}/out", checkpoint=f"{base}/ckpt", schema=files.schema)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
 

@@ -423,17 +423,10 @@ def _flags_sql(src: str, cols: list[str], expr) -> str:
 @register("d13_constant_flags", _flags_sql(dm_pair_sql(), _PAIR_NORMALISED[:7] + RAW_MONTHS,
                                            lambda c: f"count(DISTINCT {qi(c)}) = 1"))
 def d13_constant_flags(spark, sf_dir):
-    """D13 on DM_PAIR: which columns have exactly one distinct non-NULL
-    value (``min = max`` and a value, in one aggregate)."""
-    return _constant_flag_frame(B.dm_pair(spark, sf_dir))
-
-
-def _constant_flag_frame(d):
-    one = d.agg(*[((F.min(F.col(f"`{c}`")) == F.max(F.col(f"`{c}`"))) & (F.count(F.col(f"`{c}`")) > 0))
-                  .alias(f"_k{i}") for i, c in enumerate(d.columns)])
-    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
-                                                  F.col(f"_k{i}").alias("is_constant"))
-                                         for i, c in enumerate(d.columns)])))
+    """D13 on DM_PAIR: which columns the operator finds constant."""
+    d = B.dm_pair(spark, sf_dir)
+    found = set(D.constant_columns(d))
+    return spark.createDataFrame([(c, c in found) for c in d.columns], "column_name string, is_constant boolean")
 
 
 _X2 = f"{FEATURES[-1]}_x2"

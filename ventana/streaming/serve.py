@@ -13,15 +13,15 @@ from __future__ import annotations
 
 import json
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ventana.models.base import PRED, ExprFitted, Fitted, MLlibFitted
-from ventana.models.mlp import mlp_fitted
+from ventana.models.base import PRED, Fitted
+from ventana.models.persist import load_model, save_model
 from ventana.operators.prep import FeaturePrepModel
 from ventana.operators.schema import literal_row_frame, validate_columns
 from ventana.session import work_dir
+from ventana.sources.io import nan_as_null
 
 
 class Bundle:
@@ -37,22 +37,9 @@ class Bundle:
     # ---------------------------------------------------------------- J4
     def save(self, spark: SparkSession, path: str) -> str:
         self.prep.save(spark, f"{path}/prep")
+        save_model(spark, self.model, f"{path}/model")
         meta = {"model_name": self.model_name, "usable_columns": self.usable_columns,
-                "target_name": self.target_name, "config": self.config, "kind": None}
-        if isinstance(self.model, MLlibFitted):
-            self.model.save(f"{path}/model")
-            meta["kind"] = "mllib"
-            meta["features"] = self.model.features
-        elif "theta" in getattr(self.model, "state", {}):
-            meta["kind"] = "mlp"
-            meta["state"] = self.model.state
-            meta["features"] = self.model.features
-        elif isinstance(self.model, ExprFitted) and "w" in self.model.state and "proj" not in self.model.state:
-            meta["kind"] = "linear_svr" if len(self.model.state["w"]) == len(self.model.features) else None
-            meta["state"] = self.model.state
-            meta["features"] = self.model.features
-        if meta["kind"] is None:
-            raise ValueError(f"model {self.model_name} cannot be saved in a bundle")
+                "target_name": self.target_name, "config": self.config}
         spark.createDataFrame([(json.dumps(meta, default=float),)], "meta string").coalesce(1) \
              .write.mode("overwrite").text(f"{path}/meta")
         return path
@@ -63,21 +50,7 @@ class Bundle:
         if not meta.get("usable_columns"):
             raise ValueError("bundle has no usable_columns")
         prep = FeaturePrepModel.load(spark, f"{path}/prep")
-        feats = meta["features"]
-        if meta["kind"] == "mllib":
-            model = MLlibFitted(PipelineModel.load(f"{path}/model"), feats, meta["model_name"])
-        elif meta["kind"] == "mlp":
-            import numpy as np
-            st = meta["state"]
-            theta = np.array(st["theta"])
-            model = mlp_fitted(theta, st["shapes"] if "shapes" in st else _guess_shapes(theta, len(feats)),
-                               st["act"], feats, meta["model_name"])
-        else:
-            from ventana.models.base import lincomb
-            st = meta["state"]
-            w, b, mu, sd = st["w"], st["b"], st["mu"], st["sd"]
-            model = ExprFitted(lambda: lincomb(feats, w, b) * F.lit(sd) + F.lit(mu), feats, meta["model_name"],
-                               state=st)
+        model = load_model(spark, f"{path}/model")
         return Bundle(prep, model, meta["model_name"], meta["usable_columns"], meta["target_name"],
                       meta.get("config"))
 
@@ -104,10 +77,6 @@ class Bundle:
                              F.col(PRED).alias(out_name))
 
 
-def _guess_shapes(theta, p):
-    raise ValueError("MLP bundle needs its layer shapes")
-
-
 def score_one(spark: SparkSession, bundle: Bundle, values: dict | None = None) -> DataFrame:
     """One record of the usable columns (missing ones default to 0.0)."""
     return bundle.score(literal_row_frame(spark, bundle.usable_columns, values))
@@ -117,13 +86,15 @@ def score_stream(spark: SparkSession, bundle: Bundle, in_dir: str, out_dir: str,
                  checkpoint: str | None = None, schema=None, available_now: bool = True):
     """Every new file of features in ``in_dir`` is validated, scored and
     appended to ``out_dir`` (Parquet). Files need an explicit schema; the
-    default is the bundle's usable columns as doubles."""
+    default is the bundle's usable columns as doubles. Further columns of the
+    schema (a row's key) are carried into the output."""
     from pyspark.sql import types as T
     if schema is None:
         schema = T.StructType([T.StructField(c, T.DoubleType(), True) for c in bundle.usable_columns])
     reader = spark.readStream.schema(schema)
     src = reader.option("header", "true").csv(in_dir) if fmt == "csv" else reader.parquet(in_dir)
-    scored = bundle.score(src)
+    # a literal NaN in a file is a missing value here as in the batch readers
+    scored = bundle.score(nan_as_null(src))
     ck = checkpoint or work_dir(spark, "stream-ckpt")
     w = scored.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", ck) \
               .outputMode("append")
