@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ventana.functions.quantiles import quantile_frame
+
 # sklearn's MAPE guard (float64 machine epsilon).
 EPS = 2.220446049250313e-16
 
@@ -26,12 +28,14 @@ def _guarded_ratio(num: Column, den: Column) -> Column:
 
 
 def metric_columns(y: Column, p: Column, accuracy: int | None = None) -> list[Column]:
-    """H1-H6 as aggregate expressions over one group."""
+    """H1-H6 as aggregate expressions over one group. The median error is
+    exact only through :func:`evaluate`, which fills it in; with ``accuracy``
+    it is an approximate percentile here."""
     e = y - p
     n = F.count(F.lit(1))
     sse = F.sum(e * e)
     sst = n * F.var_pop(y)
-    med = F.percentile_approx(F.abs(e), 0.5, accuracy) if accuracy else F.percentile(F.abs(e), 0.5)
+    med = F.percentile_approx(F.abs(e), 0.5, accuracy) if accuracy else F.lit(None).cast("double")
     return [
         F.avg(F.abs(e)).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
@@ -49,13 +53,29 @@ def evaluate(preds: DataFrame, y: str = "y", p: str = "p", by: list[str] | None
     sorted MAE asc, RMSE asc, R2 desc."""
     by = by if by is not None else ["model"]
     out = preds.groupBy(*by).agg(*metric_columns(F.col(y).cast("double"), F.col(p).cast("double"), accuracy))
+    if not accuracy:
+        size = preds.select(*by, F.abs(F.col(y).cast("double") - F.col(p).cast("double")).alias("_e"))
+        out = _with_quantiles(out, quantile_frame(size, by, "_e", [0.5]), by).withColumn("medae", F.col("_q")[0]).drop("_q")
     return out.orderBy(F.col("mae").asc_nulls_last(), F.col("rmse").asc_nulls_last(),
                        F.col("r2").desc_nulls_last(), *by)
 
 
 def evaluate_one(df: DataFrame, y: str = "label", p: str = "prediction", accuracy: int | None = None) -> DataFrame:
     """H1-H6 for one model's predictions (one row)."""
-    return df.agg(*metric_columns(F.col(y).cast("double"), F.col(p).cast("double"), accuracy))
+    one = df.select(F.lit(1).alias("_one"), F.col(y).alias("_y"), F.col(p).alias("_p"))
+    names = [n for n in METRICS]
+    out = evaluate(one, "_y", "_p", ["_one"], accuracy).select(*names)
+    # one row also for no predictions
+    return df.sparkSession.range(1).join(out, F.lit(True), "left").select(*names)
+
+
+def _with_quantiles(out: DataFrame, q: DataFrame, by: list[str]) -> DataFrame:
+    """Adds ``_q`` of the (few) groups to their row."""
+    q = q.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(by)})
+    same = F.lit(True)
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    return out.join(F.broadcast(q), same, "left").drop(*[f"_k{i}" for i in range(len(by))])
 
 
 def best_model(leaderboard: DataFrame, metric: str = "mae", name: str = "model") -> DataFrame:
@@ -74,11 +94,15 @@ def prediction_errors(df: DataFrame, y: str = "y", p: str = "p", by: list[str] |
     """H14 ``get_prediction_errors`` of ``e = y - p``: mean, population std,
     min, max, median, 5th and 95th percentile (linear interpolation)."""
     e = F.col(y).cast("double") - F.col(p).cast("double")
-    probs = F.array(F.lit(0.5), F.lit(0.05), F.lit(0.95))
-    pct = F.percentile_approx(e, probs, accuracy) if accuracy else F.percentile(e, probs)
-    g = df.groupBy(*(by or [])) if by else df
-    out = g.agg(F.avg(e).alias("mean_error"), F.stddev_pop(e).alias("std_error"), F.min(e).alias("min_error"),
+    probs = [0.5, 0.05, 0.95]
+    pct = F.percentile_approx(e, F.array(*[F.lit(x) for x in probs]), accuracy) if accuracy else F.lit(None).cast("array<double>")
+    if not by:
+        got = prediction_errors(df.withColumn("_one", F.lit(1)), y, p, ["_one"], accuracy).drop("_one")
+        return df.sparkSession.range(1).join(got, F.lit(True), "left").drop("id")
+    out = df.groupBy(*by).agg(F.avg(e).alias("mean_error"), F.stddev_pop(e).alias("std_error"), F.min(e).alias("min_error"),
                 F.max(e).alias("max_error"), pct.alias("_q"))
+    if not accuracy:
+        out = _with_quantiles(out.drop("_q"), quantile_frame(df.select(*by, e.alias("_e")), by, "_e", probs), by)
     return out.select(*(by or []), "mean_error", "std_error", "min_error", "max_error",
                       F.col("_q")[0].alias("median_error"), F.col("_q")[1].alias("percentile_5"),
                       F.col("_q")[2].alias("percentile_95"))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ventana.functions.exprs import col, nan_to_null, numeric_columns
 from ventana.functions.ordering import fill_forward_backward
+from ventana.functions.quantiles import exact_quantiles
 from ventana.operators.profile import correlation_matrix, to_long
 from ventana.operators.schema import (normalize_column_names, numeric_only, remove_categorical_columns,
                                       select_usable_columns)
@@ -39,28 +40,26 @@ def _feature_cols(df: DataFrame, columns: list[str] | None, exclude=()) -> list[
     return numeric_columns(df, exclude)
 
 
-def _quantiles(v: Column, probs, accuracy: int | None) -> Column:
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    return F.percentile_approx(v, arr, accuracy) if accuracy else F.percentile(v, arr)
-
-
 def column_params(df: DataFrame, columns: list[str], accuracy: int | None = None,
                   quantiles: bool = True) -> dict[str, dict]:
-    """Every per-column statistic any D-op needs, in one aggregate; p rows
-    reach the driver (bounded by the schema width). ``quantiles=False``
-    skips the percentile sketch/map -- the only non-algebraic part -- when
-    no median, IQR or robust scaling is configured."""
+    """Every per-column statistic any D-op needs; p rows reach the driver
+    (bounded by the schema width). ``quantiles=False`` skips the order
+    statistics -- the only part that is not one aggregate -- when no median,
+    IQR or robust scaling is configured; ``accuracy`` asks for approximate ones."""
     if not columns:
         return {}
     v = F.col("value")
-    q = _quantiles(v, [0.25, 0.5, 0.75], accuracy) if quantiles else F.lit(None).cast("array<double>")
+    probs = [0.25, 0.5, 0.75]
+    approx = quantiles and accuracy
+    q = F.percentile_approx(v, F.array(*[F.lit(p) for p in probs]), accuracy) if approx else F.lit(None).cast("array<double>")
+    exact = dict(exact_quantiles(to_long(df, columns), ["column_name"], "value", probs)) if quantiles and not accuracy else {}
     rows = to_long(df, columns).groupBy("column_name").agg(
         F.avg(v).alias("mean"), F.stddev_pop(v).alias("std_pop"), F.min(v).alias("min"),
         F.max(v).alias("max"), q.alias("q"),
         F.count(v).alias("n_valid"), F.count(F.lit(1)).alias("n_rows")).collect()
     out = {}
     for r in rows:
-        q = r["q"] or [None, None, None]
+        q = r["q"] or exact.get((r["column_name"],)) or [None, None, None]
         out[r["column_name"]] = {"mean": r["mean"], "std_pop": r["std_pop"], "min": r["min"], "max": r["max"],
                                  "q1": q[0], "median": q[1], "q3": q[2], "n_valid": r["n_valid"],
                                  "n_rows": r["n_rows"]}

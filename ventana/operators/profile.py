@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ventana.functions.exprs import col, nan_to_null, numeric_columns, q
+from ventana.functions.quantiles import exact_quantiles, quantile_frame
 
 STAT_COLUMNS = ["column_name", "mean", "std_dev", "min", "q1", "median", "q3", "max",
                 "iqr", "skewness", "kurtosis"]
@@ -48,11 +49,46 @@ def _ordered(out: DataFrame, columns: list[str], names: list[str]) -> DataFrame:
     return out.withColumn("_pos", _position(columns)).orderBy("_pos").select(*names)
 
 
-def _quantiles(v: Column, probs: list[float], accuracy: int | None) -> Column:
-    arr = F.array(*[F.lit(float(p)) for p in probs])
+QUARTILES = [0.25, 0.5, 0.75]
+
+
+def _with_quartiles(df: DataFrame, cols: list[str], aggregates: list[Column], accuracy: int | None) -> DataFrame:
+    """Per column the aggregates and ``_q``, its quartiles: exact by default,
+    ``percentile_approx`` with ``accuracy``."""
+    long = to_long(df, cols)
+    if accuracy:
+        return long.groupBy("column_name").agg(*aggregates, F.percentile_approx("value", F.array(*[F.lit(p) for p in QUARTILES]), accuracy).alias("_q"))
+    out = long.groupBy("column_name").agg(*aggregates)
+    return out.join(F.broadcast(quantile_frame(long, ["column_name"], "value", QUARTILES)), "column_name", "left")
+
+
+def _quartiles(df: DataFrame, cols: list[str], accuracy: int | None) -> dict[str, list[float | None]]:
+    """The same as numbers, one entry per column."""
     if accuracy:
-        return F.percentile_approx(v, arr, accuracy)
-    return F.percentile(v, arr)
+        return {r["column_name"]: r["_q"] or [None] * 3 for r in _with_quartiles(df, cols, [F.count("value").alias("n")], accuracy).collect()}
+    return {k[0]: q for k, q in exact_quantiles(to_long(df, cols), ["column_name"], "value", QUARTILES)}
+
+
+def _fences(df: DataFrame, cols: list[str], k: float, accuracy: int | None) -> dict[str, tuple]:
+    """(q1, median, q3, lower, upper) per column; Nones where it has no values."""
+    out = {}
+    for c, (q1, med, q3) in _quartiles(df, cols, accuracy).items():
+        out[c] = (None,) * 5 if q1 is None else (q1, med, q3, q1 - k * (q3 - q1), q3 + k * (q3 - q1))
+    return {c: out.get(c, (None,) * 5) for c in cols}
+
+
+def _number(x: float | None) -> Column:
+    return F.lit(None).cast("double") if x is None else F.lit(float(x))
+
+
+def _wide(df: DataFrame, cols: list[str], per_column) -> DataFrame:
+    """One aggregate over the wide frame, reshaped to a row per column.
+    ``per_column(c, v)`` gives named aggregates; ``v`` is the value, NaN as NULL."""
+    aggs = {c: per_column(c, nan_to_null(col(c).cast("double"))) for c in cols}
+    one = df.agg(F.count(F.lit(1)).alias("_n"), *[e.alias(f"_{i}_{name}") for i, c in enumerate(cols) for name, e in aggs[c].items()])
+    rows = [F.struct(F.lit(i).alias("_pos"), F.lit(c).alias("column_name"), *[F.col(f"_{i}_{name}").alias(name) for name in aggs[c]])
+            for i, c in enumerate(cols)]
+    return one.select("_n", F.inline(F.array(*rows)))
 
 
 def column_statistics(df: DataFrame, columns: list[str] | None = None,
@@ -62,10 +98,9 @@ def column_statistics(df: DataFrame, columns: list[str] | None = None,
     ``accuracy`` switches the exact percentile to ``percentile_approx``."""
     cols = analysis_columns(df, columns)
     v = F.col("value")
-    agg = to_long(df, cols).groupBy("column_name").agg(
-        F.avg(v).alias("mean"), F.stddev_samp(v).alias("std_dev"), F.min(v).alias("min"),
-        _quantiles(v, [0.25, 0.5, 0.75], accuracy).alias("_q"), F.max(v).alias("max"),
-        F.skewness(v).alias("skewness"), F.kurtosis(v).alias("kurtosis"))
+    agg = _with_quartiles(df, cols, [
+        F.avg(v).alias("mean"), F.stddev_samp(v).alias("std_dev"), F.min(v).alias("min"), F.max(v).alias("max"),
+        F.skewness(v).alias("skewness"), F.kurtosis(v).alias("kurtosis")], accuracy)
     out = agg.select(
         "column_name", "mean", "std_dev", "min",
         F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"),
@@ -77,10 +112,9 @@ def describe(df: DataFrame, columns: list[str] | None = None, accuracy: int | No
     """Count, mean, std (n-1), min, 25/50/75 %, max per numeric column."""
     cols = analysis_columns(df, columns)
     v = F.col("value")
-    agg = to_long(df, cols).groupBy("column_name").agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), _quantiles(v, [0.25, 0.5, 0.75], accuracy).alias("_q"),
-        F.max(v).alias("max"))
+    agg = _with_quartiles(df, cols, [
+        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
+        F.max(v).alias("max")], accuracy)
     out = agg.select("column_name", "count", "mean", "std", "min",
                      F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
                      F.col("_q")[2].alias("p75"), "max")
@@ -196,7 +230,8 @@ def categorical_cardinality(df: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def profile(df: DataFrame) -> dict[str, DataFrame]:
-    """E14 ``describe_data``: the E1-E5 tables bundled (all lazy)."""
+    """E14 ``describe_data``: the E1-E5 tables bundled (the quartiles and the
+    correlation sums are computed when called)."""
     return {"shape": shape_and_types(df), "missing": missing_counts(df),
             "numeric_stats": describe(df), "correlation": correlation_matrix(df),
             "categorical": categorical_cardinality(df)}
@@ -228,30 +263,25 @@ def iqr_bounds(df: DataFrame, columns: list[str] | None = None, k: float = 1.5,
                accuracy: int | None = None) -> DataFrame:
     """Per column Q1, Q3 and the fences ``Q1 - k*IQR``, ``Q3 + k*IQR``."""
     cols = analysis_columns(df, columns)
-    q = to_long(df, cols).groupBy("column_name").agg(
-        _quantiles(F.col("value"), [0.25, 0.5, 0.75], accuracy).alias("_q"))
-    iqr = F.col("_q")[2] - F.col("_q")[0]
-    return q.select("column_name", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                    F.col("_q")[2].alias("q3"), iqr.alias("iqr"),
-                    (F.col("_q")[0] - k * iqr).alias("lower_bound"),
-                    (F.col("_q")[2] + k * iqr).alias("upper_bound"))
+    rows = _bound_rows(_fences(df, cols, k, accuracy))
+    return df.sparkSession.createDataFrame(rows, "column_name string, q1 double, median double, q3 double, iqr double, "
+                                                 "lower_bound double, upper_bound double")
+
+
+def _bound_rows(fences: dict[str, tuple]) -> list[tuple]:
+    return [(c, q1, med, q3, None if q1 is None else q3 - q1, lo, hi) for c, (q1, med, q3, lo, hi) in fences.items()]
 
 
 def iqr_outliers(df: DataFrame, columns: list[str] | None = None, k: float = 1.5,
                  accuracy: int | None = None) -> DataFrame:
     """E7 summary: per column outlier count, % of all rows, and bounds."""
     cols = analysis_columns(df, columns)
-    bounds = iqr_bounds(df, cols, k, accuracy)
-    v = F.col("value")
-    flagged = to_long(df, cols).join(F.broadcast(bounds.select("column_name", "lower_bound", "upper_bound")),
-                                     "column_name")
-    out = flagged.groupBy("column_name", "lower_bound", "upper_bound").agg(
-        F.count_if((v < F.col("lower_bound")) | (v > F.col("upper_bound"))).alias("outlier_count"),
-        F.count(F.lit(1)).alias("_n"))
-    out = out.select("column_name", F.col("outlier_count").cast("long").alias("outlier_count"),
-                     (F.col("outlier_count") * 100.0 / F.col("_n")).alias("outlier_pct"),
-                     "lower_bound", "upper_bound")
-    return _ordered(out, cols, ["column_name", "outlier_count", "outlier_pct", "lower_bound", "upper_bound"])
+    fences = _fences(df, cols, k, accuracy)
+    out = _wide(df, cols, lambda c, v: {
+        "outlier_count": F.count_if((v < _number(fences[c][3])) | (v > _number(fences[c][4]))).cast("long"),
+        "lower_bound": F.first(_number(fences[c][3])), "upper_bound": F.first(_number(fences[c][4]))})
+    return out.orderBy("_pos").select("column_name", "outlier_count", F.try_divide(F.col("outlier_count") * 100.0, F.col("_n")).alias("outlier_pct"),
+                                      "lower_bound", "upper_bound")
 
 
 def iqr_flags(df: DataFrame, columns: list[str] | None = None, k: float = 1.5,
@@ -282,27 +312,31 @@ def zscore_condition(v: Column, mu: Column, sigma: Column, n_valid: Column, n_ro
 def zscore_outliers(df: DataFrame, columns: list[str] | None = None, t: float = 3.0) -> DataFrame:
     """E8 summary: per column count of |z| > t and % of non-null rows."""
     cols = analysis_columns(df, columns)
-    st = zscore_stats(df, cols)
-    v = F.col("value")
-    j = to_long(df, cols).join(F.broadcast(st), "column_name")
-    cond = zscore_condition(v, F.col("mu"), F.col("sigma"), F.col("n_valid"), F.col("n_rows"), t)
-    out = j.groupBy("column_name", "n_valid").agg(F.count_if(cond).alias("outlier_count"))
-    out = out.select("column_name", F.col("outlier_count").cast("long").alias("outlier_count"),
-                     F.try_divide(F.col("outlier_count") * 100.0, F.col("n_valid")).alias("outlier_pct"),
-                     F.lit(float(t)).alias("threshold"))
-    return _ordered(out, cols, ["column_name", "outlier_count", "outlier_pct", "threshold"])
+    stats = {r["column_name"]: r for r in zscore_stats(df, cols).collect()}
+    out = _wide(df, cols, lambda c, v: {"outlier_count": _beyond(v, stats.get(c), t), "n_valid": F.count(v)})
+    return out.orderBy("_pos").select("column_name", "outlier_count", F.try_divide(F.col("outlier_count") * 100.0, F.col("n_valid")).alias("outlier_pct"),
+                                      F.lit(float(t)).alias("threshold"))
+
+
+def _beyond(v: Column, s, t: float) -> Column:
+    """How many values lie beyond t sigmas, with the column's numbers as literals."""
+    if s is None or s["n_valid"] != s["n_rows"] or not s["sigma"]:
+        return F.count_if(F.lit(False)).cast("long")
+    return F.count_if(F.abs(v - _number(s["mu"])) > F.lit(float(t) * s["sigma"])).cast("long")
 
 
 def outlier_comparison(df: DataFrame, columns: list[str] | None = None, k: float = 1.5,
                        t: float = 3.0, accuracy: int | None = None) -> DataFrame:
     """IQR vs z-score counts and percentages per column."""
     cols = analysis_columns(df, columns)
-    a = iqr_outliers(df, cols, k, accuracy).select(
-        "column_name", F.col("outlier_count").alias("iqr_count"), F.col("outlier_pct").alias("iqr_pct"))
-    b = zscore_outliers(df, cols, t).select(
-        "column_name", F.col("outlier_count").alias("z_count"), F.col("outlier_pct").alias("z_pct"))
-    out = a.join(b, "column_name")
-    return _ordered(out, cols, ["column_name", "iqr_count", "iqr_pct", "z_count", "z_pct"])
+    fences = _fences(df, cols, k, accuracy)
+    stats = {r["column_name"]: r for r in zscore_stats(df, cols).collect()}
+    out = _wide(df, cols, lambda c, v: {
+        "iqr_count": F.count_if((v < _number(fences[c][3])) | (v > _number(fences[c][4]))).cast("long"),
+        "z_count": _beyond(v, stats.get(c), t), "n_valid": F.count(v)})
+    return out.orderBy("_pos").select(
+        "column_name", "iqr_count", F.try_divide(F.col("iqr_count") * 100.0, F.col("_n")).alias("iqr_pct"),
+        "z_count", F.try_divide(F.col("z_count") * 100.0, F.col("n_valid")).alias("z_pct"))
 
 
 def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 50) -> DataFrame:
@@ -356,15 +390,14 @@ def boxplot_summary(df: DataFrame, columns: list[str] | None = None, k: float =
     """Quartiles, whiskers (extreme values inside the fences) and the
     number of fliers beyond them."""
     cols = analysis_columns(df, columns)
-    bounds = iqr_bounds(df, cols, k, accuracy)
-    v = F.col("value")
-    lo, hi = F.col("lower_bound"), F.col("upper_bound")
-    j = to_long(df, cols).filter(v.isNotNull()).join(F.broadcast(bounds), "column_name")
-    out = j.groupBy("column_name", "q1", "median", "q3", "lower_bound", "upper_bound").agg(
-        F.min(F.when(v >= lo, v)).alias("whisker_low"), F.max(F.when(v <= hi, v)).alias("whisker_high"),
-        F.count_if((v < lo) | (v > hi)).cast("long").alias("n_fliers"))
+    fences = _fences(df, cols, k, accuracy)
+    lo, hi = (lambda c: _number(fences[c][3])), (lambda c: _number(fences[c][4]))
+    out = _wide(df, cols, lambda c, v: {
+        "q1": F.first(_number(fences[c][0])), "median": F.first(_number(fences[c][1])), "q3": F.first(_number(fences[c][2])),
+        "whisker_low": F.min(F.when(v >= lo(c), v)), "whisker_high": F.max(F.when(v <= hi(c), v)),
+        "n_fliers": F.count_if((v < lo(c)) | (v > hi(c))).cast("long"), "n_valid": F.count(v)})
     names = ["column_name", "q1", "median", "q3", "whisker_low", "whisker_high", "n_fliers"]
-    return _ordered(out, cols, names)
+    return out.where("n_valid > 0").orderBy("_pos").select(*names)
 
 
 def fliers(df: DataFrame, columns: list[str] | None = None, ids: list[str] | None = None,
