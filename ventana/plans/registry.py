@@ -31,4 +31,4 @@ def register(name: str, oracle: str | None = None, digits: int = 6):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from ventana.plans import queries, queries_models, queries_ops  # noqa: F401
+    from ventana.plans import queries, queries_models, queries_more, queries_ops  # noqa: F401

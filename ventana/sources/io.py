@@ -102,12 +102,16 @@ def save_small_table(df: DataFrame, path: str, fmt: str = "csv") -> str:
 
 
 def save_metrics_json(metrics: dict, path: str) -> str:
-    """Evaluation dictionary -> JSON document (driver-sized: one entry per model)."""
-    d = os.path.dirname(path)
-    if d:
-        os.makedirs(d, exist_ok=True)
-    with open(path, "w", encoding="utf-8") as fh:
-        json.dump(metrics, fh, indent=2, default=float)
+    """Evaluation dictionary -> one JSON document (one entry per model),
+    written through the Hadoop file system, so to any storage Spark can reach."""
+    spark = SparkSession.getActiveSession()
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(json.dumps(metrics, indent=2, default=float).encode()))
+    finally:
+        out.close()
     return path
 
 
