@@ -116,7 +116,8 @@ def run_training(df: DataFrame, target: str | list[str], key: list[str], config:
     lb, test_m = _small(lb), _small(test_m)
     cv = None
     if cross_validate_best:
-        folded = SP.hash_folds(train, key, cfg.cv_folds, cfg.random_state)
+        # another seed than the split's: the training rows are a range of the split's hash
+        folded = SP.hash_folds(train, key, cfg.cv_folds, cfg.random_state + 1)
         cv = CV.cross_validate(CV.get_spec(best, **params.get(best, {})), folded, feats, "fold", cfg.cv_folds, name=best)
     tm = test_m.first()
     summary = H.run_summary(prepared.filter(F.col("split") != "none"), feats, "label", list(models), best,

@@ -90,7 +90,7 @@ def g0_grid_search(spark, sf_dir):
 
 def _ols_folded(spark, sf_dir):
     tr, _ = _frames(spark, sf_dir)
-    return SP.hash_folds(tr, "product_id", 5).cache()
+    return SP.hash_folds(tr, "product_id", 5, seed=43).cache()
 
 
 @register("h9_cross_val_predict")
