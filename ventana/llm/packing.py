@@ -11,9 +11,11 @@ Nothing is padded but the end of the last window.
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -36,24 +38,49 @@ class WordEncoder:
     parts seen before are looked up.
     """
 
-    def __init__(self, data: bytes, bound: int = 400_000):
+    def __init__(self, data: bytes, bound: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_buffer(data)
-        self.known: dict[str, bytes] = {}
+        # two generations: parts that are met again survive when the older one goes
+        self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         self.bound = bound
 
+    @staticmethod
+    def plain(text: str) -> str:
+        """The text as its normaliser makes it where lower-casing first is the
+        same: white space and case no longer set equal words apart."""
+        if "<|" in text or "Σ" in text:  # special tokens are found before; a final sigma is not lowered by itself
+            return text
+        low = text.replace("\n", " ").lower()
+        return low if is_normalized("NFC", text) and is_normalized("NFC", low) else text
+
     def encode(self, rows: list[str]) -> list[bytes]:
-        parts = [t.split(" ") for t in rows]
+        parts = [self.plain(t).split(" ") for t in rows]
         if len(self.known) >= self.bound:
-            self.known.clear()
-        fresh = list({p for ps in parts for p in ps if p not in self.known})
+            self.older, self.known = self.known, {"": b""}
+        missing = set().union(*parts).difference(self.known)
+        fresh = []
+        for p in missing:
+            ids = self.older.get(p)
+            if ids is None:
+                fresh.append(p)
+            else:
+                self.known[p] = ids
         for p, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            self.known[p] = np.array(e.ids, dtype="<u4").tobytes()
+            self.known[p] = packed(e.ids)
         look = self.known.__getitem__
         return [b"".join(map(look, ps)) for ps in parts]
 
 
+def packed(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 _MADE: dict[int, WordEncoder] = {}
 
 
@@ -63,7 +90,7 @@ def encode(spark: SparkSession, docs: DataFrame, tokenizer_path: str, id_col: st
     the ids of a document and ``end_id`` (packed little-endian unsigned 32-bit);
     ``at`` is the offset in the partition ``part``."""
     model = spark.sparkContext.broadcast(read_vocabulary(tokenizer_path))
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = packed([end_id])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = hash(model.value)
