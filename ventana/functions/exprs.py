@@ -33,12 +33,6 @@ def nan_to_null(c: Column) -> Column:
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)
 
 
-def pearson(x: Column, y: Column) -> Column:
-    """Pairwise-complete Pearson correlation; NULL when either side is
-    constant (Spark's ``corr`` would raise under ANSI division rules)."""
-    return F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x) * F.regr_syy(y, x)))
-
-
 def uniform_hash(key: Column, seed: int = 42) -> Column:
     """Deterministic u in [0, 1) from md5(key:seed): stable under any
     repartitioning and reproducible in plain SQL."""

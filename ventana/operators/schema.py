@@ -109,10 +109,6 @@ def analysis_columns_fallback(df: DataFrame, usable: list[str]) -> tuple[DataFra
     return df.select(*[col(c) for c in kept]), kept
 
 
-def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    return df.select(*[col(c).alias(mapping.get(c, c)) for c in df.columns])
-
-
 def literal_row_frame(spark: SparkSession, columns: list[str], values: dict | None = None) -> DataFrame:
     """J3 helper: one row, every column a double (default 0.0)."""
     values = values or {}
@@ -122,4 +118,4 @@ def literal_row_frame(spark: SparkSession, columns: list[str], values: dict | No
 
 __all__ = ["DEFAULT_CATEGORICAL", "normalize_name", "normalize_column_names", "select_usable_columns",
            "remove_categorical_columns", "numeric_only", "prepare_target", "validate_columns",
-           "build_template", "analysis_columns_fallback", "rename_columns", "literal_row_frame"]
+           "build_template", "analysis_columns_fallback", "literal_row_frame"]

@@ -148,6 +148,3 @@ class DatasetCatalog:
         return load_data(spark, path, schema)
 
 
-def with_run_timestamp(df: DataFrame, name: str = "exported_at") -> DataFrame:
-    """Adds the run time as a column (A8 tables keep it next to the rows)."""
-    return df.withColumn(name, F.date_format(F.current_timestamp(), "yyyyMMdd_HHmmss"))
