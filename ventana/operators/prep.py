@@ -157,6 +157,7 @@ def negative_count(df: DataFrame, columns: list[str] | None = None) -> DataFrame
 
 # ------------------------------------------------------------ D9-D12 scaling
 
+_EPS = 2.0 ** -52
 SCALERS = {"standardscaler": "standard", "standard": "standard", "minmaxscaler": "minmax",
            "minmax": "minmax", "robust": "robust", "robustscaler": "robust"}
 
@@ -177,6 +178,9 @@ def fit_scaler(df: DataFrame, method: str, columns: list[str] | None = None,
         s = p[c]
         if m == "standard":
             center, scale = s["mean"], s["std_pop"]
+            # a spread that rounding alone explains is none
+            if scale and scale * scale <= _EPS * s["n_valid"] * scale * scale + (s["n_valid"] * abs(center) * _EPS) ** 2:
+                scale = None
         elif m == "minmax":
             center = s["min"]
             scale = None if s["min"] is None else s["max"] - s["min"]
@@ -382,18 +386,24 @@ class FeaturePrep:
         return body.columns
 
     def fit(self, df: DataFrame) -> FeaturePrepModel:
-        """Two passes over ``df``: raw per-column statistics (kept for
-        scoring rows that have none of their own), then the scaler
-        statistics of the prepared features."""
+        """Raw per-column statistics (kept for scoring rows that have none of
+        their own), outlier statistics after imputation, then the scaler
+        statistics of the prepared features; ``df`` is computed once."""
         feats = self.select_features(df)
         passthrough = [c.lower() for c in self.passthrough]
         model = FeaturePrepModel(self.config, feats, {}, [], passthrough)
-        model.stats = column_params(normalize_column_names(df).select(*feats), feats, self.config.accuracy,
-                                    _needs_quantiles(self.config))
-        model.outlier_stats = model.measure_outliers(df, model.stats)
-        train = model.transform(df, fit_stats=True, stats=model.stats)
-        sp = fit_scaler(train, self.config.feature_scaling or "", feats, accuracy=self.config.accuracy)
-        model.scaler_params = [tuple(r) for r in sp.collect()]
+        named = normalize_column_names(df)
+        order = [c for c in self.config.order_by if c in named.columns and c not in feats and c not in passthrough]
+        # every statistic reads the same narrow columns: the input is computed once
+        x = model._typed(named, [c for c in passthrough if c in named.columns] + order).persist()
+        try:
+            model.stats = column_params(x, feats, self.config.accuracy, _needs_quantiles(self.config))
+            model.outlier_stats = model.measure_outliers(x, model.stats)
+            train = model.transform(x, fit_stats=True, stats=model.stats)
+            sp = fit_scaler(train, self.config.feature_scaling or "", feats, accuracy=self.config.accuracy)
+            model.scaler_params = [tuple(r) for r in sp.collect()]
+        finally:
+            x.unpersist()
         return model
 
     def fit_transform(self, df: DataFrame) -> tuple[FeaturePrepModel, DataFrame]:

@@ -156,9 +156,26 @@ def d13_remove_constant(spark, sf_dir):
     return D.remove_constant_features(B.dm(spark, sf_dir).select("product_id", *M3, F.lit(4.0).alias("same")))[0]
 
 
+# Sums of seven months each, NULL where none had sales: spread as well as holes.
+THIRDS = {f"third{i}": MONTHS[7 * i:7 * i + 7] for i in range(3)}
+
+
+def _thirds_sql() -> str:
+    def total(ms):
+        some = " OR ".join(f"{qi(m)} IS NOT NULL" for m in ms)
+        return f"CASE WHEN {some} THEN " + " + ".join(f"coalesce({qi(m)}, 0)" for m in ms) + " END"
+    return "SELECT product_id, " + ", ".join(f"{total(ms)} AS {c}" for c, ms in THIRDS.items()) + f" FROM ({dm_sql(fill=False)})"
+
+
+def _thirds(spark, sf_dir) -> DataFrame:
+    def total(ms):
+        return F.when(F.coalesce(*ms).isNotNull(), sum((F.coalesce(F.col(m), F.lit(0.0)) for m in ms), F.lit(0.0)))
+    return B.dm_null(spark, sf_dir).select("product_id", *[total(ms).alias(c) for c, ms in THIRDS.items()])
+
+
 def _d15_sql(kind: str) -> str:
     """Impute the mean, then measure, treat outliers, clip, scale."""
-    cols = M3
+    cols = list(THIRDS)
     f = ", ".join(f"coalesce({qi(c)}, avg({qi(c)}) OVER ()) AS {qi(c)}" for c in cols)
     if kind == "iqr":
         q = ", ".join(f"quantile_cont({qi(c)}, 0.25) AS {qi('a_' + c)}, quantile_cont({qi(c)}, 0.75) AS {qi('b_' + c)}" for c in cols)
@@ -170,24 +187,24 @@ def _d15_sql(kind: str) -> str:
     p = ", ".join(f"greatest({qi(c)}, 0) AS {qi(c)}" for c in cols)
     z = ", ".join(r6(f"({qi(c)} - avg({qi(c)}) OVER ()) / CASE WHEN stddev_pop({qi(c)}) OVER () = 0 THEN 1 ELSE stddev_pop({qi(c)}) OVER () END", c)
                   for c in cols)
-    return (f"WITH f AS MATERIALIZED (SELECT product_id, {f} FROM ({dm_sql(fill=False)})), q AS (SELECT {q} FROM f), "
+    return (f"WITH f AS MATERIALIZED (SELECT product_id, {f} FROM ({_thirds_sql()})), q AS (SELECT {q} FROM f), "
             f"w AS (SELECT product_id, {w} FROM f, q), p AS (SELECT product_id, {p} FROM w) SELECT product_id, {z} FROM p")
 
 
 def _d15(spark, sf_dir, kind: str) -> DataFrame:
-    cfg = D.PrepConfig(usable_columns=tuple(M3), outlier_method=kind, outlier_threshold=1.5)
-    return D.FeaturePrep(cfg, passthrough=["product_id"]).fit_transform(B.dm_null(spark, sf_dir))[1]
+    cfg = D.PrepConfig(usable_columns=tuple(THIRDS), outlier_method=kind, outlier_threshold=1.5)
+    return D.FeaturePrep(cfg, passthrough=["product_id"]).fit_transform(_thirds(spark, sf_dir))[1]
 
 
 @register("d15_iqr_null", _d15_sql("iqr"))
 def d15_iqr_null(spark, sf_dir):
-    """D15 on DM_NULL with IQR treatment: quartiles of the imputed columns."""
+    """D15 with IQR treatment: quartiles of the imputed columns."""
     return _d15(spark, sf_dir, "iqr")
 
 
 @register("d15_zscore_null", _d15_sql("zscore"))
 def d15_zscore_null(spark, sf_dir):
-    """D15 on DM_NULL with z-scores of the imputed columns."""
+    """D15 with z-scores of the imputed columns."""
     return _d15(spark, sf_dir, "zscore")
 
 
