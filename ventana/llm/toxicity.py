@@ -176,8 +176,9 @@ def token_labels(docs: list[list[str]], toxic: list[int]) -> set[str]:
     bad, good, left = Counter(), Counter(), []
     words = [{w.lower() for w in d} for d in docs]
     kept = distinct(words)
+    marks_of = Memo(lambda w: features(w)[:-1])  # one copy of each feature's text
     for n in kept:
-        own = {f for w in words[n] for f in features(w)[:-1]}
+        own = {f for w in words[n] for f in marks_of[w]}
         (bad if toxic[n] else good).update(own)
         if toxic[n]:
             left.append(own)
