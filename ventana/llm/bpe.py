@@ -40,7 +40,7 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 class Encoder:
     """Exact byte-pair encoding of single pieces by backtracking."""
 
-    def __init__(self, ranks: dict[bytes, int], bound: int = 2_000_000):
+    def __init__(self, ranks: dict[bytes, int], bound: int = 500_000):
         self.ranks, self.bound = ranks, bound
         self.tokens = {r: t for t, r in ranks.items()}
         self.length = {r: len(t) for t, r in ranks.items()}
@@ -139,8 +139,8 @@ class Tokenizer:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.find = regex.compile(pattern).findall
         self.encoder = Encoder(ranks)
-        self.pieces = Memo(lambda piece: self.pack(self.encoder.encode(piece.encode())))
-        self.chunks = Memo(lambda chunk: self.direct(" " + chunk))
+        self.pieces = Memo(lambda piece: self.pack(self.encoder.encode(piece.encode())), 75_000)
+        self.chunks = Memo(lambda chunk: self.direct(" " + chunk), 150_000)
 
     @staticmethod
     def pack(ids: list[int]) -> bytes:

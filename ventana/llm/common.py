@@ -46,15 +46,21 @@ def spans(batches: Iterator[pa.RecordBatch], weight: str, most: int) -> Iterator
 
 
 class Memo(dict):
-    """A dictionary that computes what it lacks and starts afresh at ``bound``
-    entries: a worker's memory stays bounded whatever the vocabulary."""
+    """A dictionary that computes what it lacks. At ``bound`` entries they
+    become the older generation and a new one starts; keys met again move over,
+    the others go with the next turn. A worker's memory stays bounded whatever
+    the vocabulary, and common keys are computed once."""
 
-    def __init__(self, compute, bound: int = 400_000):
+    def __init__(self, compute, bound: int = 200_000):
         super().__init__()
-        self.compute, self.bound = compute, bound
+        self.compute, self.bound, self.older = compute, bound, {}
 
     def __missing__(self, key):
         if len(self) >= self.bound:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
         return value
