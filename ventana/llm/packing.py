@@ -46,6 +46,7 @@ class WordEncoder:
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
         self.bound = bound
+        self.ends = {c: packed(self.tokenizer.encode(c, add_special_tokens=False).ids) for c in ".,"}
 
     @staticmethod
     def plain(text: str) -> str:
@@ -60,16 +61,23 @@ class WordEncoder:
         parts = [self.plain(t).split(" ") for t in rows]
         if len(self.known) >= self.bound:
             self.older, self.known = self.known, {"": b""}
-        missing = set().union(*parts).difference(self.known)
-        fresh = []
-        for p in missing:
+        fresh, ended = set(), []
+        for p in set().union(*parts).difference(self.known):
             ids = self.older.get(p)
-            if ids is None:
-                fresh.append(p)
-            else:
+            if ids is not None:
                 self.known[p] = ids
-        for p, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
+            elif p[-1] in self.ends and p[-2:-1].islower() and p[-2] < "\u0180":
+                # a mark after a letter that normalising leaves as it is: a match of its own
+                ended.append(p)
+                if p[:-1] not in self.known:
+                    fresh.add(p[:-1])
+            else:
+                fresh.add(p)
+        words = list(fresh)
+        for p, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
             self.known[p] = packed(e.ids)
+        for p in ended:
+            self.known[p] = self.known[p[:-1]] + self.ends[p[-1]]
         look = self.known.__getitem__
         return [b"".join(map(look, ps)) for ps in parts]
 
