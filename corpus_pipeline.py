@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ventana.llm import ngram_join, packing, pii, toxicity
-from ventana.llm.common import table
+from ventana.llm.common import pick, table
 from ventana.session import materialise
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Repeated rows of one document are added up by so many tasks at most, then by one.
+SALTS = 64
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,13 +30,32 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near duplicates (5-word shingles, Jaccard similarity
-    0.8 or more, linked on) the document with the smallest doc_id stays; of
-    repeated rows one."""
-    joined = ngram_join.join(spark, docs)
-    gone = joined.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"))
-    kept = docs.withColumn("text_key", F.xxhash64("text")).join(
-        gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("text_key") == F.col("gone_key")), "left_anti")
-    return kept.select(*COLUMNS)
+    0.8 or more, linked on) one row stays: the smallest doc_id (null last), of
+    its texts the one of smallest hash, of its repeated rows the least. Rows
+    without a class are groups by doc_id and text."""
+    keys = ngram_join.join(spark, docs).groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    keys, _ = materialise(spark, keys, "near-keys")
+    grouped = keys.where("root is not null")
+    # a hot group is a minimum, which is added up before the shuffle
+    first = grouped.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "text_key", "n")).alias("first"))
+    first = first.select("first.doc_id", "first.text_key", "first.n").unionByName(keys.where("root is null").select("doc_id", "text_key", "n"))
+    first, _ = materialise(spark, first, "near-first")
+    same = lambda t: F.col("doc_id").eqNullSafe(F.col(f"{t}_id")) & (F.col("text_key") == F.col(f"{t}_key"))
+    named = lambda df, t: df.select(F.col("doc_id").alias(f"{t}_id"), F.col("text_key").alias(f"{t}_key"))
+    gone = keys.select("doc_id", "text_key").join(named(first.where("n = 1"), "one"), same("one"), "left_anti")
+    docs = pick(docs, **{c: c for c in COLUMNS}).withColumn("text_key", F.xxhash64("text"))
+    kept = docs.join(named(gone, "gone"), same("gone"), "left_anti").select(*COLUMNS)
+    repeated = first.where("n > 1")
+    if repeated.isEmpty():
+        return kept
+    # dealt by the task that read a row: the rows of one key are equal, so nothing in them tells them apart
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("row_salt")
+    dealt = docs.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    dealt = dealt.join(named(repeated, "many").select("*", salts), same("many") & (F.col("salt") == F.col("row_salt")), "left_semi")
+    least = F.min(F.struct("lang", "source", "n_chars", "text"))
+    one = dealt.groupBy("doc_id", "text_key", "salt").agg(least.alias("row"))
+    one = one.groupBy("doc_id", "text_key").agg(F.min("row").alias("row"))
+    return kept.unionByName(one.select("doc_id", "row.*").select(*COLUMNS))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

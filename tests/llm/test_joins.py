@@ -202,3 +202,19 @@ def test_pipeline_stages(spark, words, tmp_path):
     ends = after[3].groupBy("doc_id").agg(F.sum("length").alias("n"), F.first("doc_tokens").alias("d")).collect()
     assert sorted(r.doc_id for r in ends) == kept and all(r.n == r.d for r in ends)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == after[3].count()
+
+
+def test_one_row_of_each_group_stays(spark, words):
+    texts = [" ".join(words(7000 + i, 30)) for i in range(5)]
+    rows = [(7, texts[0], "en", "b", 1)] * 400 + [(7, texts[0], "en", "a", 1), (8, texts[0], "en", "a", 1)]  # a repeated representative
+    rows += [(11, texts[1], "en", "x", 1), (11, texts[1] + " mo", "en", "x", 1), (12, texts[1], "en", "x", 1)]  # near copies share the least id
+    rows += [(None, texts[2], "en", "x", 1)] * 3 + [(None, texts[2] + " mo", "en", "x", 1)]  # two groups of null ids
+    rows += [(None, texts[3], "en", "x", 1)] * 2
+    rows += [(None, texts[4], "en", "x", 1), (40, texts[4], "en", "x", 1)]
+    rows += [(20, None, "en", "x", 1)] * 3 + [(21, None, "en", "x", 1), (22, "", "en", "x", 1), (22, "", "en", "x", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(6)
+    for _ in range(2):
+        got = [tuple(r) for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()]
+        assert sorted(str(r[0]) for r in got) == sorted(["7", "11", "None", "None", "40", "20", "21", "22"])
+        assert set(got) <= set(rows) and (7, texts[0], "en", "a", 1) in got
+        docs = spark.createDataFrame(got, docs.schema)

@@ -151,11 +151,12 @@ def compare(rows: pd.DataFrame, rep: int, first: int, second: int, threshold: fl
 
 def join(spark: SparkSession, docs: DataFrame, threshold: float = 0.8, words: int = 5,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text_key, class_id, n_links`` for every row.
+    """``doc_id, text_key, class_id, n_links, root`` for every row.
 
     ``n_links``: other rows whose shingle sets have a Jaccard similarity of at
     least ``threshold`` (copies included); ``class_id``: the smallest doc_id
-    reachable by links, itself included; ``text_key``: the text's hash.
+    reachable by links, itself included; ``text_key``: the text's hash;
+    ``root``: the same for all rows that links connect, null without a class.
 
     Words are lower-cased ``\\w+``; a text of fewer than ``words`` words is one
     shingle. Texts without a word (null, empty, marks only) link with nothing
@@ -204,7 +205,8 @@ def join(spark: SparkSession, docs: DataFrame, threshold: float = 0.8, words: in
              .select("class", "least", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "class").alias("root")))
     # a hot component is one group of a minimum, which is added up before the shuffle
     ids = named.groupBy("root").agg(F.min("least").alias("class_id"))
-    named = named.join(ids, "root").select("class", "class_id", "n_links")
+    named = named.join(ids, "root").select("class", "class_id", "n_links", "root")
     out = rows.where("class is not null").select("doc_id", "text_key", "class").join(named, "class")
-    alone = rows.where("class is null").select("doc_id", "text_key", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return out.select("doc_id", "text_key", "class_id", "n_links").unionByName(alone)
+    alone = rows.where("class is null").select("doc_id", "text_key", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+                                               F.lit(None).cast("long").alias("root"))
+    return out.select("doc_id", "text_key", "class_id", "n_links", "root").unionByName(alone)
