@@ -188,3 +188,17 @@ def test_masked_text(spark):
     df = spark.createDataFrame([(1, "ab é🙂 x@y.zz 1.2.3.4 end")], "i int, t string").withColumn("f", F.expr(
         "array(named_struct('kind', 1, 'start', 13L, 'end', 20L), named_struct('kind', 0, 'start', 6L, 'end', 12L))"))
     assert df.select(pii.masked(F.col("t"), F.col("f")).alias("m")).first().m == "ab é🙂 <EMAIL> <IP> end"
+
+
+def test_overlapping_spans_are_masked_whole(spark):
+    texts = ["+4930123456@example.org", "+49 301234567.bob@x.org", "a +4930123456@example.org b x@y.zz1.2.3.4 é🙂", "to +49 301234567 or x@y.zz", "none"]
+    spans = [[tuple(s) for s in pii.base_spans(t)] for t in texts]
+    df = spark.createDataFrame(list(zip(range(5), texts, spans)), f"i int, t string, f {pii.SPANS}").orderBy("i")
+    got = [r.m for r in df.select(pii.masked(F.col("t"), F.col("f")).alias("m")).collect()]
+    assert got == ["<EMAIL>", "<EMAIL>", "a <EMAIL> b <EMAIL> é🙂", "to <PHONE> or <EMAIL>", "none"]
+    # a chain of three, the longest in the middle; one inside another; two that only touch
+    chain = "[named_struct('kind', 1, 'start', 8L, 'end', 12L), named_struct('kind', 3, 'start', 1L, 'end', 4L), named_struct('kind', 0, 'start', 3L, 'end', 9L)]"
+    inner = "[named_struct('kind', 2, 'start', 0L, 'end', 9L), named_struct('kind', 1, 'start', 2L, 'end', 4L), named_struct('kind', 1, 'start', 9L, 'end', 11L)]"
+    for found, want in ((chain, "0<EMAIL>cd"), (inner, "<CARD><IP>bcd")):
+        df = spark.createDataFrame([("0123456789abcd",)], "t string").withColumn("f", F.expr(f"array({found[1:-1]})"))
+        assert df.select(pii.masked(F.col("t"), F.col("f")).alias("m")).first().m == want

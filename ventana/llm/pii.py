@@ -378,13 +378,22 @@ def count(found: Column, kind: str) -> Column:
 
 
 def masked(text: Column, found: Column) -> Column:
-    """The text with each span replaced by its kind in angle brackets; of
-    overlapping spans the first stays."""
+    """The text with each span replaced by its kind in angle brackets; spans
+    that overlap are one stretch, named by the longest of them."""
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
     by_start = F.sort_array(F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    start = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at"))
-    whole = F.aggregate(by_start, start, lambda acc, s: F.when(s["start"] < acc["at"], acc).otherwise(F.struct(
-        F.concat(acc["done"], F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
-                 F.element_at(names, s["kind"] + 1)).alias("done"), s["end"].alias("at"))),
-        lambda acc: F.concat(acc["done"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
+    # done: the text before the stretch that is open; name, end: what that stretch becomes and where it ends
+    nothing, zero = F.lit(""), F.lit(0).cast("long")
+    start = F.struct(nothing.alias("done"), nothing.alias("name"), zero.alias("end"), zero.alias("longest"))
+
+    def step(acc: Column, s: Column) -> Column:
+        name, size = F.element_at(names, s["kind"] + 1), s["end"] - s["start"]
+        grown = F.struct(acc["done"].alias("done"), F.when(size > acc["longest"], name).otherwise(acc["name"]).alias("name"),
+                         F.greatest(acc["end"], s["end"]).alias("end"), F.greatest(acc["longest"], size).alias("longest"))
+        between = F.substring(text, (acc["end"] + 1).cast("int"), (s["start"] - acc["end"]).cast("int"))
+        fresh = F.struct(F.concat(acc["done"], acc["name"], between).alias("done"), name.alias("name"), s["end"].alias("end"), size.alias("longest"))
+        return F.when(s["start"] < acc["end"], grown).otherwise(fresh)
+
+    whole = F.aggregate(by_start, start, step,
+                        lambda acc: F.concat(acc["done"], acc["name"], F.substring(text, (acc["end"] + 1).cast("int"), F.length(text))))
     return F.when(F.size(found) > 0, whole).otherwise(text)
