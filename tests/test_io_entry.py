@@ -58,3 +58,20 @@ def test_metrics_json_sink(spark, tmp_path):
     import json
     p = A.save_metrics_json({"rf": {"mae": 24.5287, "r2": 0.6118}}, str(tmp_path / "m" / "evaluation.json"))
     assert json.load(open(p))["rf"]["mae"] == 24.5287
+
+
+def test_a3_reads_every_row(spark):
+    import duckdb
+
+    import __spark_entry__ as E
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{SF001}/lineitem.parquet'")
+    df = E.queries()["a3_read_parquet_whole"](spark, SF001)
+    want = con.execute(E.oracle_sql()["a3_read_parquet_whole"]).fetchall()
+    assert len(want) == con.execute("SELECT count(*) FROM lineitem").fetchone()[0]
+    assert sorted(map(tuple, df.collect())) == sorted(want)
+    plan = df._jdf.queryExecution().toString()
+    assert "l_quantity" in plan.split("ReadSchema: ")[1] and "l_comment" not in plan.split("ReadSchema: ")[1]
+    # a filter reaches the scan
+    some = A.load_data(spark, f"{SF001}/lineitem.parquet").filter("l_returnflag = 'R'")
+    assert "EqualTo(l_returnflag,R)" in some._jdf.queryExecution().toString().split("PushedFilters: ")[1].split("]")[0]

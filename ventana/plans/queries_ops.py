@@ -68,6 +68,15 @@ def a3_read_parquet(spark, sf_dir):
                                                           "l_extendedprice")
 
 
+@register("a3_read_parquet_whole", "SELECT l_orderkey, l_linenumber, " + r6("l_quantity", "l_quantity") + ", "
+          + r6("l_extendedprice", "l_extendedprice") + " FROM lineitem")
+def a3_read_parquet_whole(spark, sf_dir):
+    """A3: typed read of the lineitem table, all rows; the 4-column projection
+    reaches the Parquet scan (ReadSchema)."""
+    li = A.load_data(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    return li.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+
+
 @register("a6_save_parquet_roundtrip", _sel_months(f"({dm_sql(signed=True)})"))
 def a6_save_parquet_roundtrip(spark, sf_dir):
     """DM_SIGNED saved as Parquet and read back."""
