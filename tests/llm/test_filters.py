@@ -202,3 +202,19 @@ def test_overlapping_spans_are_masked_whole(spark):
     for found, want in ((chain, "0<EMAIL>cd"), (inner, "<CARD><IP>bcd")):
         df = spark.createDataFrame([("0123456789abcd",)], "t string").withColumn("f", F.expr(f"array({found[1:-1]})"))
         assert df.select(pii.masked(F.col("t"), F.col("f")).alias("m")).first().m == want
+
+
+def test_a_long_token_is_read_whole():
+    net = pii.Network()
+    net.p["out"][:] = 0
+    net.p["bias"][:] = [0, 12, 0, 0, 0]
+    net.p["first"][:] = 0
+    token = "firstname.lastname.department@intranet" + "x" * 90
+    text = "many words before " * 9 + token + " and words after" * 9
+    (kind, start, end), = pii.added_spans(net, [text], [[]])[0]
+    assert kind == 0 and start <= text.index(token) - pii.REACH and end >= text.index(token) + len(token) + pii.REACH
+    assert end - start < len(text)
+    runs = "1 " + "a" * 60 + " 2" + " b" * 60 + " c" + "d" * 30 + "@e"
+    at = runs.index("@")
+    assert pii.regions(np.array([0, 63, at]), pii.classes(runs)) == [(0, 1 + pii.REACH), (63 - pii.REACH, 64 + pii.REACH), (at - 31 - pii.REACH, len(runs))]
+    assert pii.regions(np.array([], dtype=np.int64), pii.classes("")) == []

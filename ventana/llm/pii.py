@@ -7,7 +7,8 @@ miss (a broken grouping, a number that fails its check digit).
 
 Every kind holds a digit or an ``@`` by definition. A stretch of text without
 either can hold no span, whatever the network says, so windows are laid over
-all stretches within ``REACH`` of such a character: overlapping, each decoded
+all stretches within ``REACH`` of such a character, and over the whole of a
+run without spaces that reaches farther: overlapping, each decoded
 to label probabilities, which are then averaged per character (the middle of a
 window weighs most) and read off over the whole text, so that a span crossing
 windows is one span.
@@ -100,6 +101,7 @@ def _class_table() -> np.ndarray:
     return table
 
 
+SPACES = [5 + MARKS.index(c) for c in " \n"]
 CLASSES = 6 + len(MARKS)  # 0 outside the text, 1-3 above, 4 beyond ASCII, then the marks, then the rest
 _TABLE = _class_table()
 
@@ -279,13 +281,23 @@ def train(spark: SparkSession, docs: DataFrame, sample: Sample = Sample(), id_co
 MIDDLE = np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1]) + 1.0
 
 
-def regions(places: np.ndarray, size: int) -> list[tuple[int, int]]:
-    """Stretches within REACH of a signal character."""
+def regions(places: np.ndarray, x: np.ndarray) -> list[tuple[int, int]]:
+    """Stretches of a text of classes ``x`` within REACH of a signal character;
+    where that cuts the run without space or line end that the character stands
+    in, the whole run and REACH more."""
     if not len(places):
         return []
-    cut = np.flatnonzero(np.diff(places) > 2 * REACH)
-    first, last = places[np.concatenate([[0], cut + 1])], places[np.concatenate([cut, [len(places) - 1]])]
-    return [(max(0, int(a) - REACH), min(size, int(b) + REACH + 1)) for a, b in zip(first, last)]
+    size = len(x)
+    gaps = np.concatenate([[-1], np.flatnonzero(np.isin(x, SPACES)), [size]])
+    at = np.searchsorted(gaps, places)
+    first, last = gaps[at - 1] + 1, gaps[at]
+    start = np.where(first < places - REACH, first, places) - REACH
+    end = np.where(last > places + REACH + 1, last, places + 1) + REACH
+    # a run's whole stretch, for each of its signals, may begin before and end after those of its neighbours
+    start, end = np.minimum.accumulate(start[::-1])[::-1], np.maximum.accumulate(end)
+    cut = np.flatnonzero(start[1:] >= end[:-1])
+    first, last = start[np.concatenate([[0], cut + 1])], end[np.concatenate([cut, [len(places) - 1]])]
+    return [(max(0, int(a)), min(size, int(b))) for a, b in zip(first, last)]
 
 
 def added_spans(net: Network, rows: list[str], base: list[list[Span]]) -> list[list[Span]]:
@@ -295,8 +307,9 @@ def added_spans(net: Network, rows: list[str], base: list[list[Span]]) -> list[l
     waiting = 0
     for i, text in enumerate(rows):
         places = np.array([m.start() for m in SIGNAL.finditer(text)], dtype=np.int64)
-        for a, b in regions(places, len(text)):
-            jobs.append((i, a, b, classes(text[a:b])))
+        x = classes(text) if len(places) else None
+        for a, b in regions(places, x):
+            jobs.append((i, a, b, x[a:b]))
             waiting += b - a
             if waiting > 500_000:
                 _read(net, rows, base, jobs, out)
@@ -316,11 +329,11 @@ def _read(net: Network, rows: list[str], base: list[list[Span]], jobs: list, out
             owners.append((j, w))
     if not windows:
         return
-    p = net.probabilities(np.array(windows))
-    sums = [np.zeros((b - a, p.shape[2])) for _, a, b, _ in jobs]
-    for (j, w), q in zip(owners, p):
-        n = min(WINDOW, len(sums[j]) - w)
-        sums[j][w:w + n] += q[:n] * MIDDLE[:n, None]
+    sums = [np.zeros((b - a, len(KINDS) + 1)) for _, a, b, _ in jobs]
+    for k in range(0, len(windows), 2048):  # a long run is one region: its windows are not all held at once
+        for (j, w), q in zip(owners[k:k + 2048], net.probabilities(np.array(windows[k:k + 2048]))):
+            n = min(WINDOW, len(sums[j]) - w)
+            sums[j][w:w + n] += q[:n] * MIDDLE[:n, None]
     for (i, a, b, x), total in zip(jobs, sums):
         q = total / total.sum(axis=1, keepdims=True)
         label = q.argmax(axis=1)
