@@ -218,3 +218,13 @@ def test_one_row_of_each_group_stays(spark, words):
         assert sorted(str(r[0]) for r in got) == sorted(["7", "11", "None", "None", "40", "20", "21", "22"])
         assert set(got) <= set(rows) and (7, texts[0], "en", "a", 1) in got
         docs = spark.createDataFrame(got, docs.schema)
+
+
+def test_equal_texts_without_a_word_are_one_class(spark, words):
+    rows = [(i, "-----") for i in range(10, 15)] + [(i, "") for i in range(20, 23)] + [(30, "----"), (31, None), (32, None)]
+    rows += [(40, " ".join(words(1, 9))), (41, " ".join(words(1, 9)))]
+    docs = spark.createDataFrame([(*r, "en", "x", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in ngram_join.join(spark, docs).collect()}
+    assert got == {**{i: (10, 4) for i in range(10, 15)}, **{i: (20, 2) for i in range(20, 23)}, 30: (30, 0), 31: (31, 0), 32: (32, 0), 40: (40, 1), 41: (40, 1)}
+    kept = sorted(r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect())
+    assert kept == [10, 20, 30, 31, 32, 40]

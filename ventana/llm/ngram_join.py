@@ -72,16 +72,18 @@ def vertex(shingles: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, text_key, class, size, signature`` per row; no class without a word."""
+    """``doc_id, text_key, class, size, signature`` per row; a text without a
+    word is of the class of its own hash and has no signature, null has no class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, minhash = Shingler(words), MinHash(VALUES)
         for batch in spans(batches, "text", BATCH_CHARS // 2):
             sets = [shingle(t) for t in texts(batch)]
+            keys = [None if null else k for null, k in zip(batch.column("text").is_null().to_pylist(), batch.column("text_key").to_pylist())]
             full = [s for s in sets if len(s)]
             sig = iter(minhash(full) if full else ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array([vertex(s) if len(s) else None for s in sets], pa.int64()),
+                [batch.column("doc_id"), batch.column("text_key"), pa.array([vertex(s) if len(s) else k for s, k in zip(sets, keys)], pa.int64()),
                  pa.array([len(s) for s in sets], pa.int64()), pa.array([next(sig).tobytes() if len(s) else None for s in sets], pa.binary())],
                 ["doc_id", "text_key", "class", "size", "signature"])
 
@@ -159,10 +161,11 @@ def join(spark: SparkSession, docs: DataFrame, threshold: float = 0.8, words: in
     ``root``: the same for all rows that links connect, null without a class.
 
     Words are lower-cased ``\\w+``; a text of fewer than ``words`` words is one
-    shingle. Texts without a word (null, empty, marks only) link with nothing
-    and are their own class. Repeated rows are copies of each other. Null
-    doc_ids are passed by in minima (a class of null ids alone has a null id).
-    An empty table gives an empty one; other columns are not looked at.
+    shingle. A text without a word (empty, marks only) links with the texts
+    equal to it and no others; null links with nothing and is its own class.
+    Repeated rows are copies of each other. Null doc_ids are passed by in
+    minima (a class of null ids alone has a null id). An empty table gives an
+    empty one; other columns are not looked at.
     """
     src = pick(docs, doc_id=id_col, text=text_col)
     rows, _ = materialise(spark, signatures(src, words), "ngram-signatures")
@@ -170,7 +173,7 @@ def join(spark: SparkSession, docs: DataFrame, threshold: float = 0.8, words: in
         F.count(F.lit(1)).alias("weight"), F.min("doc_id").alias("least"), F.first("size").alias("size"),
         F.first("signature").alias("signature"))
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))
-    bands = (classes.select("class", "signature", band.alias("band"))
+    bands = (classes.where("signature is not null").select("class", "signature", band.alias("band"))
              .select("class", F.xxhash64("band", F.expr(f"substring(signature, band * {ROWS} + 1, {ROWS})")).alias("bucket")))
     buckets = bands.groupBy("bucket").agg(F.min("class").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
     # at most BANDS names per class
