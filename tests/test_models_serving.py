@@ -119,3 +119,12 @@ def test_bundle_batch_equals_stream(spark, planted):
     assert batch == stream and len(batch) == 50
     one = score_one(spark, b, {"2024-1": 2.0}).collect()[0]
     assert "prediction_2025-9" in one.asDict()
+
+
+@pytest.mark.parametrize("name", ["j1_batch_scoring", "j2_stream_scoring"])
+def test_scoring_reads_every_row(spark, name):
+    import __spark_entry__ as E
+    from ventana.sources import bindings as B
+    want = sorted(r.product_id for r in B.dm(spark, "/root/testdata/sf0.001").select("product_id").collect())
+    got = E.queries()[name](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r.product_id for r in got) == want and all(r["prediction_m2001_09"] is not None for r in got)

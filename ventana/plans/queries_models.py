@@ -161,30 +161,29 @@ def k3_profile_run(spark, sf_dir):
 
 def _bundle(spark, sf_dir):
     cfg = PrepConfig(usable_columns=tuple(FEATURES), stats_from="train")
-    tr, te = _frames(spark, sf_dir)
+    tr, _ = _frames(spark, sf_dir)
     prep = FeaturePrep(cfg, passthrough=["product_id", "label"])
     pm, prepared = prep.fit_transform(tr)
     model = LinearOLS().fit(prepared, pm.features)
     path = work_dir(spark, "bundle")
     Bundle(pm, model, "logistic_regression", list(FEATURES), TARGET).save(spark, path)
-    return Bundle.load(spark, path), te
+    return Bundle.load(spark, path), B.dm(spark, sf_dir).drop(TARGET)
 
 
 @register("j1_batch_scoring")
 def j1_batch_scoring(spark, sf_dir):
-    """Bundle saved and reloaded, the test split scored; the
+    """Bundle saved and reloaded, all rows of DM scored; the
     prediction column is appended to the original columns."""
-    b, te = _bundle(spark, sf_dir)
-    return b.score(te.drop("split", "label"))
+    b, rows = _bundle(spark, sf_dir)
+    return b.score(rows)
 
 
 @register("j2_stream_scoring")
 def j2_stream_scoring(spark, sf_dir):
-    """The test split dropped as CSV files into a folder, scored by a
+    """All rows of DM dropped as CSV files into a folder, scored by a
     Structured Streaming query (availableNow), output read back."""
-    b, te = _bundle(spark, sf_dir)
+    b, files = _bundle(spark, sf_dir)
     base = work_dir(spark, "j2")
-    files = te.drop("split", "label")
     files.write.mode("overwrite").option("header", "true").csv(f"{base}/in")
     q = score_stream(spark, b, f"{base}/in", f"{base}/out", checkpoint=f"{base}/ckpt", schema=files.schema)
     q.awaitTermination()
