@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import SF001
+from __spark_entry__ import SMOKE_DIR as SF001
 from ventana.session import work_dir
 from ventana.sources import io as A
 
