@@ -4,6 +4,7 @@ import struct
 import zlib
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer, models
@@ -112,7 +113,23 @@ def test_packing(spark, messy, no_docs, monkeypatch):
     assert packing.pack(spark, no_docs, WORDS).count() == 0
     twice = packing.pack(spark, messy, WORDS, window=64)
     assert twice.where("doc_id = 4").agg({"length": "sum"}).first()[0] == 2 * twice.where("doc_id = 4").first().doc_tokens
-    text = "\x1c odd\u2028 İstanbul ΟΔΟΣ cafe\u0301 don't 12"
-    assert packing.WordEncoder(bpe.read_vocabulary(WORDS)).encode([text])[0] == struct.pack(
-        f"<{len(Tokenizer.from_file(WORDS).encode(text, add_special_tokens=False).ids)}I",
-        *Tokenizer.from_file(WORDS).encode(text, add_special_tokens=False).ids)
+
+
+def test_word_ids_equal_library():
+    lib, enc, rng = Tokenizer.from_file(WORDS), packing.WordEncoder(bpe.read_vocabulary(WORDS), bound=500), random.Random(3)
+    letters = "aabbccZQÉİΣσ \t\n\x0b\x1c\x85\u2028\u3000e\u0301<|endoftext|>.,'st0123漢字🙂\x00"
+    rows = ["\x1c odd\u2028 İstanbul ΟΔΟΣ cafe\u0301 don't 12", None, "", "a" * 500 + " b. c, <|endoftext|> x<|endoftext|>.", "\n", "Σ. ß, É. <|EndOfText|>."]
+    rows += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 50))) for _ in range(4000)]
+    for a in range(0, len(rows), 1000):
+        some = rows[a:a + 1000]
+        size, ids = enc.encode(pa.array(some))
+        ends, ids = size.cumsum(), ids.to_pybytes()
+        for t, n, e in zip(some, size, ends):
+            want = [*lib.encode(t or "", add_special_tokens=False).ids, packing.END_ID]
+            assert list(struct.unpack(f"<{n // 4}I", ids[e - n:e])) == want, repr(t)
+
+
+def test_packing_cuts_long_documents_into_rows(spark, monkeypatch):
+    long = "one two 3 " * 30_000
+    df = spark.createDataFrame([(1, long), (2, None), (3, long), (4, "a b")], "doc_id long, text string").coalesce(1)
+    check_pieces(packing.pack(spark, df, WORDS, window=2048).collect(), {1: long, 2: None, 3: long, 4: "a b"}, 2048)

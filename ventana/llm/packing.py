@@ -14,72 +14,91 @@ import os
 import sys
 from array import array
 from collections.abc import Iterator
-from unicodedata import is_normalized
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ventana.llm.bpe import BATCH_CHARS, read_vocabulary
-from ventana.llm.common import pick, spans, texts
+from ventana.llm.common import pick, spans
 from ventana.session import materialise
 
 #: Ids in one stored row: a longer document is stored in several, each cut apart.
 SEGMENT = 1 << 16
 END_ID = 1
+#: Parts of a text longer than this are not held for the next batch.
+LONG = 64
 
 
 class WordEncoder:
-    """Ids of whole texts by the ``tokenizers`` library, one lookup a word.
+    """Ids of whole texts by the ``tokenizers`` library, one lookup a distinct word of a batch.
 
-    The vocabulary's pre-tokeniser drops white space and no match holds any,
-    so a text's ids are those of its parts between spaces, one after another;
-    parts seen before are looked up.
+    The vocabulary's normaliser turns white space into spaces, its
+    pre-tokeniser drops them and no match holds any, so a text's ids are those
+    of its parts between white space, one after another. Arrow splits a batch
+    and numbers its distinct parts; their ids are looked up, or made; a gather
+    by number lays out the ids of the whole batch.
     """
 
-    def __init__(self, data: bytes, bound: int = 250_000):
+    def __init__(self, data: bytes, end_id: int = END_ID, bound: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_buffer(data)
         # two generations: parts that are met again survive when the older one goes
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.bound = bound
+        self.end = packed([end_id])
         self.ends = {c: packed(self.tokenizer.encode(c, add_special_tokens=False).ids) for c in ".,"}
 
-    @staticmethod
-    def plain(text: str) -> str:
-        """The text as its normaliser makes it where lower-casing first is the
-        same: white space and case no longer set equal words apart."""
-        if "<|" in text or "Σ" in text:  # special tokens are found before; a final sigma is not lowered by itself
-            return text
-        low = text.replace("\n", " ").lower()
-        return low if is_normalized("NFC", text) and is_normalized("NFC", low) else text
-
-    def encode(self, rows: list[str]) -> list[bytes]:
-        parts = [self.plain(t).split(" ") for t in rows]
+    def make(self, words: list[str]) -> dict[str, bytes]:
+        made = {}
+        for a in range(0, len(words), 20_000):
+            some = words[a:a + 20_000]
+            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                made[p] = packed(e.ids)
+        return made
+
+    def look_up(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct parts. Parts longer than LONG are made anew each time: only short ones are held."""
         if len(self.known) >= self.bound:
-            self.older, self.known = self.known, {"": b""}
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
         fresh, ended = set(), []
-        for p in set().union(*parts).difference(self.known):
-            ids = self.older.get(p)
+        for p in words:
+            if p in known:
+                continue
+            ids = older.get(p)
             if ids is not None:
-                self.known[p] = ids
-            elif p[-1] in self.ends and p[-2:-1].islower() and p[-2] < "\u0180":
+                known[p] = ids
+            elif p[-1:] in self.ends and p[-2:-1].islower() and p[-2] < "\u0180" and "<|" not in p:
                 # a mark after a letter that normalising leaves as it is: a match of its own
                 ended.append(p)
-                if p[:-1] not in self.known:
+                if p[:-1] not in known:
                     fresh.add(p[:-1])
             else:
                 fresh.add(p)
-        words = list(fresh)
-        for p, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            self.known[p] = packed(e.ids)
+        made = self.make(list(fresh))
         for p in ended:
-            self.known[p] = self.known[p[:-1]] + self.ends[p[-1]]
-        look = self.known.__getitem__
-        return [b"".join(map(look, ps)) for ps in parts]
+            ids = made.get(p[:-1])
+            made[p] = (known[p[:-1]] if ids is None else ids) + self.ends[p[-1]]
+        known.update((p, ids) for p, ids in made.items() if len(p) <= LONG)
+        return [made[p] if p in made else known[p] for p in words]
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, pa.Buffer]:
+        """(bytes of ids per text, all ids one text after another): each text's ids and the end id; null is empty."""
+        parts = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+        ends = parts.offsets.to_numpy().astype(np.int64)
+        ends = ends[1:] - ends[0]
+        coded = parts.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        table = pa.array([*self.look_up(words), self.end], pa.large_binary())
+        taken = table.take(pa.array(np.insert(coded.indices.to_numpy(), ends, len(words))))
+        at = np.frombuffer(taken.buffers()[1], dtype=np.int64)
+        return np.diff(at[ends + np.arange(1, len(ends) + 1)], prepend=0), taken.buffers()[2]
 
 
 def packed(ids: list[int]) -> bytes:
@@ -89,7 +108,7 @@ def packed(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
-_MADE: dict[int, WordEncoder] = {}
+_MADE: dict[tuple[int, int], WordEncoder] = {}
 
 
 def encode(spark: SparkSession, docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
@@ -98,26 +117,34 @@ def encode(spark: SparkSession, docs: DataFrame, tokenizer_path: str, id_col: st
     the ids of a document and ``end_id`` (packed little-endian unsigned 32-bit);
     ``at`` is the offset in the partition ``part``."""
     model = spark.sparkContext.broadcast(read_vocabulary(tokenizer_path))
-    end = packed([end_id])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = hash(model.value)
+        key = (hash(model.value), end_id)
         if key not in _MADE:
-            _MADE[key] = WordEncoder(model.value)
+            _MADE[key] = WordEncoder(model.value, end_id)
         part, at = TaskContext.get().partitionId(), 0
         for batch in spans(batches, "text", BATCH_CHARS):
-            rows: list[tuple] = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), _MADE[key].encode(texts(batch))):
-                ids += end
-                total = len(ids) // 4
-                for a in range(0, total, SEGMENT):
-                    n = min(SEGMENT, total - a)
-                    rows.append((part, doc, a, total, at, n, ids[4 * a:4 * (a + n)]))
-                    at += n
-            cols = list(zip(*rows))
-            kinds = [pa.int32(), batch.schema.field("doc_id").type, *[pa.int64()] * 4, pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             ["part", "doc_id", "doc_start", "doc_tokens", "at", "n", "ids"])
+            size, ids = _MADE[key].encode(batch.column("text"))
+            total = size // 4
+            rows = -(-total // SEGMENT)
+            doc = np.repeat(np.arange(len(total)), rows)
+            start = (np.arange(len(doc)) - (np.cumsum(rows) - rows)[doc]) * SEGMENT
+            n = np.minimum(SEGMENT, total[doc] - start)
+            first = np.cumsum(n) - n
+            # rows in record batches of bounded bytes; their ids lie side by side
+            group = first // (1 << 24)
+            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(doc)]
+            for a, b in zip(cuts, cuts[1:]):
+                if b == a:
+                    continue
+                begin = int(first[a])
+                places = (4 * (np.append(first[a:b], first[b - 1] + n[b - 1]) - begin)).astype(np.int32)
+                stored = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(places), ids.slice(4 * begin)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(b - a, part, np.int32)), batch.column("doc_id").take(pa.array(doc[a:b])), pa.array(start[a:b]),
+                     pa.array(total[doc[a:b]]), pa.array(at + first[a:b]), pa.array(n[a:b]), stored],
+                    ["part", "doc_id", "doc_start", "doc_tokens", "at", "n", "ids"])
+            at += int(total.sum())
 
     src = pick(docs, doc_id=id_col, text=text_col)
     return src.mapInArrow(run, f"part int, doc_id {src.schema['doc_id'].dataType.simpleString()}, doc_start bigint, "
