@@ -116,10 +116,13 @@ def test_packing(spark, messy, no_docs, monkeypatch):
 
 
 def test_word_ids_equal_library():
-    lib, enc, rng = Tokenizer.from_file(WORDS), packing.WordEncoder(bpe.read_vocabulary(WORDS), bound=500), random.Random(3)
+    lib, enc, rng = Tokenizer.from_file(WORDS), packing.WordEncoder(bpe.read_vocabulary(WORDS)), random.Random(3)
     letters = "aabbccZQÉİΣσ \t\n\x0b\x1c\x85\u2028\u3000e\u0301<|endoftext|>.,'st0123漢字🙂\x00"
     rows = ["\x1c odd\u2028 İstanbul ΟΔΟΣ cafe\u0301 don't 12", None, "", "a" * 500 + " b. c, <|endoftext|> x<|endoftext|>.", "\n", "Σ. ß, É. <|EndOfText|>."]
     rows += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 50))) for _ in range(4000)]
+    plain = "abcdeABCDEtheingSTéÉÀ×÷ŸİĲŁłſß0129.,-!#| \n" + "".join(map(chr, range(0xC0, 0x180)))
+    rows += ["".join(rng.choice(plain) for _ in range(rng.randint(0, 90))) for _ in range(6000)]
+    rows += [" ".join(rng.choice(["thinking", "interest", "aaaaaaa", "ABABAB", "the", "unbelievable", "x" * 49, "é" * 24]) for _ in range(9)) for _ in range(500)]
     for a in range(0, len(rows), 1000):
         some = rows[a:a + 1000]
         size, ids = enc.encode(pa.array(some))

@@ -45,6 +45,16 @@ def spans(batches: Iterator[pa.RecordBatch], weight: str, most: int) -> Iterator
                 yield batch.slice(a, b - a)
 
 
+def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """A batch's texts cut at ASCII white space: the distinct words, the number
+    of each word in turn among these, and where each text's words end (null is
+    empty)."""
+    parts = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+    ends = parts.offsets.to_numpy().astype(np.int64)
+    coded = parts.flatten().dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), ends[1:] - ends[0]
+
+
 class Memo(dict):
     """A dictionary that computes what it lacks. At ``bound`` entries they
     become the older generation and a new one starts; keys met again move over,

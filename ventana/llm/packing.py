@@ -10,104 +10,47 @@ Nothing is padded but the end of the last window.
 
 from __future__ import annotations
 
-import os
-import sys
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ventana.llm.bpe import BATCH_CHARS, read_vocabulary
-from ventana.llm.common import pick, spans
+from ventana.llm.common import pick, spans, split_words
+from ventana.llm.word_bpe import WordIds
 from ventana.session import materialise
 
 #: Ids in one stored row: a longer document is stored in several, each cut apart.
 SEGMENT = 1 << 16
 END_ID = 1
-#: Parts of a text longer than this are not held for the next batch.
-LONG = 64
 
 
 class WordEncoder:
-    """Ids of whole texts by the ``tokenizers`` library, one lookup a distinct word of a batch.
+    """Ids of whole texts, made once per distinct word of a batch.
 
     The vocabulary's normaliser turns white space into spaces, its
     pre-tokeniser drops them and no match holds any, so a text's ids are those
     of its parts between white space, one after another. Arrow splits a batch
-    and numbers its distinct parts; their ids are looked up, or made; a gather
-    by number lays out the ids of the whole batch.
+    and numbers its distinct parts; a gather by number lays out the ids.
     """
 
-    def __init__(self, data: bytes, end_id: int = END_ID, bound: int = 250_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_buffer(data)
-        # two generations: parts that are met again survive when the older one goes
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.bound = bound
-        self.end = packed([end_id])
-        self.ends = {c: packed(self.tokenizer.encode(c, add_special_tokens=False).ids) for c in ".,"}
-
-    def make(self, words: list[str]) -> dict[str, bytes]:
-        made = {}
-        for a in range(0, len(words), 20_000):
-            some = words[a:a + 20_000]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                made[p] = packed(e.ids)
-        return made
-
-    def look_up(self, words: list[str]) -> list[bytes]:
-        """The ids of distinct parts. Parts longer than LONG are made anew each time: only short ones are held."""
-        if len(self.known) >= self.bound:
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        fresh, ended = set(), []
-        for p in words:
-            if p in known:
-                continue
-            ids = older.get(p)
-            if ids is not None:
-                known[p] = ids
-            elif p[-1:] in self.ends and p[-2:-1].islower() and p[-2] < "\u0180" and "<|" not in p:
-                # a mark after a letter that normalising leaves as it is: a match of its own
-                ended.append(p)
-                if p[:-1] not in known:
-                    fresh.add(p[:-1])
-            else:
-                fresh.add(p)
-        made = self.make(list(fresh))
-        for p in ended:
-            ids = made.get(p[:-1])
-            made[p] = (known[p[:-1]] if ids is None else ids) + self.ends[p[-1]]
-        known.update((p, ids) for p, ids in made.items() if len(p) <= LONG)
-        return [made[p] if p in made else known[p] for p in words]
+    def __init__(self, data: bytes, end_id: int = END_ID):
+        self.words = WordIds(data)
+        self.end = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, pa.Buffer]:
         """(bytes of ids per text, all ids one text after another): each text's ids and the end id; null is empty."""
-        parts = pc.ascii_split_whitespace(pc.fill_null(column, ""))
-        ends = parts.offsets.to_numpy().astype(np.int64)
-        ends = ends[1:] - ends[0]
-        coded = parts.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        table = pa.array([*self.look_up(words), self.end], pa.large_binary())
-        taken = table.take(pa.array(np.insert(coded.indices.to_numpy(), ends, len(words))))
+        words, number, ends = split_words(column)
+        ids, place = self.words.table(words)
+        table = pa.concat_arrays([ids, pa.array([self.end], pa.large_binary())])
+        taken = table.take(pa.array(np.insert(place[number], ends, len(ids))))
         at = np.frombuffer(taken.buffers()[1], dtype=np.int64)
         return np.diff(at[ends + np.arange(1, len(ends) + 1)], prepend=0), taken.buffers()[2]
 
 
-def packed(ids: list[int]) -> bytes:
-    out = array("I", ids)
-    if sys.byteorder == "big":
-        out.byteswap()
-    return out.tobytes()
-
-
 _MADE: dict[tuple[int, int], WordEncoder] = {}
 
 
