@@ -52,7 +52,12 @@ def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     parts = pc.ascii_split_whitespace(pc.fill_null(column, ""))
     ends = parts.offsets.to_numpy().astype(np.int64)
     coded = parts.flatten().dictionary_encode()
-    return coded.dictionary, coded.indices.to_numpy(), ends[1:] - ends[0]
+    number, ends = coded.indices.to_numpy(), ends[1:] - ends[0]
+    nothing = coded.dictionary.index("").as_py()  # before leading and after trailing white space
+    if nothing >= 0:
+        keep = number != nothing
+        number, ends = number[keep], np.concatenate([[0], np.cumsum(keep)])[ends]
+    return coded.dictionary, number, ends
 
 
 class Memo(dict):
