@@ -53,3 +53,26 @@ def test_clean_rows_counts(spark):
     assert st == {"rows_initial": 4, "duplicates_removed": 1, "null_target_removed": 1,
                   "negative_target_clipped": 1, "rows_final": 2}
     assert sorted(r["label"] for r in out.collect()) == [0.0, 2.0]
+
+
+def test_missing_cells_stay_missing(spark):
+    from ventana.operators import prep as D
+    nan = float("nan")
+    rows = [(i, float(i)) for i in range(1, 9)] + [(9, 1000.0), (10, None), (11, nan)]
+    df = spark.createDataFrame(rows, "k long, x double")
+    got = {r.k: r.x for r in D.iqr_winsorise(df, ["x"]).collect()}
+    assert got[10] is None and got[11] is None and got[9] == 13.0 and got[3] == 3.0
+    cfg = D.PrepConfig(usable_columns=("x",), handle_missing_values=None, outlier_method="iqr", feature_scaling=None)
+    out = {r.k: r.x for r in D.FeaturePrep(cfg, passthrough=["k"]).fit_transform(df)[1].collect()}
+    assert out[10] == out[11] == pytest.approx((36 + 13) / 9)
+    labels = C.clip_negative_label(df.withColumnRenamed("x", "label")).collect()
+    assert {r.k: r.label for r in labels}[10] is None and {r.k: r.label for r in labels}[11] is None
+    assert C.drop_null_label(df, "x").count() == 9
+    kept, stats = C.filter_values(df, C.FilterConfig(remove_empty=True, remove_negative=True))
+    assert kept.count() == 9 and {r.stat: r.rows for r in stats.collect()}["rows_dropped_empty"] == 2
+    kept, _ = C.filter_values(df, C.FilterConfig(remove_negative=True))
+    assert kept.count() == 9
+    twice = spark.createDataFrame([(1.0, None, 2.0), (1.0, nan, 2.0), (1.0, 1.0, nan), (1.0, 1.0, None)], "a double, b double, label double")
+    cleaned, stats = C.clean_rows(twice)
+    assert [tuple(r) for r in cleaned.collect()] == [(1.0, None, 2.0)]
+    assert {r.stat: r.rows for r in stats.collect()}["duplicates_removed"] == 2

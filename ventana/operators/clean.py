@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ventana.functions.exprs import col, nan_to_null, numeric_columns
+from ventana.functions.exprs import col, nan_as_null, nan_to_null, numeric_columns
 from ventana.operators.schema import normalize_column_names
 
 REASON = "_reason"
@@ -36,6 +36,7 @@ def duplicate_stats(df: DataFrame) -> DataFrame:
 
 
 def any_null(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """Whether a cell of the row is NULL (or NaN, once :func:`nan_as_null` has run)."""
     cols = columns or df.columns
     e = F.lit(False)
     for c in cols:
@@ -112,7 +113,9 @@ def filter_values(df: DataFrame, cfg: FilterConfig) -> tuple[DataFrame, DataFram
     """C5 ``filter_values`` -> (kept rows, statistics ``(stat, rows)``).
     Each dropped row counts once, for its first failing rule; per-column
     entries with no drops are omitted; ``rows_dropped_empty`` is always
-    present when that rule is on; totals close the table."""
+    present when that rule is on; totals close the table. NaN is missing and
+    comes back as NULL."""
+    df = nan_as_null(df)
     tagged = df.withColumn(REASON, filter_reason(df, cfg))
     kept = tagged.filter(F.col(REASON).isNull()).drop(REASON)
     stats = _reason_stats(tagged.groupBy(REASON).agg(F.count(F.lit(1)).alias("_n")), cfg)
@@ -142,14 +145,24 @@ def _reason_stats(counts: DataFrame, cfg: FilterConfig, mult: str = "_n") -> Dat
     return out
 
 
+def present(df: DataFrame, c: str) -> Column:
+    """The column with NaN as NULL."""
+    return nan_to_null(col(c)) if df.schema[c].dataType.typeName() in ("double", "float") else col(c)
+
+
+def clipped(y: Column) -> Column:
+    # greatest() skips NULLs: by itself it would turn a missing target into 0
+    return F.when(y.isNotNull(), F.greatest(y, F.lit(0.0)))
+
+
 def drop_null_label(df: DataFrame, label: str = "label") -> DataFrame:
-    """Rows whose target is NULL go."""
-    return df.filter(col(label).isNotNull())
+    """Rows whose target is NULL or NaN go."""
+    return df.filter(present(df, label).isNotNull())
 
 
 def clip_negative_label(df: DataFrame, label: str = "label") -> DataFrame:
-    """``max(y, 0)``."""
-    return df.withColumn(label, F.greatest(col(label), F.lit(0.0)))
+    """``max(y, 0)``; a missing target (NULL, NaN) stays missing, as NULL."""
+    return df.withColumn(label, clipped(present(df, label)))
 
 
 def clean_rows(df: DataFrame, cfg: FilterConfig | None = None, label: str = "label",
@@ -160,9 +173,11 @@ def clean_rows(df: DataFrame, cfg: FilterConfig | None = None, label: str = "lab
     ``duplicates_removed``, the filter entries, ``null_target_removed``,
     ``negative_target_clipped``, ``rows_initial`` and ``rows_final``; both
     come from the same deduplicating aggregate (cache the frame to run it
-    once when both are used).
+    once when both are used). NaN is missing everywhere: it equals NULL among
+    copies, fails the filters and the label check, and comes back as NULL.
     """
     cfg = cfg or FilterConfig()
+    df = nan_as_null(df)
     if normalize:
         df = normalize_column_names(df)
         label = label.lower()
@@ -172,7 +187,7 @@ def clean_rows(df: DataFrame, cfg: FilterConfig | None = None, label: str = "lab
     y = col(label)
     cleaned = tagged.filter(F.col(REASON).isNull() & y.isNotNull()) \
         .select(*[col(c) for c in feature_cols]) \
-        .withColumn(label, F.greatest(y, F.lit(0.0)))
+        .withColumn(label, clipped(y))
     counts = tagged.groupBy(REASON).agg(F.count(F.lit(1)).alias("_n"))
     fstats = _reason_stats(counts, cfg) if (cfg.remove_empty or cfg.remove_negative or cfg.value_range) else None
     base = tagged.agg(

@@ -113,7 +113,7 @@ def missing_policy(method: str | None) -> str | None:
 
 def iqr_winsorise(df: DataFrame, columns: list[str] | None = None, k: float = 1.5,
                   params: dict | None = None, accuracy: int | None = None) -> DataFrame:
-    """Clip to ``[Q1 - k*IQR, Q3 + k*IQR]`` (NULL stays NULL)."""
+    """Clip to ``[Q1 - k*IQR, Q3 + k*IQR]``; NULL and NaN are missing and stay so, as NULL."""
     cols = _feature_cols(df, columns)
     p = params or column_params(df, cols, accuracy)
     ex = {}
@@ -122,7 +122,9 @@ def iqr_winsorise(df: DataFrame, columns: list[str] | None = None, k: float = 1.
         if q1 is None:
             continue
         lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
-        ex[c] = F.least(F.greatest(col(c).cast("double"), F.lit(lo)), F.lit(hi))
+        x = nan_to_null(col(c).cast("double"))
+        # greatest() and least() skip NULLs: by themselves they would fill the cell with a fence
+        ex[c] = F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(lo)), F.lit(hi)))
     return _apply(df, ex)
 
 
@@ -377,7 +379,7 @@ class FeaturePrep:
         if cfg.select_usable and cfg.usable_columns:
             body, _ = select_usable_columns(body, list(cfg.usable_columns))
         if not body.columns:
-            raise ValueError("No usable columns remaining after selection")
+            raise ValueError(f"none of the frame's columns is among the usable ones: {list(cfg.usable_columns or ())}")
         if cfg.remove_categorical:
             body, _ = remove_categorical_columns(body, list(cfg.categorical_list) if cfg.categorical_list else None)
         body, _ = numeric_only(body)

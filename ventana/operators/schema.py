@@ -11,7 +11,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ventana.functions.exprs import col, is_numeric, row_mean_skip_nulls
+from ventana.functions.exprs import col, is_numeric, nan_to_null, row_mean_skip_nulls
 
 # The source workbook's attribute columns removed before training.
 DEFAULT_CATEGORICAL = ["codigo_almacen", "almacen", "codigo_producto", "descripcion_producto", "cum",
@@ -72,14 +72,14 @@ def numeric_only(df: DataFrame, keep: list[str] | None = None) -> tuple[DataFram
 
 def prepare_target(df: DataFrame, target: str | list[str], label: str = "label") -> DataFrame:
     """One frame with the features and a ``label`` column. One target
-    is renamed; several become their row mean with NULLs skipped (NULL when
-    all are NULL) and are removed from the features."""
+    is renamed; several become their row mean with NULLs and NaNs skipped (NULL
+    when all are missing) and are removed from the features."""
     targets = [target] if isinstance(target, str) else list(target)
     missing = [t for t in targets if t not in df.columns]
     if missing:
         raise ValueError(f"Target column(s) not found: {missing}")
-    y = col(targets[0]).cast("double") if len(targets) == 1 else \
-        row_mean_skip_nulls([col(t).cast("double") for t in targets])
+    values = [nan_to_null(col(t).cast("double")) for t in targets]
+    y = values[0] if len(values) == 1 else row_mean_skip_nulls(values)
     rest = [col(c) for c in df.columns if c not in targets]
     return df.select(*rest, y.alias(label))
 

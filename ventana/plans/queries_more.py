@@ -74,6 +74,88 @@ def d1_impute_mean_nan(spark, sf_dir):
     return D.impute(_with_nan(spark, sf_dir), "mean", M3)
 
 
+def _hole(i: int, key: str = "product_id") -> str:
+    return f"(({key} + {i}) % 7 = 3 OR ({key} + {i}) % 11 = 5)"
+
+
+_HOLES_SRC = ("SELECT product_id, " + ", ".join(f"CASE WHEN {_hole(i)} THEN NULL ELSE {qi(c)} END AS {qi(c)}" for i, c in enumerate(M3))
+              + f" FROM ({dm_sql(signed=True)})")
+
+
+def _with_holes(spark, sf_dir) -> DataFrame:
+    """Three months of DM_SIGNED with NaN in a seventh and NULL in an eleventh of every column's cells."""
+    def cell(i: int, c: str):
+        key, nan = F.col("product_id") + i, F.lit(float("nan"))
+        return F.when(key % 7 == 3, nan).when(key % 11 == 5, F.lit(None)).otherwise(F.col(c)).alias(c)
+    return B.dm_signed(spark, sf_dir).select("product_id", *[cell(i, c) for i, c in enumerate(M3)])
+
+
+def _fence(c: str) -> str:
+    a, b = f"(SELECT quantile_cont({qi(c)}, 0.25) FROM h)", f"(SELECT quantile_cont({qi(c)}, 0.75) FROM h)"
+    return f"CASE WHEN {qi(c)} IS NOT NULL THEN least(greatest({qi(c)}, {a} - 1.5 * ({b} - {a})), {b} + 1.5 * ({b} - {a})) END"
+
+
+@register("d6_iqr_winsorise_holes", f"WITH h AS MATERIALIZED ({_HOLES_SRC}) SELECT product_id, " + ", ".join(r6(_fence(c), c) for c in M3) + " FROM h")
+def d6_iqr_winsorise_holes(spark, sf_dir):
+    """Missing cells stay missing, the fences are those of the others."""
+    return D.iqr_winsorise(_with_holes(spark, sf_dir), M3, 1.5)
+
+
+@register("d15_iqr_holes", f"WITH h AS MATERIALIZED ({_HOLES_SRC}), w AS MATERIALIZED (SELECT product_id, " + ", ".join(f"{_fence(c)} AS {qi(c)}" for c in M3)
+          + " FROM h), p AS (SELECT product_id, " + ", ".join(f"CASE WHEN {qi(c)} < 0 THEN 0 ELSE {qi(c)} END AS {qi(c)}" for c in M3)
+          + " FROM w) SELECT product_id, " + ", ".join(r6(f"coalesce({qi(c)}, avg({qi(c)}) OVER (), 0)", c) for c in M3) + " FROM p")
+def d15_iqr_holes(spark, sf_dir):
+    """D15 without imputation, with IQR treatment: cells that are missing when
+    clipped get the column mean of what clipping leaves."""
+    cfg = D.PrepConfig(usable_columns=tuple(M3), handle_missing_values=None, outlier_method="iqr", feature_scaling=None)
+    return D.FeaturePrep(cfg, passthrough=["product_id"]).fit_transform(_with_holes(spark, sf_dir))[1]
+
+
+@register("c5_filter_stats_holes",
+          "WITH t AS (SELECT CASE WHEN " + " OR ".join(f"{qi(c)} IS NULL" for c in M3) + " THEN 'rows_dropped_empty' "
+          + " ".join(f"WHEN NOT {qi(c)} >= 0 THEN 'rows_dropped_{c}'" for c in M3) + f" END AS r FROM ({_HOLES_SRC})) "
+          "SELECT r AS stat, count(*)::BIGINT AS rows FROM t WHERE r IS NOT NULL GROUP BY r "
+          "UNION ALL SELECT 'rows_dropped_empty', 0::BIGINT WHERE NOT EXISTS (SELECT 1 FROM t WHERE r = 'rows_dropped_empty') "
+          "UNION ALL SELECT 'total_rows_initial', count(*)::BIGINT FROM t "
+          "UNION ALL SELECT 'total_rows_final', count(*) FILTER (WHERE r IS NULL)::BIGINT FROM t "
+          "UNION ALL SELECT 'total_rows_dropped', count(*) FILTER (WHERE r IS NOT NULL)::BIGINT FROM t")
+def c5_filter_stats_holes(spark, sf_dir):
+    """Rows with a NULL or a NaN fall to the rule for empty cells."""
+    return C.filter_values(_with_holes(spark, sf_dir), C.FilterConfig(remove_empty=True, remove_negative=True))[1]
+
+
+@register("c5_negative_holes", "WITH t AS (SELECT CASE " + " ".join(f"WHEN NOT coalesce({qi(c)} >= 0, false) THEN 'rows_dropped_{c}'" for c in M3)
+          + f" END AS r FROM ({_HOLES_SRC})) SELECT r AS stat, count(*)::BIGINT AS rows FROM t WHERE r IS NOT NULL GROUP BY r "
+          "UNION ALL SELECT 'total_rows_initial', count(*)::BIGINT FROM t "
+          "UNION ALL SELECT 'total_rows_final', count(*) FILTER (WHERE r IS NULL)::BIGINT FROM t "
+          "UNION ALL SELECT 'total_rows_dropped', count(*) FILTER (WHERE r IS NOT NULL)::BIGINT FROM t")
+def c5_negative_holes(spark, sf_dir):
+    """C5 with the rule for negatives alone: a missing cell is not >= 0."""
+    months = _with_holes(spark, sf_dir).select(*M3)
+    return C.filter_values(months, C.FilterConfig(remove_negative=True))[1]
+
+
+@register("c7_clip_label_holes", f"SELECT product_id, {r6(f'CASE WHEN {qi(M3[0])} < 0 THEN 0 ELSE {qi(M3[0])} END', 'label')} FROM ({_HOLES_SRC})")
+def c7_clip_label_holes(spark, sf_dir):
+    """A missing target stays missing."""
+    return C.clip_negative_label(_with_holes(spark, sf_dir).select("product_id", F.col(M3[0]).alias("label")))
+
+
+@register("c8_clean_rows_holes", f"SELECT {_cols(M3[1:])}, {r6(f'greatest({qi(M3[0])}, 0)', 'label')} FROM (SELECT DISTINCT {', '.join(map(qi, M3))} FROM ({_HOLES_SRC})) "
+          f"WHERE {qi(M3[0])} IS NOT NULL")
+def c8_clean_rows_holes(spark, sf_dir):
+    """C8 without a key: NaN equals NULL among copies, a NaN label goes, NaN cells come back as NULL."""
+    return C.clean_rows(_with_holes(spark, sf_dir).select(*M3[1:], F.col(M3[0]).alias("label")))[0]
+
+
+@register("b6_multi_target_holes", f"SELECT product_id, {_cols(M3[2:])}, " + r6(
+    f"(coalesce({qi(M3[0])}, 0) + coalesce({qi(M3[1])}, 0)) / nullif(({qi(M3[0])} IS NOT NULL)::INT + ({qi(M3[1])} IS NOT NULL)::INT, 0)", "label")
+    + f" FROM ({_HOLES_SRC})")
+def b6_multi_target_holes(spark, sf_dir):
+    """NaN targets are skipped like NULL ones."""
+    return A.nan_as_null(S.prepare_target(_with_holes(spark, sf_dir), M3[:2]))
+
+
 _TWICE = (f"SELECT product_id, {qi(TARGET)} AS label FROM ({dm_sql(signed=True)}) UNION ALL "
           f"SELECT product_id, {qi(TARGET)} FROM ({dm_sql(signed=True)}) WHERE product_id % 3 = 0 UNION ALL "
           f"SELECT product_id, NULL FROM ({dm_sql(signed=True)}) WHERE product_id % 5 = 0")

@@ -17,20 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ventana.functions.exprs import col, nan_to_null
+from ventana.functions.exprs import nan_as_null
 
 FORMATS = {".csv": "csv", ".json": "json", ".parquet": "parquet", ".pq": "parquet"}
 
 
-def nan_as_null(df: DataFrame) -> DataFrame:
-    """NaN -> NULL on float/double columns; other columns untouched (no-op
-    projection when there are none, so the scan keeps its pushdown)."""
-    fl = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    if not fl:
-        return df
-    return df.select(*[nan_to_null(col(c)).alias(c) if c in fl else col(c) for c in df.columns])
-
-
 def file_format(path: str) -> str:
     """A4: format from the extension; unknown -> ValueError like the source."""
     p = path.rstrip("/")
