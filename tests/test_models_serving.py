@@ -9,7 +9,8 @@ from ventana.models.persist import load_model, save_model
 from ventana.operators.evaluate import evaluate_one
 from ventana.operators.prep import FeaturePrep, PrepConfig
 from ventana.session import work_dir
-from ventana.streaming.serve import Bundle, score_one, score_stream
+from ventana.streaming.filedrop import accounts, score_stream, scored
+from ventana.streaming.serve import Bundle, score_one
 
 
 @pytest.fixture(scope="module")
@@ -115,7 +116,7 @@ def test_bundle_batch_equals_stream(spark, planted):
     feats.write.option("header", "true").csv(f"{base}/in")
     q = score_stream(spark, b, f"{base}/in", f"{base}/out", checkpoint=f"{base}/ck")
     q.awaitTermination()
-    stream = sorted(tuple(round(x, 6) for x in r) for r in spark.read.parquet(f"{base}/out").collect())
+    stream = sorted(tuple(round(x, 6) for x in r) for r in scored(spark, f"{base}/out").collect())
     assert batch == stream and len(batch) == 50
     one = score_one(spark, b, {"2024-1": 2.0}).collect()[0]
     assert "prediction_2025-9" in one.asDict()

@@ -23,7 +23,8 @@ from ventana.plans.registry import register
 from ventana.session import work_dir
 from ventana.sources import bindings as B
 from ventana.sources.bindings import FEATURES, RAW_MONTHS, TARGET
-from ventana.streaming.serve import Bundle, score_stream
+from ventana.streaming.filedrop import score_stream, scored
+from ventana.streaming.serve import Bundle
 
 
 def _frames(spark, sf_dir):
@@ -187,7 +188,7 @@ def j2_stream_scoring(spark, sf_dir):
     files.write.mode("overwrite").option("header", "true").csv(f"{base}/in")
     q = score_stream(spark, b, f"{base}/in", f"{base}/out", checkpoint=f"{base}/ckpt", schema=files.schema)
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return scored(spark, f"{base}/out")
 
 
 @register("h16_run_summary_counts", f"SELECT * FROM (VALUES ('samples', (SELECT count(*) FROM ({dm_sql()}))::VARCHAR), "

@@ -22,6 +22,7 @@ from ventana.session import work_dir
 from ventana.sources import bindings as B
 from ventana.sources import io as A
 from ventana.sources.bindings import FEATURES, MONTHS, RAW_MONTHS, TARGET
+from ventana.streaming.filedrop import accounts, score_stream, scored
 from ventana.streaming.serve import Bundle
 
 M3 = MONTHS[:3]
@@ -423,12 +424,56 @@ def h13_cv_folds_one(spark, sf_dir):
 def j1_batch_scoring_one(spark, sf_dir):
     """J1/J4 with one feature: prepared (scaled), fitted, saved, loaded, and
     every row of DM scored: scaling does not change a least-squares line."""
+    bundle, rows = _one_feature_bundle(spark, sf_dir)
+    return bundle.score(rows)
+
+
+def _one_feature_bundle(spark, sf_dir):
     d = SP.split_data(B.dm(spark, sf_dir), "product_id").withColumnRenamed(TARGET, "label")
     prep = D.FeaturePrep(D.PrepConfig(usable_columns=(_F1,), stats_from="train"), passthrough=["product_id", "label"])
     pm, prepared = prep.fit_transform(d.where("split = 'train'").select("product_id", "label", _F1))
     path = work_dir(spark, "bundle")
     Bundle(pm, LinearOLS().fit(prepared, pm.features), "logistic_regression", [_F1], TARGET).save(spark, path)
-    return Bundle.load(spark, path).score(d.select("product_id", _F1))
+    return Bundle.load(spark, path), d.select("product_id", _F1)
+
+
+def _dropped_files(spark, sf_dir):
+    """All rows of DM as uploads: in order, in another order with a column
+    more, without the feature, with a word among the numbers; scored by a stream."""
+    bundle, rows = _one_feature_bundle(spark, sf_dir)
+    base = work_dir(spark, "j2")
+    kind = F.col("product_id") % 5
+    uploads = [rows.where(kind < 2), rows.where(kind == 2).select(_F1, F.lit("x").alias("note"), "product_id"),
+               rows.where(kind == 3).select("product_id"),
+               rows.where(kind == 4).select("product_id", F.when(F.col("product_id") % 10 == 4, F.lit("many")).otherwise(F.col(_F1).cast("string")).alias(_F1))]
+    for upload in uploads:
+        upload.coalesce(1).write.mode("append").option("header", "true").csv(f"{base}/in")
+    score_stream(spark, bundle, f"{base}/in", f"{base}/out", checkpoint=f"{base}/ckpt", schema=rows.schema).awaitTermination()
+    return f"{base}/out"
+
+
+@register("j2_scored_by_name", f"WITH t AS MATERIALIZED ({_TRAIN}), c AS (SELECT regr_slope(y, x) AS s, regr_intercept(y, x) AS i FROM t WHERE u < 0.6) "
+          f"SELECT product_id, {r6('x', _F1, 4)}, {r6('i + s * x', 'prediction_' + TARGET, 4)} FROM t, c WHERE product_id % 5 < 3", digits=4)
+def j2_scored_by_name(spark, sf_dir):
+    """The rows of the accepted uploads, each read by its own header."""
+    return scored(spark, _dropped_files(spark, sf_dir))
+
+
+@register("j2_rejected_files", f"SELECT accepted, reason, sum(n)::BIGINT AS n_rows FROM (SELECT count(*) AS n, product_id % 5 < 3 AS accepted, CASE product_id % 5 "
+          f"WHEN 3 THEN 'Missing columns: {_F1}' WHEN 4 THEN 'Unreadable values in ' || (SELECT count(*) FROM ({dm_sql()}) WHERE product_id % 10 = 4) || ' rows' END AS reason "
+          f"FROM ({dm_sql()}) WHERE product_id % 5 <> 3 GROUP BY ALL UNION ALL SELECT 0, false, 'Missing columns: {_F1}') GROUP BY ALL")
+def j2_rejected_files(spark, sf_dir):
+    """What became of the uploads; rows are counted where a file could be read."""
+    return accounts(spark, _dropped_files(spark, sf_dir)).groupBy("accepted", "reason").agg(F.sum("n_rows").alias("n_rows"))
+
+
+@register("a1_read_csv_by_name", f"SELECT product_id, {', '.join(r6(qi(c), c) for c in MONTHS)} FROM ({dm_sql()})")
+def a1_read_csv_by_name(spark, sf_dir):
+    """A1: columns in reverse order and one more than the schema names."""
+    path = work_dir(spark, "a1") + "/reversed.csv"
+    d = B.dm(spark, sf_dir)
+    d.select(F.lit("x").alias("note"), *reversed(d.columns)).write.option("header", "true").csv(path)
+    return A.load_data(spark, path, d.schema)
 
 
 @register("g8_voting_of_lines", f"WITH t AS MATERIALIZED (SELECT product_id, {qi(FEATURES[-1])} AS a, {qi(FEATURES[-2])} AS b, {qi(TARGET)} AS y, {_hash()} AS u "

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ventana.functions.exprs import nan_as_null
+from ventana.functions.exprs import col, nan_as_null
 
 FORMATS = {".csv": "csv", ".json": "json", ".parquet": "parquet", ".pq": "parquet"}
 
@@ -32,10 +32,25 @@ def file_format(path: str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """A1: header row; explicit schema, else inferred (one extra pass)."""
+    """A1: header row; types from ``schema``, else inferred (one extra pass).
+
+    The header says which column is where, whatever the schema's order; further
+    columns of the file are not read, a missing one raises. The files of a
+    folder must share one header: Spark checks each file's against the first's
+    and fails where they differ (``streaming.filedrop`` takes files one by one).
+    """
     r = spark.read.option("header", "true")
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
-    return nan_as_null(r.csv(path))
+    if schema is None:
+        return nan_as_null(r.option("inferSchema", "true").csv(path))
+    want = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    header = r.csv(path).columns  # one line of the first file
+    if not header:
+        return spark.createDataFrame([], want)
+    missing = [c for c in want.names if c not in header]
+    if missing:
+        raise ValueError(f"Missing columns: {', '.join(missing)}")
+    placed = T.StructType([T.StructField(c, want[c].dataType if c in want.names else T.StringType(), True) for c in header])
+    return nan_as_null(r.schema(placed).option("enforceSchema", "false").csv(path).select(*[col(c) for c in want.names]))
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None,

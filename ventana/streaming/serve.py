@@ -1,12 +1,10 @@
-"""J1-J4 -- scoring with a saved bundle, in batch and as files arrive.
+"""J1, J3, J4 -- scoring with a saved bundle (as files arrive: ``filedrop``).
 
 A bundle is a folder: the fitted preparation state (parameter table +
 JSON), the model (MLlib ``PipelineModel`` or the fitted literals of our own
 models), and ``meta`` (config, usable columns, model name). Batch and
 streaming scoring share one ``score`` function, so the same files give the
-same predictions either way (J1 = J2). The stream is stateless -- no
-watermark is needed -- and its progress lives in a checkpoint folder under
-the shared checkpoint location, so a restarted query resumes exactly.
+same predictions either way (J1 = J2).
 """
 
 from __future__ import annotations
@@ -20,8 +18,6 @@ from ventana.models.base import PRED, Fitted
 from ventana.models.persist import load_model, save_model
 from ventana.operators.prep import FeaturePrepModel
 from ventana.operators.schema import literal_row_frame, validate_columns
-from ventana.session import work_dir
-from ventana.sources.io import nan_as_null
 
 
 class Bundle:
@@ -80,23 +76,3 @@ class Bundle:
 def score_one(spark: SparkSession, bundle: Bundle, values: dict | None = None) -> DataFrame:
     """One record of the usable columns (missing ones default to 0.0)."""
     return bundle.score(literal_row_frame(spark, bundle.usable_columns, values))
-
-
-def score_stream(spark: SparkSession, bundle: Bundle, in_dir: str, out_dir: str, fmt: str = "csv",
-                 checkpoint: str | None = None, schema=None, available_now: bool = True):
-    """Every new file of features in ``in_dir`` is validated, scored and
-    appended to ``out_dir`` (Parquet). Files need an explicit schema; the
-    default is the bundle's usable columns as doubles. Further columns of the
-    schema (a row's key) are carried into the output."""
-    from pyspark.sql import types as T
-    if schema is None:
-        schema = T.StructType([T.StructField(c, T.DoubleType(), True) for c in bundle.usable_columns])
-    reader = spark.readStream.schema(schema)
-    src = reader.option("header", "true").csv(in_dir) if fmt == "csv" else reader.parquet(in_dir)
-    # a literal NaN in a file is a missing value here as in the batch readers
-    scored = bundle.score(nan_as_null(src))
-    ck = checkpoint or work_dir(spark, "stream-ckpt")
-    w = scored.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", ck) \
-              .outputMode("append")
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
