@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -60,6 +60,32 @@ def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return coded.dictionary, number, ends
 
 
+#: Octaves of a hash: rows whose hash begins with so many zero bits.
+OCTAVES = 64
+
+
+def smallest(df: DataFrame, hashed: Column, k: int, group: Column | None = None) -> DataFrame:
+    """The rows of ``df`` (of every ``group``) with the smallest ``hashed``
+    (64-bit hashes) that are about ``k`` to 2 k: all below a power of two that
+    leaves at least k. A few counts are added up; no row is sorted or moved, so
+    what a driver or a task is sent stays bounded whatever the input. Rows of
+    equal hash stay together: make keys distinct first. Follow with an exact limit."""
+    high = F.shiftrightunsigned(hashed, 1).cast("double") / F.lit(float(1 << 63))
+    octave = F.when(high <= 0, F.lit(OCTAVES - 1)).otherwise(F.least(F.floor(-F.log2(high)), F.lit(OCTAVES - 1))).cast("int")
+    group = F.lit(0) if group is None else group
+    counts: dict = {}
+    for r in df.groupBy(group.alias("g"), octave.alias("o")).agg(F.count(F.lit(1)).alias("n")).collect():
+        counts.setdefault(r.g, {})[r.o] = r.n
+    chosen = F.lit(False)
+    for g, of in counts.items():
+        least, total = OCTAVES, 0
+        while least > 0 and total < k:
+            least -= 1
+            total += of.get(least, 0)
+        chosen = chosen | (group.eqNullSafe(F.lit(g)) & (octave >= least))
+    return df.where(chosen)
+
+
 class Memo(dict):
     """A dictionary that computes what it lacks. At ``bound`` entries they
     become the older generation and a new one starts; keys met again move over,

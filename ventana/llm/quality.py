@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ventana.llm.bpe import BATCH_CHARS
-from ventana.llm.common import pick, spans, split_words
+from ventana.llm.common import pick, smallest, spans, split_words
+from ventana.session import materialise
 
 BITS, DIMENSIONS = 18, 16
 BUCKETS = 1 << BITS
@@ -202,12 +203,12 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: Sampl
     known = known.groupBy("label_id").agg(F.min("label").cast("int").alias("label"))
     present = src.select("doc_id").distinct()  # ids only: no text is read
     known = known.join(present, F.col("label_id") == F.col("doc_id"), "left_semi")
-    first = Window.partitionBy("label").orderBy("h", "label_id")
-    # the window's limit is pushed below its shuffle: a task ships so many rows per class at most
-    chosen = (known.withColumn("h", F.xxhash64("label_id")).withColumn("nth", F.row_number().over(first))
-              .where(F.col("nth") <= 2 * sample.per_class).select("label_id", "label", "h"))
+    known, _ = materialise(spark, known.withColumn("h", F.xxhash64("label_id")), "quality-labels")
+    chosen = smallest(known, F.col("h"), 2 * sample.per_class, F.col("label"))
     rows = (src.where(F.length("text").between(1, sample.most_chars)).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
             .groupBy("label_id", "label", "h").agg(F.min("text").alias("text")))
+    # a few thousand rows
+    first = Window.partitionBy("label").orderBy("h", "label_id")
     rows = rows.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= sample.per_class).select("label", "h", "label_id", "text")
     got = sorted(rows.collect(), key=lambda r: (r.h, str(r.label_id)))
     return fit([(r.text, r.label) for r in got], sample, classes)
