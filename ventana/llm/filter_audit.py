@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ventana.llm.bpe import BATCH_CHARS
 from ventana.llm.common import pick, spans, texts
+from ventana.session import materialise
 
 #: A filter of a text: its words, its whole UTF-8 form, its code points -> whether the text fails.
 Failure = Callable[[list[bytes], bytes, int], bool]
@@ -74,6 +75,8 @@ def masks(docs: DataFrame, labels: DataFrame, failures: dict[str, Failure] = FAI
     kind = src.schema["doc_id"].dataType.simpleString()
     rows = (src.mapInArrow(run, f"doc_id {kind}, part string, text_key binary, mask int")
             .groupBy("doc_id", "text_key", "part", "mask").agg(F.count(F.lit(1)).alias("n")))
+    # read twice below, without the texts
+    rows, _ = materialise(docs.sparkSession, rows, "audit-masks")
     known = (pick(labels, label_id=id_col, quality="quality", toxic="toxic").where(F.col("label_id").isNotNull())
              .groupBy("label_id").agg(F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"),
                                       F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic")))
