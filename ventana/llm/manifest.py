@@ -216,6 +216,7 @@ def manifest(spark: SparkSession, docs: DataFrame, tamper: Callable[[Column, Col
     # a string that keeps null apart and before everything else
     tree = F.when(at[group_col].isNull(), F.lit("")).otherwise(F.concat(F.lit(":"), at[group_col].cast("string")))
     rows = src.select(tree.alias("tree"), at[id_col].alias("doc_id"), own.alias("digest"), changed.alias("tampered_leaf"))
+    rows, _ = materialise(spark, rows, "manifest-digests")  # ranges are drawn from a sample: the texts are read once all the same
     leaves, _ = materialise(spark, numbered(rows, "tree", ["doc_id", "digest"]), "manifest-leaves")
     subroots, layers = climb(spark, leaves, slab, "manifest")
     subroots, _ = materialise(spark, subroots.select(F.lit("").alias("all"), F.col("tree").alias("name"), "digest"), "manifest-subroots")
@@ -239,7 +240,8 @@ def folded(start: Column, proof: Column, places: list[tuple[Column, Column]]) ->
     at, done = start, F.lit(1)
     for place, n in places:
         begin = F.struct(at.alias("own"), place.cast("long").alias("place"), n.cast("long").alias("n"), done.cast("int").alias("at"))
-        levels = F.sequence(F.lit(1), F.lit(levels_of(1 << 62)))
+        # one more than the logarithm says, against rounding: a step with one node left changes nothing
+        levels = F.sequence(F.lit(1), (F.ceil(F.log(float(FANOUT), n)) + 1).cast("int"))
 
         def step(acc: Column, _: Column) -> Column:
             left = (acc["place"] % FANOUT).cast("int") * 64
