@@ -60,11 +60,10 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind in angle brackets; ``n_chars`` follows."""
-    found = pii.recognise(spark, docs, pii.train(spark, docs), keep=("text", "lang", "source", "n_chars"))
-    text = pii.masked(F.col("keep_text"), F.concat("base", "added"))
+    found = pii.recognise(spark, docs, pii.train(spark, docs), keep=("lang", "source", "n_chars"), mask=True)
     changed = F.size("base") + F.size("added") > 0
-    return found.select("doc_id", text.alias("text"), F.col("keep_lang").alias("lang"), F.col("keep_source").alias("source"),
-                        F.when(changed, F.length(text).cast("long")).otherwise(F.col("keep_n_chars")).alias("n_chars"))
+    return found.select("doc_id", F.col("masked").alias("text"), F.col("keep_lang").alias("lang"), F.col("keep_source").alias("source"),
+                        F.when(changed, F.length("masked").cast("long")).otherwise(F.col("keep_n_chars")).alias("n_chars"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
