@@ -15,8 +15,8 @@ from ventana.operators import prep as D
 from ventana.operators import profile as E
 from ventana.operators import schema as S
 from ventana.operators import split as SP
-from ventana.plans.oracles import dm_pair_sql, dm_sql, preds_sql, qi, r6
-from ventana.plans.pipeline import run_profile
+from ventana.plans.oracles import dm_pair_sql, dm_sql, long_sql, preds_sql, qi, r6
+from ventana.plans.pipeline import RunConfig, run_profile, run_training, winner
 from ventana.plans.registry import register
 from ventana.session import work_dir
 from ventana.sources import bindings as B
@@ -419,6 +419,60 @@ def h13_cv_folds_one(spark, sf_dir):
     return CV.cv_folds_table(_cv(spark, sf_dir))
 
 
+# ------------------------------------------------------------------ K2 at length
+
+_K2 = (f"SELECT codigo_almacen, codigo_producto, x, y, {_hash("codigo_almacen || '|' || codigo_producto")} AS u FROM (SELECT DISTINCT codigo_almacen, codigo_producto, "
+       f"{qi(RAW_MONTHS[-2])} AS x, greatest({qi(RAW_MONTHS[-1])}, 0) AS y FROM ({dm_pair_sql()}))")
+
+
+def _k2(spark, sf_dir):
+    """A whole run on DM_PAIR with the one model whose result SQL can state:
+    the least-squares line of the target month on the month before."""
+    cfg = RunConfig(models=("logistic_regression",), prep=D.PrepConfig(usable_columns=(RAW_MONTHS[-2],)))
+    pair = B.dm_pair(spark, sf_dir).select("codigo_almacen", "codigo_producto", *[F.col(f"`{m}`") for m in RAW_MONTHS[-2:]])
+    return run_training(pair, RAW_MONTHS[-1], ["codigo_almacen", "codigo_producto"], cfg)
+
+
+def _k2_metrics(split: str) -> str:
+    return (f"WITH t AS MATERIALIZED ({_K2}), c AS (SELECT regr_slope(y, x) AS s, regr_intercept(y, x) AS i FROM t WHERE u < 0.6), "
+            f"e AS (SELECT y, i + s * x AS p FROM t, c WHERE {split}) SELECT 'logistic_regression' AS model, {r6('avg(abs(y - p))', 'mae', 4)}, "
+            f"{r6('sqrt(avg((y - p) * (y - p)))', 'rmse', 4)}, {r6('1 - avg((y - p) * (y - p)) / var_pop(y)', 'r2', 4)} FROM e")
+
+
+@register("k2_saved_leaderboard", _k2_metrics("u >= 0.6 AND u < 0.8"), digits=4)
+def k2_saved_leaderboard(spark, sf_dir):
+    """K2: the validation leaderboard as the run wrote it."""
+    run = _k2(spark, sf_dir)
+    folder = next(r["folder"] for r in run.stages if r["stage"] == "select")
+    return A.load_data(spark, f"{folder}/leaderboard.csv", "model string, mae double, rmse double, r2 double")
+
+
+@register("k2_saved_evaluation", _k2_metrics("u >= 0.8"), digits=4)
+def k2_saved_evaluation(spark, sf_dir):
+    """K2: the test metrics in the evaluation document that the run wrote."""
+    run = _k2(spark, sf_dir)
+    folder = next(r["folder"] for r in run.stages if r["stage"] == "test")
+    one = A.read_json(spark, f"{folder}/evaluation.json", f"{run.best_model} struct<mae: double, rmse: double, r2: double>", True)
+    return one.select(F.lit(run.best_model).alias("model"), F.col(f"{run.best_model}.*"))
+
+
+@register("k2_saved_profile", "SELECT 'missing' AS section, column_name, key, value FROM (SELECT column_name, count(*) - count(value) AS missing FROM ("
+          + long_sql(f"({dm_pair_sql()})", ["codigo_almacen", "codigo_producto", *RAW_MONTHS[-2:]]) + ") GROUP BY column_name) "
+          "UNPIVOT (value FOR key IN (missing))")
+def k2_saved_profile(spark, sf_dir):
+    """K2: the missing counts of the profile that the run wrote."""
+    run = _k2(spark, sf_dir)
+    return run.profile.where("section = 'missing' and key = 'missing'").select("section", "column_name", F.lit("missing").alias("key"), F.col("value").cast("long").alias("value"))
+
+
+@register("k2_winner_scores", f"WITH t AS MATERIALIZED ({_K2}), c AS (SELECT regr_slope(y, x) AS s, regr_intercept(y, x) AS i FROM t WHERE u < 0.6) "
+          f"SELECT codigo_almacen, codigo_producto, {r6('x', RAW_MONTHS[-2], 4)}, {r6('i + s * x', 'prediction_' + RAW_MONTHS[-1], 4)} FROM t, c", digits=4)
+def k2_winner_scores(spark, sf_dir):
+    """K2 -> J1: all rows of DM_PAIR scored by the bundle that the run wrote."""
+    rows = B.dm_pair(spark, sf_dir).select("codigo_almacen", "codigo_producto", F.col(f"`{RAW_MONTHS[-2]}`"))
+    return winner(spark, _k2(spark, sf_dir)).score(rows)
+
+
 @register("j1_batch_scoring_one", f"WITH t AS MATERIALIZED ({_TRAIN}), c AS (SELECT regr_slope(y, x) AS s, regr_intercept(y, x) AS i FROM t WHERE u < 0.6) "
           f"SELECT product_id, {r6('x', _F1, 4)}, {r6('i + s * x', 'prediction_' + TARGET, 4)} FROM t, c", digits=4)
 def j1_batch_scoring_one(spark, sf_dir):
