@@ -1,6 +1,6 @@
-"""G1-G5, G11 -- regressors.
+"""G1-G4, G11 -- regressors (G5: ``models.boosting``).
 
-MLlib where its semantics fit (OLS, forests, boosting, bagging); support
+MLlib where its semantics fit (OLS, forests, bagging); support
 vector regression is an own iterative job (``models.shards``): each round runs
 mini-batch sub-gradient steps in fixed shards from broadcast weights and
 averages the weights in one grouped sum, until the loss settles. The RBF
@@ -21,14 +21,14 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
-                                   RandomForestRegressor)
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ventana.models import shards
 from ventana.models.base import LABEL, PRED, ExprFitted, Fitted, MLlibSpec, Spec, lincomb
+from ventana.models.boosting import GradientBoosting
 
 
 def _leaf(min_samples_leaf: int, min_samples_split: int) -> int:
@@ -58,17 +58,6 @@ class RandomForest(MLlibSpec):
                                      bootstrap=True, seed=seed, maxBins=64)
 
 
-class GradientBoosting(MLlibSpec):
-    """100 x 0.1 x depth 3 (MLlib starts from an unshrunk first tree,
-    not from the mean)."""
-    name = "gradient_boosting"
-
-    @staticmethod
-    def make(n_estimators=100, learning_rate=0.1, max_depth=3, min_samples_leaf=1, min_samples_split=2, seed=42):
-        return GBTRegressor(maxIter=int(n_estimators), stepSize=float(learning_rate), maxDepth=int(max_depth),
-                            minInstancesPerNode=_leaf(min_samples_leaf, min_samples_split), seed=seed, maxBins=64)
-
-
 class Bagging(MLlibSpec):
     """10 unpruned bootstrap trees on all features."""
     name = "bagging_regressor"

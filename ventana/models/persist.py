@@ -10,6 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
 from ventana.models.base import ExprFitted, Fitted, MLlibFitted
+from ventana.models.boosting import Boosted
 from ventana.models.classic import _ArrowKernelSVR, linear_svr
 from ventana.models.ensembles import _Chain, _WeightedMedian
 from ventana.models.mlp import _ArrowMLP, mlp_fitted
@@ -20,6 +21,8 @@ def save_model(spark: SparkSession, model: Fitted, path: str) -> None:
     if isinstance(model, MLlibFitted):
         meta["kind"] = "mllib"
         model.save(f"{path}/pipeline")
+    elif isinstance(model, Boosted):
+        meta |= {"kind": "boosted", "state": model.state}
     elif isinstance(model, _ArrowMLP):
         meta |= {"kind": "mlp", "state": model.state}
     elif isinstance(model, _ArrowKernelSVR):
@@ -44,6 +47,8 @@ def load_model(spark: SparkSession, path: str) -> Fitted:
     kind, name, feats, st = meta["kind"], meta["name"], meta["features"], meta.get("state", {})
     if kind == "mllib":
         return MLlibFitted(PipelineModel.load(f"{path}/pipeline"), feats, name)
+    if kind == "boosted":
+        return Boosted.of(st, feats, name)
     if kind == "mlp":
         return mlp_fitted(np.array(st["theta"]), [tuple(s) for s in st["shapes"]], st["act"], feats, name)
     if kind == "rbf_svr":

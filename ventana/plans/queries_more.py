@@ -419,6 +419,28 @@ def h13_cv_folds_one(spark, sf_dir):
     return CV.cv_folds_table(_cv(spark, sf_dir))
 
 
+def _stump_sql(rows: str, n: str) -> str:
+    """The best cut of ``rows`` (x, r, u) on their training part, as one row (t, l, h): where, and the means on both sides."""
+    return (f"{n}v AS (SELECT x, count(*) AS n, sum(r) AS s FROM {rows} WHERE u < 0.6 GROUP BY x), "
+            f"{n}c AS (SELECT x, lead(x) OVER (ORDER BY x) AS above, sum(n) OVER (ORDER BY x) AS nl, sum(s) OVER (ORDER BY x) AS sl, "
+            f"sum(n) OVER () AS n, sum(s) OVER () AS s FROM {n}v), "
+            f"{n} AS MATERIALIZED (SELECT (x + above) / 2 AS t, sl / nl AS l, (s - sl) / (n - nl) AS h FROM {n}c WHERE above IS NOT NULL "
+            f"ORDER BY round(nl * (n - nl) / n * pow(sl / nl - (s - sl) / (n - nl), 2), 6) DESC, x LIMIT 1)")
+
+
+@register("g5_boosted_stumps_one", f"WITH t AS MATERIALIZED ({_TRAIN}), a AS MATERIALIZED (SELECT product_id, x, y, u, (SELECT avg(y) FROM t WHERE u < 0.6) AS f, "
+          "y - (SELECT avg(y) FROM t WHERE u < 0.6) AS r FROM t), " + _stump_sql("a", "p")
+          + ", b AS MATERIALIZED (SELECT product_id, x, y, u, f + 0.5 * CASE WHEN x <= p.t THEN p.l ELSE p.h END AS f, "
+          "r - 0.5 * CASE WHEN x <= p.t THEN p.l ELSE p.h END AS r FROM a, p), " + _stump_sql("b", "q")
+          + f" SELECT product_id, {r6('y', 'y', 4)}, {r6('f + 0.5 * CASE WHEN x <= q.t THEN q.l ELSE q.h END', 'p', 4)} FROM b, q", digits=4)
+def g5_boosted_stumps_one(spark, sf_dir):
+    """G5 with one feature, two rounds of one cut each at rate 0.5: the start
+    is the mean, the second cut is that of the residuals; every row of DM."""
+    d = SP.split_data(B.dm(spark, sf_dir), "product_id").withColumnRenamed(TARGET, "label")
+    m = CV.get_spec("gradient_boosting", n_estimators=2, max_depth=1, learning_rate=0.5).fit(d.where("split = 'train'"), [_F1])
+    return m.transform(d).select("product_id", F.col("label").alias("y"), F.col("prediction").alias("p"))
+
+
 # ------------------------------------------------------------------ K2 at length
 
 _K2 = (f"SELECT codigo_almacen, codigo_producto, x, y, {_hash("codigo_almacen || '|' || codigo_producto")} AS u FROM (SELECT DISTINCT codigo_almacen, codigo_producto, "
