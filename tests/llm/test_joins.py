@@ -1,6 +1,7 @@
 """op3, op7, op8, op10, the component routine and the pipeline."""
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -160,6 +161,73 @@ def test_sharding(spark, words, messy, no_docs):
     assert sharding.shard(spark, no_docs, shards=4).count() == 0
 
 
+def ring_byte_by_byte(rows, shards, vnodes, slack):
+    """(doc_id, text) -> shard, by walking a ring of single bytes. ``rows`` without hot texts."""
+    import xxhash
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+
+    def chain(*parts):
+        h = 42
+        for b in parts:
+            h = xxhash.xxh64(b, seed=h).intdigest()
+        return signed(h)
+
+    nodes = sorted((chain(b"vnode", s.to_bytes(4, "little"), n.to_bytes(8, "little")), s) for s in range(shards) for n in range(vnodes))
+    arcs = [[] for _ in nodes]
+    for i, t in rows:
+        place = chain((t or "").encode())
+        arcs[next((k for k, (p, _) in enumerate(nodes) if place <= p), 0)].append((place, i, t))
+    total = sum(len((t or "").encode()) + 1 for _, t in rows)
+    room = [int(total / shards * (1 + slack)) + 1] * shards
+    owner, left = {}, []
+    for k, arc in enumerate(arcs):
+        for place, i, t in sorted(arc):
+            for byte in range(len((t or "").encode()) + 1):
+                s = nodes[k][1]
+                if room[s]:
+                    room[s] -= 1
+                    owner.setdefault((i, t), s)  # a row is where its first byte is
+                else:
+                    left.append((k, i, t))
+    for k, i, t in left:
+        while not room[nodes[k][1]]:
+            k = (k + 1) % len(nodes)
+        room[nodes[k][1]] -= 1
+        owner.setdefault((i, t), nodes[k][1])
+    return owner
+
+
+def test_sharding_equals_a_ring_of_bytes(spark, words):
+    rng = random.Random(11)
+    texts = [" ".join(words(i, rng.randint(1, 12))) for i in range(500)] + ["", None, "é漢"]
+    rows = [(i, rng.choice(texts) if i % 3 else texts[i % len(texts)]) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for shards, slack in ((5, 0.001), (3, 0.2)):
+        # which of a cut text's copies lie on which side is free
+        text = dict(rows)
+        got = Counter((text[r.doc_id], r.shard) for r in sharding.shard(spark, df, shards=shards, vnodes=3, slack=slack).collect())
+        assert got == Counter((t, s) for (_, t), s in ring_byte_by_byte(rows, shards, 3, slack).items())
+
+
+def test_copies_stand_together_and_hot_texts_are_split(spark, words):
+    many = [(i, " ".join(words(i % 600, 40))) for i in range(6000)]  # ten copies of each text
+    hot = [(10_000 + i, "the same text " * 30) for i in range(2000)] + [(None, "another one " * 30)] * 1500 + [(7, "repeated " * 40)] * 1500
+    out = sharding.shard(spark, spark.createDataFrame(many + hot, "doc_id long, text string").repartition(8), shards=8).collect()
+    assert len(out) == 11_000
+    where = {}
+    for r in out:
+        where.setdefault(r.text_crc32, set()).add(r.shard)
+    # a border cuts one text at most: as many as byte ranges at the most, far fewer than texts
+    assert sum(len(s) > 1 for s in where.values()) <= 8 + 64
+    loads, slots = {}, {}
+    for r in out:
+        loads[r.shard] = loads.get(r.shard, 0) + r.size
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert max(loads.values()) / (sum(loads.values()) / 8) < 1.02 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    same = [r for r in out if r.text_crc32 == next(x.text_crc32 for x in out if x.doc_id == 10_000)]
+    assert len(same) == 2000 and len({r.slot for r in same if r.shard == same[0].shard}) == sum(r.shard == same[0].shard for r in same)
+
+
 def test_plan_fills_shards_in_ring_order():
     nodes = [(0, 0), (1, 1), (2, 0), (3, 2)]
     out = sharding.plan({0: 5, 1: 30, 2: 7, 3: 1}, nodes, 3, 15)
