@@ -40,6 +40,8 @@ VALUES = BANDS * ROWS
 TOLERANCE = 1e-6
 #: A block of a meeting holds about so many classes, and so many shingles, at most.
 BLOCK_CLASSES, BLOCK_SHINGLES = 1024, 1_000_000
+#: A class of more than 1 / HOT of all rows is hot.
+HOT = 4096
 
 
 def needed(threshold: float) -> list[int]:
@@ -171,18 +173,17 @@ def join(spark: SparkSession, docs: DataFrame, threshold: float = 0.8, words: in
     rows, _ = materialise(spark, signatures(src, words), "ngram-signatures")
     classes = rows.where("class is not null").groupBy("class").agg(
         F.count(F.lit(1)).alias("weight"), F.min("doc_id").alias("least"), F.first("size").alias("size"),
-        F.first("signature").alias("signature"))
+        F.first("signature").alias("signature"), F.min(F.struct("doc_id", "text_key")).alias("one"))
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))
     bands = (classes.where("signature is not null").select("class", "signature", band.alias("band"))
              .select("class", F.xxhash64("band", F.expr(f"substring(signature, band * {ROWS} + 1, {ROWS})")).alias("bucket")))
     buckets = bands.groupBy("bucket").agg(F.min("class").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
     # at most BANDS names per class
     met = bands.join(buckets, "bucket").groupBy("class").agg(F.collect_set("rep").alias("reps"))
-    met, _ = materialise(spark, met.join(classes.select("class", "weight", "size", "signature"), "class"), "ngram-met")
+    met, _ = materialise(spark, met.join(classes.select("class", "weight", "size", "signature", "one"), "class"), "ngram-met")
 
     # whole sets of the classes that meet anyone: one text each
-    one = rows.join(met.select("class"), "class").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("one"))
-    one = one.select(F.col("one.doc_id").alias("one_id"), F.col("one.text_key").alias("one_key"))
+    one = met.select(F.col("one.doc_id").alias("one_id"), F.col("one.text_key").alias("one_key"))
     chosen = src.withColumn("text_key", F.xxhash64("text")).join(
         one, F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_key") == F.col("one_key")), "left_semi")
     sets = sets_of(chosen, words).dropDuplicates(["class"])
@@ -205,11 +206,15 @@ def join(spark: SparkSession, docs: DataFrame, threshold: float = 0.8, words: in
     roots = components(spark, found.where("root is not null").select("class", "root")).select(F.col("node").alias("class"), "root")
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     named = (classes.select("class", "weight", "least").join(links, "class", "left").join(roots, "class", "left")
-             .select("class", "least", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "class").alias("root")))
+             .select("class", "least", "weight", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "class").alias("root")))
     # a hot component is one group of a minimum, which is added up before the shuffle
     ids = named.groupBy("root").agg(F.min("least").alias("class_id"))
-    named = named.join(ids, "root").select("class", "class_id", "n_links", "root")
-    out = rows.where("class is not null").select("doc_id", "text_key", "class").join(named, "class")
+    named, _ = materialise(spark, named.join(ids, "root").select("class", "class_id", "n_links", "root", "weight"), "ngram-classes")
+    # fewer than HOT classes hold more than 1 / HOT of the rows each: their rows stay where they are
+    whole = rows.count()
+    hot = F.broadcast(named.where(F.col("weight") > whole / HOT))
+    keyed = rows.where("class is not null").select("doc_id", "text_key", "class")
+    out = keyed.join(hot, "class").unionByName(keyed.join(hot.select("class"), "class", "left_anti").join(named, "class"))
     alone = rows.where("class is null").select("doc_id", "text_key", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
                                                F.lit(None).cast("long").alias("root"))
     return out.select("doc_id", "text_key", "class_id", "n_links", "root").unionByName(alone)
