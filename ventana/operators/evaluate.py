@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ventana.functions.quantiles import quantile_frame
+from ventana.functions.quantiles import grouped_quantiles
 
 # sklearn's MAPE guard (float64 machine epsilon).
 EPS = 2.220446049250313e-16
@@ -52,10 +52,13 @@ def evaluate(preds: DataFrame, y: str = "y", p: str = "p", by: list[str] | None
     """H7 ``evaluate_multiple_models``: metrics per model (or any grouping),
     sorted MAE asc, RMSE asc, R2 desc."""
     by = by if by is not None else ["model"]
-    out = preds.groupBy(*by).agg(*metric_columns(F.col(y).cast("double"), F.col(p).cast("double"), accuracy))
-    if not accuracy:
-        size = preds.select(*by, F.abs(F.col(y).cast("double") - F.col(p).cast("double")).alias("_e"))
-        out = _with_quantiles(out, quantile_frame(size, by, "_e", [0.5]), by).withColumn("medae", F.col("_q")[0]).drop("_q")
+    narrow = preds.select(*by, F.col(y).cast("double").alias("_y"), F.col(p).cast("double").alias("_p"))
+    metrics = metric_columns(F.col("_y"), F.col("_p"), accuracy)
+    if accuracy:
+        out = narrow.groupBy(*by).agg(*metrics)
+    else:
+        out = grouped_quantiles(narrow.withColumn("_e", F.abs(F.col("_y") - F.col("_p"))), by, "_e", [0.5], metrics)
+        out = out.withColumn("medae", F.col("_q")[0]).drop("_q")
     return out.orderBy(F.col("mae").asc_nulls_last(), F.col("rmse").asc_nulls_last(),
                        F.col("r2").desc_nulls_last(), *by)
 
@@ -69,15 +72,6 @@ def evaluate_one(df: DataFrame, y: str = "label", p: str = "prediction", accurac
     return df.sparkSession.range(1).join(out, F.lit(True), "left").select(*names)
 
 
-def _with_quantiles(out: DataFrame, q: DataFrame, by: list[str]) -> DataFrame:
-    """Adds ``_q`` of the (few) groups to their row."""
-    q = q.withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(by)})
-    same = F.lit(True)
-    for i, c in enumerate(by):
-        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
-    return out.join(F.broadcast(q), same, "left").drop(*[f"_k{i}" for i in range(len(by))])
-
-
 def best_model(leaderboard: DataFrame, metric: str = "mae", name: str = "model") -> DataFrame:
     """H8 ``get_best_model``: min for error metrics, max otherwise; a NULL
     metric loses; empty -> no row (NULL)."""
@@ -95,14 +89,15 @@ def prediction_errors(df: DataFrame, y: str = "y", p: str = "p", by: list[str] |
     min, max, median, 5th and 95th percentile (linear interpolation)."""
     e = F.col(y).cast("double") - F.col(p).cast("double")
     probs = [0.5, 0.05, 0.95]
-    pct = F.percentile_approx(e, F.array(*[F.lit(x) for x in probs]), accuracy) if accuracy else F.lit(None).cast("array<double>")
     if not by:
         got = prediction_errors(df.withColumn("_one", F.lit(1)), y, p, ["_one"], accuracy).drop("_one")
         return df.sparkSession.range(1).join(got, F.lit(True), "left").drop("id")
-    out = df.groupBy(*by).agg(F.avg(e).alias("mean_error"), F.stddev_pop(e).alias("std_error"), F.min(e).alias("min_error"),
-                F.max(e).alias("max_error"), pct.alias("_q"))
-    if not accuracy:
-        out = _with_quantiles(out.drop("_q"), quantile_frame(df.select(*by, e.alias("_e")), by, "_e", probs), by)
+    narrow, x = df.select(*by, e.alias("_e")), F.col("_e")
+    spread = [F.avg(x).alias("mean_error"), F.stddev_pop(x).alias("std_error"), F.min(x).alias("min_error"), F.max(x).alias("max_error")]
+    if accuracy:
+        out = narrow.groupBy(*by).agg(*spread, F.percentile_approx(x, F.array(*[F.lit(q) for q in probs]), accuracy).alias("_q"))
+    else:
+        out = grouped_quantiles(narrow, by, "_e", probs, spread)
     return out.select(*(by or []), "mean_error", "std_error", "min_error", "max_error",
                       F.col("_q")[0].alias("median_error"), F.col("_q")[1].alias("percentile_5"),
                       F.col("_q")[2].alias("percentile_95"))

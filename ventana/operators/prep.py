@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ventana.functions.exprs import col, nan_to_null, numeric_columns
 from ventana.functions.ordering import fill_forward_backward
-from ventana.functions.quantiles import exact_quantiles
+from ventana.functions.quantiles import grouped_quantiles
 from ventana.operators.profile import correlation_matrix, to_long
 from ventana.operators.schema import (normalize_column_names, numeric_only, remove_categorical_columns,
                                       select_usable_columns)
@@ -50,16 +50,17 @@ def column_params(df: DataFrame, columns: list[str], accuracy: int | None = None
         return {}
     v = F.col("value")
     probs = [0.25, 0.5, 0.75]
-    approx = quantiles and accuracy
-    q = F.percentile_approx(v, F.array(*[F.lit(p) for p in probs]), accuracy) if approx else F.lit(None).cast("array<double>")
-    exact = dict(exact_quantiles(to_long(df, columns), ["column_name"], "value", probs)) if quantiles and not accuracy else {}
-    rows = to_long(df, columns).groupBy("column_name").agg(
-        F.avg(v).alias("mean"), F.stddev_pop(v).alias("std_pop"), F.min(v).alias("min"),
-        F.max(v).alias("max"), q.alias("q"),
-        F.count(v).alias("n_valid"), F.count(F.lit(1)).alias("n_rows")).collect()
+    spread = [F.avg(v).alias("mean"), F.stddev_pop(v).alias("std_pop"), F.min(v).alias("min"), F.max(v).alias("max"),
+              F.count(v).alias("n_valid"), F.count(F.lit(1)).alias("n_rows")]
+    long = to_long(df, columns)
+    if quantiles and not accuracy:
+        rows = grouped_quantiles(long, ["column_name"], "value", probs, spread).collect()
+    else:
+        q = F.percentile_approx(v, F.array(*[F.lit(p) for p in probs]), accuracy) if quantiles else F.lit(None).cast("array<double>")
+        rows = long.groupBy("column_name").agg(*spread, q.alias("_q")).collect()
     out = {}
     for r in rows:
-        q = r["q"] or exact.get((r["column_name"],)) or [None, None, None]
+        q = r["_q"] or [None, None, None]
         out[r["column_name"]] = {"mean": r["mean"], "std_pop": r["std_pop"], "min": r["min"], "max": r["max"],
                                  "q1": q[0], "median": q[1], "q3": q[2], "n_valid": r["n_valid"],
                                  "n_rows": r["n_rows"]}

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ventana.functions.exprs import col, nan_to_null, numeric_columns, q
-from ventana.functions.quantiles import exact_quantiles, quantile_frame
+from ventana.functions.quantiles import exact_quantiles, grouped_quantiles
 
 STAT_COLUMNS = ["column_name", "mean", "std_dev", "min", "q1", "median", "q3", "max",
                 "iqr", "skewness", "kurtosis"]
@@ -58,8 +58,7 @@ def _with_quartiles(df: DataFrame, cols: list[str], aggregates: list[Column], ac
     long = to_long(df, cols)
     if accuracy:
         return long.groupBy("column_name").agg(*aggregates, F.percentile_approx("value", F.array(*[F.lit(p) for p in QUARTILES]), accuracy).alias("_q"))
-    out = long.groupBy("column_name").agg(*aggregates)
-    return out.join(F.broadcast(quantile_frame(long, ["column_name"], "value", QUARTILES)), "column_name", "left")
+    return grouped_quantiles(long, ["column_name"], "value", QUARTILES, aggregates)
 
 
 def _quartiles(df: DataFrame, cols: list[str], accuracy: int | None) -> dict[str, list[float | None]]:
@@ -71,8 +70,13 @@ def _quartiles(df: DataFrame, cols: list[str], accuracy: int | None) -> dict[str
 
 def _fences(df: DataFrame, cols: list[str], k: float, accuracy: int | None) -> dict[str, tuple]:
     """(q1, median, q3, lower, upper) per column; Nones where it has no values."""
+    return _bounds(_quartiles(df, cols, accuracy), cols, k)
+
+
+def _bounds(quartiles: dict[str, list[float] | None], cols: list[str], k: float) -> dict[str, tuple]:
     out = {}
-    for c, (q1, med, q3) in _quartiles(df, cols, accuracy).items():
+    for c, q in quartiles.items():
+        q1, med, q3 = q or (None,) * 3
         out[c] = (None,) * 5 if q1 is None else (q1, med, q3, q1 - k * (q3 - q1), q3 + k * (q3 - q1))
     return {c: out.get(c, (None,) * 5) for c in cols}
 
@@ -328,9 +332,11 @@ def _beyond(v: Column, s, t: float) -> Column:
 def outlier_comparison(df: DataFrame, columns: list[str] | None = None, k: float = 1.5,
                        t: float = 3.0, accuracy: int | None = None) -> DataFrame:
     """IQR vs z-score counts and percentages per column."""
-    cols = analysis_columns(df, columns)
-    fences = _fences(df, cols, k, accuracy)
-    stats = {r["column_name"]: r for r in zscore_stats(df, cols).collect()}
+    cols, v = analysis_columns(df, columns), F.col("value")
+    # quartiles, mean and spread of one reading
+    stats = {r["column_name"]: r for r in _with_quartiles(df, cols, [
+        F.avg(v).alias("mu"), F.stddev_pop(v).alias("sigma"), F.count(v).alias("n_valid"), F.count(F.lit(1)).alias("n_rows")], accuracy).collect()}
+    fences = _bounds({c: r["_q"] for c, r in stats.items()}, cols, k)
     out = _wide(df, cols, lambda c, v: {
         "iqr_count": F.count_if((v < _number(fences[c][3])) | (v > _number(fences[c][4]))).cast("long"),
         "z_count": _beyond(v, stats.get(c), t), "n_valid": F.count(v)})
