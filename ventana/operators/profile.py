@@ -264,10 +264,11 @@ def profile_long(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- outliers
 
 def iqr_bounds(df: DataFrame, columns: list[str] | None = None, k: float = 1.5,
-               accuracy: int | None = None) -> DataFrame:
-    """Per column Q1, Q3 and the fences ``Q1 - k*IQR``, ``Q3 + k*IQR``."""
+               accuracy: int | None = None, quartiles: dict | None = None) -> DataFrame:
+    """Per column Q1, Q3 and the fences ``Q1 - k*IQR``, ``Q3 + k*IQR``
+    (``quartiles``: those of the columns, where they are known)."""
     cols = analysis_columns(df, columns)
-    rows = _bound_rows(_fences(df, cols, k, accuracy))
+    rows = _bound_rows(_bounds(quartiles, cols, k) if quartiles is not None else _fences(df, cols, k, accuracy))
     return df.sparkSession.createDataFrame(rows, "column_name string, q1 double, median double, q3 double, iqr double, "
                                                  "lower_bound double, upper_bound double")
 
@@ -330,13 +331,17 @@ def _beyond(v: Column, s, t: float) -> Column:
 
 
 def outlier_comparison(df: DataFrame, columns: list[str] | None = None, k: float = 1.5,
-                       t: float = 3.0, accuracy: int | None = None) -> DataFrame:
+                       t: float = 3.0, accuracy: int | None = None, quartiles: dict | None = None) -> DataFrame:
     """IQR vs z-score counts and percentages per column."""
     cols, v = analysis_columns(df, columns), F.col("value")
-    # quartiles, mean and spread of one reading
-    stats = {r["column_name"]: r for r in _with_quartiles(df, cols, [
-        F.avg(v).alias("mu"), F.stddev_pop(v).alias("sigma"), F.count(v).alias("n_valid"), F.count(F.lit(1)).alias("n_rows")], accuracy).collect()}
-    fences = _bounds({c: r["_q"] for c, r in stats.items()}, cols, k)
+    if quartiles is None:
+        # quartiles, mean and spread of one reading
+        stats = {r["column_name"]: r for r in _with_quartiles(df, cols, [
+            F.avg(v).alias("mu"), F.stddev_pop(v).alias("sigma"), F.count(v).alias("n_valid"), F.count(F.lit(1)).alias("n_rows")], accuracy).collect()}
+        quartiles = {c: r["_q"] for c, r in stats.items()}
+    else:
+        stats = {r["column_name"]: r for r in zscore_stats(df, cols).collect()}
+    fences = _bounds(quartiles, cols, k)
     out = _wide(df, cols, lambda c, v: {
         "iqr_count": F.count_if((v < _number(fences[c][3])) | (v > _number(fences[c][4]))).cast("long"),
         "z_count": _beyond(v, stats.get(c), t), "n_valid": F.count(v)})
@@ -383,20 +388,20 @@ def gaussian_overlay(df: DataFrame, columns: list[str] | None = None, points: in
 
 
 def quartile_lines(df: DataFrame, columns: list[str] | None = None, k: float = 1.5,
-                   accuracy: int | None = None) -> DataFrame:
+                   accuracy: int | None = None, quartiles: dict | None = None) -> DataFrame:
     """Q1, median, Q3 and both IQR fences per column."""
     cols = analysis_columns(df, columns)
-    out = iqr_bounds(df, cols, k, accuracy).select("column_name", "q1", "median", "q3", "lower_bound",
+    out = iqr_bounds(df, cols, k, accuracy, quartiles).select("column_name", "q1", "median", "q3", "lower_bound",
                                                    "upper_bound")
     return _ordered(out, cols, ["column_name", "q1", "median", "q3", "lower_bound", "upper_bound"])
 
 
 def boxplot_summary(df: DataFrame, columns: list[str] | None = None, k: float = 1.5,
-                    accuracy: int | None = None) -> DataFrame:
+                    accuracy: int | None = None, quartiles: dict | None = None) -> DataFrame:
     """Quartiles, whiskers (extreme values inside the fences) and the
     number of fliers beyond them."""
     cols = analysis_columns(df, columns)
-    fences = _fences(df, cols, k, accuracy)
+    fences = _bounds(quartiles, cols, k) if quartiles is not None else _fences(df, cols, k, accuracy)
     lo, hi = (lambda c: _number(fences[c][3])), (lambda c: _number(fences[c][4]))
     out = _wide(df, cols, lambda c, v: {
         "q1": F.first(_number(fences[c][0])), "median": F.first(_number(fences[c][1])), "q3": F.first(_number(fences[c][2])),

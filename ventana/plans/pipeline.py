@@ -250,9 +250,12 @@ def run_profile(df: DataFrame, usable: list[str], k: float = 1.5, t: float = 3.0
     d, cols = analysis_columns_fallback(d, usable)
     if columns:
         cols = [c for c in cols if c in set(columns)]
-    return {"statistics": E.column_statistics(d, cols), "histogram": E.histogram(d, cols, bins),
-            "gaussian": E.gaussian_overlay(d, cols), "quartiles": E.quartile_lines(d, cols, k),
-            "boxplot": E.boxplot_summary(d, cols, k), "comparison": E.outlier_comparison(d, cols, k, t)}
+    statistics = E.column_statistics(d, cols)
+    # the quartiles are found once; what else is wanted is an aggregate each, run when it is read
+    known = {r["column_name"]: None if r["q1"] is None else [r["q1"], r["median"], r["q3"]] for r in statistics.collect()}
+    return {"statistics": statistics, "histogram": E.histogram(d, cols, bins),
+            "gaussian": E.gaussian_overlay(d, cols), "quartiles": E.quartile_lines(d, cols, k, quartiles=known),
+            "boxplot": E.boxplot_summary(d, cols, k, quartiles=known), "comparison": E.outlier_comparison(d, cols, k, t, quartiles=known)}
 
 
 def config_table(cfg: RunConfig, spark) -> DataFrame:
