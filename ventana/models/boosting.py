@@ -150,15 +150,12 @@ Shard = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # bins, target, w
 
 
 def binned(data: DataFrame, xs: list[str], cuts: list[np.ndarray], start: float) -> RDD:
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["h", *xs, "y"])
-        bins = np.column_stack([np.searchsorted(c, pdf[x].to_numpy(np.float64), "left") for x, c in zip(xs, cuts)]).astype(np.uint8)
-        return pd.DataFrame({"n": [len(pdf)], "bins": [bins.tobytes()], "y": [pdf["y"].to_numpy(np.float64).tobytes()],
-                             "w": [pdf["w"].to_numpy(np.float64).tobytes()]})
-
-    p = len(xs)
-    packed = data.groupBy("shard").applyInPandas(pack, "n long, bins binary, y binary, w binary")
-    return packed.rdd.map(lambda r: (np.frombuffer(r.bins, np.uint8).reshape(r.n, p), np.frombuffer(r.y), np.frombuffer(r.w), np.full(r.n, start)))
+    def cut(shard: tuple) -> Shard:
+        x, y, w = shard
+        bins = np.column_stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)]).astype(np.uint8)
+        return bins, y, w, np.full(len(y), start)
+
+    return shards.packed(data, len(xs)).map(cut)
 
 
 def boost(data: DataFrame, p: int, start: float, rules: Rules) -> list[Tree]:

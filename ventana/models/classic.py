@@ -1,12 +1,6 @@
-"""G1-G4, G11 -- regressors (G5: ``models.boosting``).
+"""G1, G2, G11 -- regressors (G3, G4: ``models.svr``; G5: ``models.boosting``).
 
-MLlib where its semantics fit (OLS, forests, bagging); support
-vector regression is an own iterative job (``models.shards``): each round runs
-mini-batch sub-gradient steps in fixed shards from broadcast weights and
-averages the weights in one grouped sum, until the loss settles. The RBF
-kernel uses random Fourier features (Rahimi & Recht, 2007) in numpy per Arrow
-batch: with D of them the kernel is off by O(1 / sqrt(D)); ``n_components`` is
-the parameter.
+MLlib where its semantics fit.
 
 Trees: a model lives on the driver while it grows and in the scoring
 broadcast. A forest of T trees has at most T x min(2^(depth + 1), 2 n / leaf)
@@ -18,17 +12,11 @@ to leaves of at least s // 2 rows, the nearest bound on the same splits.
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ventana.models import shards
-from ventana.models.base import LABEL, PRED, ExprFitted, Fitted, MLlibSpec, Spec, lincomb
+from ventana.models.base import MLlibSpec
 from ventana.models.boosting import GradientBoosting
+from ventana.models.svr import SVR
 
 
 def _leaf(min_samples_leaf: int, min_samples_split: int) -> int:
@@ -76,134 +64,5 @@ class DecisionTree(MLlibSpec):
         return DecisionTreeRegressor(maxDepth=int(max_depth), seed=seed, maxBins=64)
 
 
-# ------------------------------------------------------------------ SVR
-
-def _rff(n_features: int, gamma: float, n_components: int, seed: int):
-    """Random Fourier features for exp(-gamma |x - x'|^2):
-    z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma), b ~ U(0, 2 pi).
-    Returned as a numpy map applied per Arrow batch."""
-    rng = np.random.default_rng(seed)
-    W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_components, n_features))
-    b = rng.uniform(0.0, 2.0 * math.pi, size=n_components)
-    s = math.sqrt(2.0 / n_components)
-
-    def phi(X):
-        return s * np.cos(X @ W.T + b)
-    return phi
-
-
-def _svr_local(X, y, wt, theta, C, eps, n_total, epochs, lr, seed, batch: int = 64):
-    """Mini-batch sub-gradient steps on one shard for the epsilon-insensitive
-    loss with the global regulariser weight 1 / (C n); ``theta`` ends with the
-    intercept, ``wt`` counts equal rows."""
-    rng = np.random.default_rng(seed)
-    w, b, t = theta[:-1], theta[-1], 0
-    lam = 1.0 / (C * n_total)
-    batch = shards.batch_of(batch, wt)
-    for _ in range(epochs):
-        order = rng.permutation(len(y))
-        for s in range(0, len(y), batch):
-            idx = order[s:s + batch]
-            t += 1
-            eta = lr / np.sqrt(t)
-            r = y[idx] - (X[idx] @ w + b)
-            sg = np.where(r > eps, 1.0, np.where(r < -eps, -1.0, 0.0)) * wt[idx] / wt[idx].sum()
-            w = w - eta * (lam * w - sg @ X[idx])
-            b = b + eta * sg.sum()
-    return np.append(w, b)
-
-
-def _svr_fit(df: DataFrame, cols: list[str], label: str, mu: float, sd: float, C: float, epsilon: float, rounds: int, tol: float,
-             lr: float, epochs: int, seed: int, shard_rows: int, phi=None, dim: int | None = None) -> tuple[np.ndarray, float]:
-    """Weights for the label in units of ``sd`` around ``mu`` (rows are dealt
-    and ordered by the label as it is)."""
-    data, n, _ = shards.sharded(df, cols, label, shard_rows)
-    p = dim or len(cols)
-    turn = phi or (lambda X: X)
-
-    def improve(X, y, wt, theta, r, shard):
-        return _svr_local(turn(X), (y - mu) / sd, wt, theta, C, epsilon, n, epochs, lr / (1 + r), seed + 7919 * r + shard)
-
-    def loss(X, y, wt, theta):
-        r = np.abs((y - mu) / sd - (turn(X) @ theta[:-1] + theta[-1]))
-        return float((wt * np.maximum(0.0, r - epsilon)).sum() + wt.sum() * (theta[:-1] @ theta[:-1]) / (2 * C * max(1, n)))
-
-    try:
-        theta, _ = shards.fit(data, len(cols), np.zeros(p + 1), improve, loss, rounds, tol)
-    finally:
-        data.unpersist()
-    return theta[:-1], float(theta[-1])
-
-
-class SVR(Spec):
-    """G3 (linear kernel) / G4 (RBF via random Fourier features).
-
-    ``gamma='scale'`` is 1 / (p * Var(X)) over all feature values, 'auto' is
-    1 / p. The training rows are cached for the iterations, which stop when
-    the loss falls by less than ``tol`` of itself (at most ``rounds``)."""
-    name = "svm"
-    allowed = frozenset({"C", "epsilon", "kernel", "gamma", "n_components", "rounds", "tol", "lr", "epochs", "seed", "shard_rows"})
-
-    def fit(self, df: DataFrame, features: list[str], label: str = LABEL):
-        C = float(self.params.get("C", 1.0))
-        eps = float(self.params.get("epsilon", 0.1))
-        kernel = self.params.get("kernel", "rbf")
-        lr = float(self.params.get("lr", 0.5))
-        n_comp = int(self.params.get("n_components", 64))
-        seed = int(self.params.get("seed", 42))
-        how = {"rounds": int(self.params.get("rounds", 40)), "tol": float(self.params.get("tol", 1e-3)), "lr": lr,
-               "epochs": int(self.params.get("epochs", 20)), "seed": seed,
-               "shard_rows": int(self.params.get("shard_rows", shards.SHARD_ROWS))}
-        st = df.agg(F.avg(F.col(label)).alias("mu"), F.stddev_pop(F.col(label)).alias("sd"),
-                    *[F.avg(F.col(f"`{c}`")).alias(f"m{i}") for i, c in enumerate(features)],
-                    *[F.avg(F.col(f"`{c}`") * F.col(f"`{c}`")).alias(f"q{i}") for i, c in enumerate(features)]
-                    ).collect()[0]
-        mu, sd = st["mu"] or 0.0, st["sd"] or 1.0
-        sd = sd if sd > 0 else 1.0
-        feats = list(features)
-        if kernel == "linear":
-            w, b = _svr_fit(df, feats, label, mu, sd, C, eps / sd, **how)
-            return linear_svr(w, b, mu, sd, feats, self.name)
-        p = len(features)
-        gamma = self.params.get("gamma", "scale")
-        if gamma == "scale":
-            m = np.array([st[f"m{i}"] or 0.0 for i in range(p)])
-            q = np.array([st[f"q{i}"] or 0.0 for i in range(p)])
-            var_all = float(q.mean() - m.mean() ** 2)
-            gamma = 1.0 / (p * var_all) if var_all > 0 else 1.0
-        elif gamma == "auto":
-            gamma = 1.0 / p
-        w, b = _svr_fit(df, feats, label, mu, sd, C, eps / sd, **how, phi=_rff(p, float(gamma), n_comp, seed), dim=n_comp)
-        return _ArrowKernelSVR(float(gamma), seed, w, b, mu, sd, feats, self.name)
-
-
-def linear_svr(w, b, mu, sd, feats, name) -> Fitted:
-    return ExprFitted(lambda: lincomb(feats, w, b) * F.lit(sd) + F.lit(mu), feats, name,
-                      state={"w": list(map(float, w)), "b": float(b), "mu": float(mu), "sd": float(sd)})
-
-
-class _ArrowKernelSVR(Fitted):
-    """RBF-SVR prediction per Arrow batch: ``phi(X) @ w + b``, rescaled."""
-
-    def __init__(self, gamma, seed, w, b, mu, sd, features, name):
-        self.phi = _rff(len(features), gamma, len(w), seed)
-        self.w, self.b, self.mu, self.sd = np.asarray(w, dtype=np.float64), b, mu, sd
-        self.features, self.name, self.output_col = features, name, PRED
-        self.state = {"gamma": gamma, "seed": seed, "w": list(map(float, w)), "b": float(b), "mu": float(mu), "sd": float(sd)}
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        phi, w, b, mu, sd, feats, out = self.phi, self.w, self.b, self.mu, self.sd, self.features, self.output_col
-        schema = T.StructType([f for f in df.schema.fields if f.name != out] + [T.StructField(out, T.DoubleType())])
-
-        def score(it):
-            import pandas as pd
-            for pdf in it:
-                X = pdf[feats].to_numpy(dtype=np.float64)
-                v = (phi(X) @ w + b) * sd + mu
-                pdf[out] = pd.Series(np.nan_to_num(v), index=pdf.index, dtype="Float64").mask(np.isnan(v))
-                yield pdf[[f.name for f in schema.fields]]
-        return df.mapInPandas(score, schema)
-
-
 SPECS = {"logistic_regression": LinearOLS, "random_forest": RandomForest, "svm": SVR,
          "gradient_boosting": GradientBoosting, "bagging_regressor": Bagging}

@@ -11,9 +11,9 @@ from pyspark.sql import SparkSession
 
 from ventana.models.base import ExprFitted, Fitted, MLlibFitted
 from ventana.models.boosting import Boosted
-from ventana.models.classic import _ArrowKernelSVR, linear_svr
 from ventana.models.ensembles import _Chain, _WeightedMedian
 from ventana.models.mlp import _ArrowMLP, mlp_fitted
+from ventana.models.svr import KernelSVR, linear_svr
 
 
 def save_model(spark: SparkSession, model: Fitted, path: str) -> None:
@@ -25,7 +25,7 @@ def save_model(spark: SparkSession, model: Fitted, path: str) -> None:
         meta |= {"kind": "boosted", "state": model.state}
     elif isinstance(model, _ArrowMLP):
         meta |= {"kind": "mlp", "state": model.state}
-    elif isinstance(model, _ArrowKernelSVR):
+    elif isinstance(model, KernelSVR):
         meta |= {"kind": "rbf_svr", "state": model.state}
     elif isinstance(model, ExprFitted) and {"w", "b", "mu", "sd"} <= set(model.state):
         meta |= {"kind": "linear_svr", "state": model.state}
@@ -52,7 +52,7 @@ def load_model(spark: SparkSession, path: str) -> Fitted:
     if kind == "mlp":
         return mlp_fitted(np.array(st["theta"]), [tuple(s) for s in st["shapes"]], st["act"], feats, name)
     if kind == "rbf_svr":
-        return _ArrowKernelSVR(st["gamma"], int(st["seed"]), st["w"], st["b"], st["mu"], st["sd"], feats, name)
+        return KernelSVR(st["gamma"], st["marks"], st["weights"], st["intercept"], feats, name)
     if kind == "linear_svr":
         return linear_svr(st["w"], st["b"], st["mu"], st["sd"], feats, name)
     if kind == "chain":

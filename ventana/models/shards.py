@@ -14,6 +14,7 @@ The rounds stop once the loss of the averaged parameters no longer falls by
 from __future__ import annotations
 
 import numpy as np
+from pyspark import RDD
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,20 @@ def sharded(df: DataFrame, features: list[str], label: str, shard_rows: int = SH
     return out.cache(), size.n, shards
 
 
+def packed(data: DataFrame, p: int) -> RDD:
+    """``data`` as (features, labels, weights) per shard, rows in hash order."""
+    xs = [f"x{i}" for i in range(p)]
+
+    def pack(pdf):
+        import pandas as pd
+        pdf = pdf.sort_values(["h", *xs, "y"])
+        return pd.DataFrame({"n": [len(pdf)], "x": [pdf[xs].to_numpy(np.float64).tobytes()], "y": [pdf["y"].to_numpy(np.float64).tobytes()],
+                             "w": [pdf["w"].to_numpy(np.float64).tobytes()]})
+
+    got = data.groupBy("shard").applyInPandas(pack, "n long, x binary, y binary, w binary")
+    return got.rdd.map(lambda r: (np.frombuffer(r.x).reshape(r.n, p), np.frombuffer(r.y), np.frombuffer(r.w)))
+
+
 def batch_of(rows: int, w: np.ndarray) -> int:
     """How many weighted rows stand for a mini-batch of ``rows`` rows, so that
     an epoch has as many steps as without the counting of equal rows."""

@@ -125,7 +125,7 @@ def h13_cv_folds(spark, sf_dir):
 
 # All ten models, each of a size that suits some ten thousand rows.
 _RUN_PARAMS = {
-    "random_forest": {"n_estimators": 20, "max_depth": 8}, "svm": {"rounds": 6}, "gradient_boosting": {"n_estimators": 20},
+    "random_forest": {"n_estimators": 20, "max_depth": 8}, "svm": {"rounds": 30}, "gradient_boosting": {"n_estimators": 20},
     "neural_network": {"hidden_layer_sizes": (30,), "rounds": 3, "local_epochs": 10},
     "mlp_regressor": {"hidden_layer_sizes": (30,), "rounds": 4, "local_epochs": 10},
     "stacking_regressor": {"cv": 2}, "ada_boost": {"n_estimators": 6}, "bagging_regressor": {"n_estimators": 5, "max_depth": 8},
