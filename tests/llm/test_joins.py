@@ -272,6 +272,23 @@ def test_pipeline_stages(spark, words, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == after[3].count()
 
 
+def test_pipeline_of_odd_tables(spark, words, tmp_path):
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, TEXT string, Doc_Id string, score double, `class` long"
+    long = " ".join(words(1, 60_000)) + " a.b@mail1.example.com"
+    odd = [(1, None, None, None, None), (2, "", "", "", 0), (None, "no id here", "en", "x", 9), (None, "no id here", "en", "x", 9),
+           (3, long, "en", "x", len(long)), (4, "-----", "en", "x", 5), (5, "-----", "en", "x", 5)]
+    rows = [(*r, "other", "x", 0.5, 1) for r in odd]
+    for name, some, kept in (("odd", rows, [1, 2, 3, 4, None]), ("none", [], [])):
+        folder = f"{tmp_path}/{name}"
+        spark.createDataFrame(some, kinds).createOrReplaceTempView("odd_docs")
+        docs = spark.sql("select * from odd_docs")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        for _, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, folder)
+        got = docs.groupBy("doc_id").agg(F.sum("length").alias("n"), F.first("doc_tokens").alias("all")).collect()
+        assert sorted((r.doc_id for r in got), key=str) == sorted(kept, key=str) and all(r.n == r["all"] for r in got)
+
+
 def test_one_row_of_each_group_stays(spark, words):
     texts = [" ".join(words(7000 + i, 30)) for i in range(5)]
     rows = [(7, texts[0], "en", "b", 1)] * 400 + [(7, texts[0], "en", "a", 1), (8, texts[0], "en", "a", 1)]  # a repeated representative
