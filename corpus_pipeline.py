@@ -2,6 +2,9 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all documents that
 the one before kept; all but the last return the columns of ``documents``.
+Each takes these columns by exact name (others, also such that differ in case
+alone, are left behind), keeps null and repeated ids apart as stated, handles
+texts of any length whole, and turns an empty table into an empty one.
 """
 
 from __future__ import annotations
@@ -21,7 +24,9 @@ SALTS = 64
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model predicts toxic go. The model learns
-    from the labelled rows outside the held-out fold."""
+    from the labelled rows outside the held-out fold. Null and empty texts
+    hold no word and stay; repeated rows and rows without an id are judged by
+    their text like any others."""
     labels = table(spark, sf_dir, "labels").where(toxicity.fold() != 2)
     model = toxicity.train(spark, docs, labels)
     scored = toxicity.score(spark, docs, model, keep=tuple(COLUMNS[1:]))
@@ -59,7 +64,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by its kind in angle brackets; ``n_chars`` follows."""
+    """Personal data is replaced by its kind in angle brackets; ``n_chars``
+    follows where a text changed. Null texts stay null; rows without an id and
+    repeated rows are masked like any others; no row goes."""
     found = pii.recognise(spark, docs, pii.train(spark, docs), keep=("lang", "source", "n_chars"), mask=True)
     changed = F.size("base") + F.size("added") > 0
     return found.select("doc_id", F.col("masked").alias("text"), F.col("keep_lang").alias("lang"), F.col("keep_source").alias("source"),
@@ -67,7 +74,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' ids in sequences of 2048."""
+    """Pieces of the documents' ids in sequences of 2048. Null and empty texts
+    are their end id alone; every row is packed, repeated ones too."""
     return packing.pack(spark, docs, public_tokenizers.path("word_bpe_49k.json"), window=2048)
 
 
