@@ -41,7 +41,7 @@ TOLERANCE = 1e-6
 #: A block of a meeting holds about so many classes, and so many shingles, at most.
 BLOCK_CLASSES, BLOCK_SHINGLES = 1024, 1_000_000
 #: A class of more than 1 / HOT of all rows is hot.
-HOT = 4096
+HOT, SALTS = 4096, 64
 
 
 def needed(threshold: float) -> list[int]:
@@ -191,8 +191,10 @@ def join(spark: SparkSession, docs: DataFrame, threshold: float = 0.8, words: in
     named = met.select("class", "size", "reps", F.explode("reps").alias("rep"))
     sizes = named.groupBy("rep").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_CLASSES), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    dealt = named.join(sizes.select("rep", blocks.alias("blocks")), "rep").withColumn(
-        "block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    # a meeting of several blocks may be a hot key: its classes meet its block count in SALTS tasks
+    large = sizes.select("rep", blocks.alias("blocks")).where("blocks > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = named.withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(SALTS)).cast("int")).join(large, ["rep", "salt"], "left").withColumn(
+        "blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     jobs = dealt.select("class", "reps", "rep", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"))
     whole = met.select("class", "weight", "signature").join(sets, "class")
