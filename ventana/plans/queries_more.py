@@ -157,6 +157,22 @@ def b6_multi_target_holes(spark, sf_dir):
     return A.nan_as_null(S.prepare_target(_with_holes(spark, sf_dir), M3[:2]))
 
 
+@register("d5_drop_becomes_mean", f"WITH h AS MATERIALIZED ({_HOLES_SRC}), f AS (SELECT product_id, "
+          + ", ".join(f"coalesce({qi(c)}, avg({qi(c)}) OVER ()) AS {qi(c)}" for c in M3) + " FROM h) SELECT product_id, "
+          + ", ".join(r6(f"CASE WHEN {qi(c)} < 0 THEN 0 ELSE {qi(c)} END", c) for c in M3) + " FROM f")
+def d5_drop_becomes_mean(spark, sf_dir):
+    """After the split no row is dropped; 'drop' fills the column mean."""
+    cfg = D.PrepConfig(usable_columns=tuple(M3), handle_missing_values="drop", feature_scaling=None)
+    return D.FeaturePrep(cfg, passthrough=["product_id"]).fit_transform(_with_holes(spark, sf_dir))[1]
+
+
+@register("a5_catalog_load", "SELECT l_returnflag, count(*)::BIGINT AS n_rows, " + r6("sum(l_quantity)", "units") + " FROM lineitem GROUP BY l_returnflag")
+def a5_catalog_load(spark, sf_dir):
+    """A5: a table by its configured name."""
+    catalog = A.DatasetCatalog({"sales": f"{sf_dir}/lineitem.parquet"})
+    return catalog.load(spark, "sales").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").cast("double").alias("units"))
+
+
 _TWICE = (f"SELECT product_id, {qi(TARGET)} AS label FROM ({dm_sql(signed=True)}) UNION ALL "
           f"SELECT product_id, {qi(TARGET)} FROM ({dm_sql(signed=True)}) WHERE product_id % 3 = 0 UNION ALL "
           f"SELECT product_id, NULL FROM ({dm_sql(signed=True)}) WHERE product_id % 5 = 0")
@@ -197,6 +213,14 @@ def b8_template(spark, sf_dir):
     return S.build_template(spark, [c for c in B.dm_pair(spark, sf_dir).columns if c in RAW_MONTHS[:-1]])
 
 
+@register("b8_template_filled", f"SELECT {', '.join(r6(qi(c), c) for c in RAW_MONTHS[:-1])} FROM ({dm_pair_sql()})")
+def b8_template_filled(spark, sf_dir):
+    """The template takes up all rows of DM_PAIR by column name."""
+    rows = B.dm_pair(spark, sf_dir)
+    template = S.build_template(spark, RAW_MONTHS[:-1])
+    return template.unionByName(rows.select(*[F.col(f"`{c}`") for c in reversed(template.columns)]))
+
+
 # ---------------------------------------------------------------- preparation
 
 _G = "CASE WHEN product_id % 4 = 0 THEN NULL ELSE product_id % 4 END"
@@ -441,6 +465,18 @@ def g5_boosted_stumps_one(spark, sf_dir):
     return m.transform(d).select("product_id", F.col("label").alias("y"), F.col("prediction").alias("p"))
 
 
+@register("g8_voting_of_unlike_models", f"WITH t AS MATERIALIZED ({_TRAIN}), c AS (SELECT regr_slope(y, x) AS s, regr_intercept(y, x) AS i FROM t WHERE u < 0.6), "
+          "a AS MATERIALIZED (SELECT *, y - (SELECT avg(y) FROM t WHERE u < 0.6) AS r FROM t), " + _stump_sql("a", "p")
+          + f" SELECT product_id, {r6('y', 'y', 4)}, {r6('((i + s * x) + (SELECT avg(y) FROM t WHERE u < 0.6) + CASE WHEN x <= p.t THEN p.l ELSE p.h END) / 2', 'p', 4)} "
+          "FROM a, c, p", digits=4)
+def g8_voting_of_unlike_models(spark, sf_dir):
+    """The mean of a least-squares line and a boosted cut of one feature, on every row of DM."""
+    d = SP.split_data(B.dm(spark, sf_dir), "product_id").withColumnRenamed(TARGET, "label")
+    bases = [("line", LinearOLS()), ("cut", CV.get_spec("gradient_boosting", n_estimators=1, max_depth=1, learning_rate=1.0))]
+    m = CV.get_spec("voting_regressor", bases=bases).fit(d.where("split = 'train'"), [_F1])
+    return m.transform(d).select("product_id", F.col("label").alias("y"), F.col("prediction").alias("p"))
+
+
 # ------------------------------------------------------------------ K2 at length
 
 _K2 = (f"SELECT codigo_almacen, codigo_producto, x, y, {_hash("codigo_almacen || '|' || codigo_producto")} AS u FROM (SELECT DISTINCT codigo_almacen, codigo_producto, "
