@@ -69,6 +69,14 @@ class Tree:
     def predict_bins(self, bins: np.ndarray) -> np.ndarray:
         return self.value[self.descend(bins, self.cut, self.depth)]
 
+    @property
+    def state(self) -> dict:
+        return {k: getattr(self, k).tolist() for k in ("feature", "cut", "threshold", "value")}
+
+    @staticmethod
+    def load(state: dict) -> "Tree":
+        return Tree(np.array(state["feature"], np.int32), np.array(state["cut"], np.int32), np.array(state["threshold"]), np.array(state["value"]))
+
 
 @dataclass(frozen=True)
 class Rules:
@@ -141,6 +149,8 @@ def grow(tree: Tree, level: int, sums: np.ndarray, p: int, width: int, cuts: lis
         if exact[f]:
             above = b + 1 + int(np.argmax(weight[k, f, b + 1:] > 0))
             tree.threshold[node] = (cuts[f][b] + cuts[f][above]) / 2
+            # values between the two, which no row of the sums holds, go where the threshold sends them
+            tree.cut[node] = np.searchsorted(cuts[f], tree.threshold[node], "right") - 1
         tree.value[2 * node + 1], tree.value[2 * node + 2] = sl[f, b] / nl[f, b], sr[f, b] / nr[f, b]
         grown = True
     return grown
@@ -149,13 +159,13 @@ def grow(tree: Tree, level: int, sums: np.ndarray, p: int, width: int, cuts: lis
 Shard = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # bins, target, weight, running prediction
 
 
-def binned(data: DataFrame, xs: list[str], cuts: list[np.ndarray], start: float) -> RDD:
-    def cut(shard: tuple) -> Shard:
-        x, y, w = shard
-        bins = np.column_stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)]).astype(np.uint8)
-        return bins, y, w, np.full(len(y), start)
+def binned(data: DataFrame, p: int, cuts: list[np.ndarray]) -> RDD:
+    """(bins, target, weight, number) per shard."""
+    def cut(shard: tuple) -> tuple:
+        x, y, w, number = shard
+        return np.column_stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)]).astype(np.uint8), y, w, number
 
-    return shards.packed(data, len(xs)).map(cut)
+    return shards.packed(data, p).map(cut)
 
 
 def boost(data: DataFrame, p: int, start: float, rules: Rules) -> list[Tree]:
@@ -164,7 +174,7 @@ def boost(data: DataFrame, p: int, start: float, rules: Rules) -> list[Tree]:
     cuts, exact = candidate_cuts(data, xs)
     width = max(len(c) for c in cuts)
     checkpoint_dir(data.sparkSession)
-    rdd = binned(data, xs, cuts, start).persist(StorageLevel.MEMORY_AND_DISK)
+    rdd = binned(data, p, cuts).map(lambda s: (s[0], s[1], s[2], np.full(len(s[1]), start))).persist(StorageLevel.MEMORY_AND_DISK)
     trees: list[Tree] = []
     pending: list[Tree] = []
     try:
@@ -246,12 +256,11 @@ class Boosted(Fitted):
 
     @property
     def state(self) -> dict:
-        return {"start": self.start, "rate": self.rate, "trees": [{k: getattr(t, k).tolist() for k in ("feature", "cut", "threshold", "value")} for t in self.trees]}
+        return {"start": self.start, "rate": self.rate, "trees": [t.state for t in self.trees]}
 
     @staticmethod
     def of(state: dict, features: list[str], name: str) -> "Boosted":
-        trees = [Tree(np.array(t["feature"], np.int32), np.array(t["cut"], np.int32), np.array(t["threshold"]), np.array(t["value"])) for t in state["trees"]]
-        return Boosted(state["start"], state["rate"], trees, features, name)
+        return Boosted(state["start"], state["rate"], [Tree.load(t) for t in state["trees"]], features, name)
 
     def values(self, x: np.ndarray, rounds: int | None = None) -> np.ndarray:
         """Predictions after so many rounds (all: None); NaN where a feature is missing."""

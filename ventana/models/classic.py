@@ -12,7 +12,7 @@ to leaves of at least s // 2 rows, the nearest bound on the same splits.
 
 from __future__ import annotations
 
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 
 from ventana.models.base import MLlibSpec
 from ventana.models.boosting import GradientBoosting
@@ -56,13 +56,5 @@ class Bagging(MLlibSpec):
                                      minInstancesPerNode=int(min_samples_leaf), bootstrap=True, subsamplingRate=1.0, seed=seed, maxBins=64)
 
 
-class DecisionTree(MLlibSpec):
-    name = "decision_tree"
-
-    @staticmethod
-    def make(max_depth=3, seed=42):
-        return DecisionTreeRegressor(maxDepth=int(max_depth), seed=seed, maxBins=64)
-
-
 SPECS = {"logistic_regression": LinearOLS, "random_forest": RandomForest, "svm": SVR,
          "gradient_boosting": GradientBoosting, "bagging_regressor": Bagging}

@@ -1,25 +1,18 @@
-"""G8-G10 -- voting, stacking, AdaBoost.R2.
+"""G8, G9 -- voting, stacking (G10: ``models.adaboost``).
 
 Voting and stacking never join on the key: the base models are applied one
 after another to the same frame (each ``transform`` appends a column), so
-their predictions line up row by row inside one narrow plan. AdaBoost's
-boosting loop cuts its lineage with ``checkpoint()`` (reliable, in the shared
-checkpoint folder) every few rounds, so a lost executor recomputes at most a
-few rounds of weights.
+their predictions line up row by row inside one narrow plan.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ventana.models.base import LABEL, PRED, VEC, Fitted, MLlibFitted, Spec, lincomb, parallel_map
-from ventana.models.classic import DecisionTree, GradientBoosting, LinearOLS, RandomForest, SVR
-from ventana.session import checkpoint_dir
+from ventana.models.adaboost import AdaBoostR2
+from ventana.models.base import LABEL, PRED, Fitted, Spec, lincomb, parallel_map
+from ventana.models.classic import SVR, GradientBoosting, LinearOLS, RandomForest
 
 
 def default_bases():
@@ -101,77 +94,4 @@ class Stacking(Spec):
         return _Chain(fitted, lm.coefficients.toArray(), lm.intercept, list(features), self.name)
 
 
-class AdaBoostR2(Spec):
-    """AdaBoost.R2 (Drucker, 1997) with depth-3 trees, linear loss.
-    The source resamples by weight; we pass the weights to the tree
-    (``weightCol``) -- same expected objective, state it. Stops when a
-    round's weighted loss is 0 (kept) or >= 0.5 (discarded, unless it is
-    the first). Prediction = weighted median of the trees."""
-    name = "ada_boost"
-    allowed = frozenset({"n_estimators", "learning_rate", "max_depth", "checkpoint_every"})
-
-    def fit(self, df, features, label=LABEL):
-        n_est = int(self.params.get("n_estimators", 50))
-        lr = float(self.params.get("learning_rate", 1.0))
-        depth = int(self.params.get("max_depth", 3))
-        every = int(self.params.get("checkpoint_every", 5))
-        checkpoint_dir(df.sparkSession)
-        cur = df.select(*[F.col(f"`{c}`") for c in features], F.col(label), F.lit(1.0).alias("_w")).cache()
-        trees, weights, held = [], [], [cur]
-        for t in range(n_est):
-            est = DecisionTree(max_depth=depth, seed=42 + t).estimator().setWeightCol("_w")
-            pm = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol=VEC),
-                                  est.setFeaturesCol(VEC).setLabelCol(label).setPredictionCol("_p")]).fit(cur)
-            scored = pm.transform(cur).drop(VEC)
-            err = F.abs(F.col(label) - F.col("_p"))
-            # one aggregate a round: the mean loss is a ratio of sums
-            st = scored.agg(F.max(err).alias("emax"), F.sum("_w").alias("wsum"), F.sum(F.col("_w") * err).alias("werr")).first()
-            emax, wsum = st["emax"] or 0.0, st["wsum"] or 0.0
-            lbar = st["werr"] / (emax * wsum) if emax > 0 and wsum > 0 else 0.0
-            if lbar >= 0.5 and trees:
-                break
-            trees.append(MLlibFitted(pm, list(features), f"tree{t}", "_p"))
-            if lbar <= 0 or lbar >= 0.5:
-                weights.append(1.0)
-                break
-            beta = lbar / (1.0 - lbar)
-            weights.append(lr * math.log(1.0 / beta))
-            # weights matter up to a factor: this round's sum keeps them near one
-            nw = F.col("_w") / F.lit(wsum) * F.pow(F.lit(beta), (F.lit(1.0) - err / F.lit(emax)) * F.lit(lr))
-            cur = scored.select(*[F.col(f"`{c}`") for c in features], F.col(label), nw.alias("_w")).cache()
-            held.append(cur)
-            if (t + 1) % every == 0:  # cut the lineage in the shared checkpoint folder
-                cur = cur.checkpoint(eager=True)
-                for c in held:
-                    c.unpersist()
-                held = []
-        for c in held:
-            c.unpersist()
-        return _WeightedMedian(trees, weights, list(features), self.name)
-
-
-class _WeightedMedian(Fitted):
-    def __init__(self, trees, weights, features, name):
-        self.trees, self.weights, self.features, self.name = trees, weights, features, name
-        self.output_col = PRED
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        out = df
-        cols = []
-        for i, m in enumerate(self.trees):
-            c = f"_t{i}"
-            m.output_col = "_p"
-            out = m.transform(out).withColumnRenamed("_p", c)
-            cols.append(c)
-        half = 0.5 * sum(self.weights)
-        pairs = F.array_sort(F.array(*[F.struct(F.col(c).alias("p"), F.lit(float(w)).alias("w"))
-                                       for c, w in zip(cols, self.weights)]))
-        # running weight sum; the first prediction whose cumulative weight reaches half the total
-        acc = F.aggregate(pairs, F.struct(F.lit(0.0).alias("cw"), F.lit(None).cast("double").alias("med")),
-                          lambda s, x: F.struct((s["cw"] + x["w"]).alias("cw"),
-                                                F.when(s["med"].isNull() & (s["cw"] + x["w"] >= F.lit(half)), x["p"])
-                                                .otherwise(s["med"]).alias("med")))
-        return out.withColumn(self.output_col, acc["med"]).drop(*cols)
-
-
 SPECS = {"voting_regressor": Voting, "stacking_regressor": Stacking, "ada_boost": AdaBoostR2}

@@ -9,9 +9,10 @@ import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
+from ventana.models.adaboost import MedianOfTrees
 from ventana.models.base import ExprFitted, Fitted, MLlibFitted
-from ventana.models.boosting import Boosted
-from ventana.models.ensembles import _Chain, _WeightedMedian
+from ventana.models.boosting import Boosted, Tree
+from ventana.models.ensembles import _Chain
 from ventana.models.mlp import _ArrowMLP, mlp_fitted
 from ventana.models.svr import KernelSVR, linear_svr
 
@@ -33,10 +34,8 @@ def save_model(spark: SparkSession, model: Fitted, path: str) -> None:
         meta |= {"kind": "chain", "weights": model.weights, "intercept": model.intercept, "bases": [n for n, _ in model.bases]}
         for i, (_, base) in enumerate(model.bases):
             save_model(spark, base, f"{path}/base{i}")
-    elif isinstance(model, _WeightedMedian):
-        meta |= {"kind": "weighted_median", "weights": [float(w) for w in model.weights]}
-        for i, tree in enumerate(model.trees):
-            save_model(spark, tree, f"{path}/tree{i}")
+    elif isinstance(model, MedianOfTrees):
+        meta |= {"kind": "median_of_trees", "weights": model.weights, "trees": [t.state for t in model.trees]}
     else:
         raise ValueError(f"model {model.name} cannot be saved")
     spark.createDataFrame([(json.dumps(meta, default=float),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
@@ -58,5 +57,6 @@ def load_model(spark: SparkSession, path: str) -> Fitted:
     if kind == "chain":
         bases = [(n, load_model(spark, f"{path}/base{i}")) for i, n in enumerate(meta["bases"])]
         return _Chain(bases, meta["weights"], meta["intercept"], feats, name)
-    trees = [load_model(spark, f"{path}/tree{i}") for i in range(len(meta["weights"]))]
-    return _WeightedMedian(trees, meta["weights"], feats, name)
+    if kind == "median_of_trees":
+        return MedianOfTrees([Tree.load(t) for t in meta["trees"]], meta["weights"], feats, name)
+    raise ValueError(f"unknown kind of model {kind}")

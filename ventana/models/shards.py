@@ -38,17 +38,17 @@ def sharded(df: DataFrame, features: list[str], label: str, shard_rows: int = SH
 
 
 def packed(data: DataFrame, p: int) -> RDD:
-    """``data`` as (features, labels, weights) per shard, rows in hash order."""
+    """``data`` as (features, labels, weights, number) per shard, rows in hash order."""
     xs = [f"x{i}" for i in range(p)]
 
     def pack(pdf):
         import pandas as pd
         pdf = pdf.sort_values(["h", *xs, "y"])
-        return pd.DataFrame({"n": [len(pdf)], "x": [pdf[xs].to_numpy(np.float64).tobytes()], "y": [pdf["y"].to_numpy(np.float64).tobytes()],
+        return pd.DataFrame({"shard": pdf["shard"].iloc[:1].to_numpy(), "n": [len(pdf)], "x": [pdf[xs].to_numpy(np.float64).tobytes()], "y": [pdf["y"].to_numpy(np.float64).tobytes()],
                              "w": [pdf["w"].to_numpy(np.float64).tobytes()]})
 
-    got = data.groupBy("shard").applyInPandas(pack, "n long, x binary, y binary, w binary")
-    return got.rdd.map(lambda r: (np.frombuffer(r.x).reshape(r.n, p), np.frombuffer(r.y), np.frombuffer(r.w)))
+    got = data.groupBy("shard").applyInPandas(pack, "shard int, n long, x binary, y binary, w binary")
+    return got.rdd.map(lambda r: (np.frombuffer(r.x).reshape(r.n, p), np.frombuffer(r.y), np.frombuffer(r.w), r.shard))
 
 
 def batch_of(rows: int, w: np.ndarray) -> int:
