@@ -180,7 +180,7 @@ def join(spark: SparkSession, docs: DataFrame, threshold: float = 0.8, words: in
     buckets = bands.groupBy("bucket").agg(F.min("class").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
     # at most BANDS names per class
     met = bands.join(buckets, "bucket").groupBy("class").agg(F.collect_set("rep").alias("reps"))
-    met, _ = materialise(spark, met.join(classes.select("class", "weight", "size", "signature", "one"), "class"), "ngram-met")
+    met, _ = materialise(spark, met.join(classes.select("class", "weight", "size", "signature", "one").hint("merge"), "class"), "ngram-met")
 
     # whole sets of the classes that meet anyone: one text each
     one = met.select(F.col("one.doc_id").alias("one_id"), F.col("one.text_key").alias("one_key"))
@@ -203,7 +203,8 @@ def join(spark: SparkSession, docs: DataFrame, threshold: float = 0.8, words: in
     def meet(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         return compare(group, key[0], key[1], key[2], threshold, least)
 
-    found = jobs.join(whole, "class").groupBy("rep", "first", "second").applyInPandas(meet, "class bigint, links bigint, root bigint")
+    # both sides grow with the data: one plan at every size
+    found = jobs.join(whole.hint("merge"), "class").groupBy("rep", "first", "second").applyInPandas(meet, "class bigint, links bigint, root bigint")
     found, _ = materialise(spark, found, "ngram-links")
     roots = components(spark, found.where("root is not null").select("class", "root")).select(F.col("node").alias("class"), "root")
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
