@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from pyspark import RDD
 
+from ventana.models.adaboost import AdaBoostR2
+from ventana.models.boosting import GradientBoosting
 from ventana.models.svr import SVR
 
 
@@ -27,6 +29,13 @@ def table(spark, n=1200):
     return spark.createDataFrame([(*map(float, r), float(r[0] - r[1] + (r[2] > 90) * 50)) for r in x], "a double, b double, c double, label double")
 
 
+@pytest.mark.parametrize("spec", [GradientBoosting(n_estimators=2, shard_rows=100), AdaBoostR2(n_estimators=2, shard_rows=100)])
+def test_trees_bring_a_few_numbers_a_node(spark, brought, spec):
+    spec.fit(table(spark), ["a", "b", "c"])
+    # 12 shards; the sums of the third level were 4 nodes x 3 features x 200 bins x 2 numbers each
+    assert len(brought) >= 6 and max(size for _, size in brought) < 4000
+
+
 @pytest.mark.parametrize("kernel", ["linear", "rbf"])
 def test_svr_brings_one_sum_a_pass(spark, brought, kernel):
     m = SVR(kernel=kernel, n_components=16, shard_rows=100).fit(table(spark), ["a", "b", "c"])
