@@ -184,8 +184,9 @@ def join(spark: SparkSession, docs: DataFrame, threshold: float = 0.8, words: in
 
     # whole sets of the classes that meet anyone: one text each
     one = met.select(F.col("one.doc_id").alias("one_id"), F.col("one.text_key").alias("one_key"))
+    # every text is read and dealt out here: one plan at every size, as for the joins below
     chosen = src.withColumn("text_key", F.xxhash64("text")).join(
-        one, F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_key") == F.col("one_key")), "left_semi")
+        one.hint("merge"), F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_key") == F.col("one_key")), "left_semi")
     sets = sets_of(chosen, words).dropDuplicates(["class"])
 
     named = met.select("class", "size", "reps", F.explode("reps").alias("rep"))
