@@ -7,9 +7,13 @@ sequence intervals with a bounding box each. Two intervals meet only where
 their boxes come within eps; there they are halved again and again, halves
 whose boxes are farther apart than eps are skipped, and the rest are compared.
 
-Equal vectors count as one with a weight, so copies are never expanded, and a
-meeting of two intervals returns counts and a spanning forest: as many rows as
-it has vectors, whatever the number of links.
+Equal vectors count as one with a weight, so copies are never expanded. An
+interval is one row of a table in the shared folder, and a task reads some of
+these against some others (a cartesian product of the files' splits): whatever
+the number of meetings, no vector is shuffled for one, and disk grows with the
+vectors. A task returns counts and a spanning forest of all its meetings: as many
+rows as it has vectors at most, whatever the number of links. Vectors of single
+precision are kept in it; two 64-bit hashes of the unit vector name a class.
 """
 
 from __future__ import annotations
@@ -17,57 +21,68 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ventana.llm.common import pick
-from ventana.llm.graph import components, spanning
+from ventana.llm.graph import components
 from ventana.session import materialise
 
-#: Vectors of a sequence interval; vectors at which the halving ends.
-INTERVAL, LEAF = 4096, 512
-#: Leading principal dimensions in the grid, and of these in the key by which intervals find each other.
-GRID, KEY = 8, 2
+#: Vectors of a sequence interval, and their bytes at most; vectors at which the halving ends.
+INTERVAL, BYTES, LEAF = 4096, 4_000_000, 512
+#: Leading principal dimensions in the grid.
+GRID = 8
 #: Single-precision products are trusted beyond this distance from the threshold.
 MARGIN = 1e-4
 
 
-def unit_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """``vec_id, x``: every row; x is the packed unit vector, null for vectors that link with nothing."""
-
-    def unit(v) -> bytes | None:
-        if v is None or any(x is None for x in v):
-            return None
-        x = np.asarray(v, dtype=np.float64)
-        if not len(x) or not np.isfinite(x).all() or not x.any():
-            return None
-        x = x / np.abs(x).max()
-        return (x / np.sqrt(x @ x)).astype("<f8").tobytes()
+def unit_vectors(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, str]:
+    """``vec_id, v, k1, k2``: every row; v is the packed vector and the keys are
+    hashes of its unit vector, null for vectors that link with nothing. And v's numpy type."""
+    src = pick(vectors, vec_id=id_col, vec=vec_col)
+    kind = "<f4" if src.schema["vec"].dataType.elementType == T.FloatType() else "<f8"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), pa.array([unit(v) for v in batch.column("vec").to_pylist()], pa.binary())], ["vec_id", "x"])
+            raw, unit = [], []
+            for v in batch.column("vec").to_pylist():
+                x = None if v is None or any(c is None for c in v) else np.asarray(v, dtype=np.float64)
+                ok = x is not None and len(x) and np.isfinite(x).all() and x.any()
+                raw.append(x.astype(kind).tobytes() if ok else None)
+                unit.append(units(x[None, :]).tobytes() if ok else None)
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(raw, pa.binary()), pa.array(unit, pa.binary())], ["vec_id", "v", "x"])
+
+    made = src.mapInArrow(run, f"vec_id {src.schema['vec_id'].dataType.simpleString()}, v binary, x binary")
+    known = F.col("x").isNotNull()
+    return made.select("vec_id", "v", F.when(known, F.xxhash64("x")).alias("k1"), F.when(known, F.xxhash64(F.lit(1), "x")).alias("k2")), kind
+
+
+def units(x: np.ndarray) -> np.ndarray:
+    """The rows, finite and not zero, at length 1."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
-    src = pick(vectors, vec_id=id_col, vec=vec_col)
-    return src.mapInArrow(run, f"vec_id {src.schema['vec_id'].dataType.simpleString()}, x binary")
 
+def unpacked(v: list[bytes], kind: str, dims: int) -> np.ndarray:
+    return units(np.frombuffer(b"".join(v), dtype=kind).reshape(-1, dims).astype(np.float64))
 
-def principal_axes(reps: DataFrame, dims: int) -> np.ndarray:
+
+def principal_axes(reps: DataFrame, kind: str, dims: int) -> np.ndarray:
     """Columns: the axes of the vectors' second moments, largest first. Sums
     of products are added up by Spark; dims x dims numbers come back."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gram = np.zeros((dims, dims))
         for batch in batches:
-            x = np.frombuffer(b"".join(batch.column("x").to_pylist()), dtype="<f8").reshape(-1, dims)
+            x = unpacked(batch.column("v").to_pylist(), kind, dims)
             gram += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array(range(dims * dims), pa.int32()), pa.array(gram.ravel())], ["at", "value"])
 
     gram = np.zeros(dims * dims)
-    for r in reps.select("x").mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect():
+    for r in reps.select("v").mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect():
         gram[r.at] = r.value
     # rounded: the order of the sums must not change the grid between two computations of it
     values, axes = np.linalg.eigh(np.round(gram.reshape(dims, dims), 6))
@@ -128,123 +143,131 @@ def join(spark: SparkSession, vectors: DataFrame, cosine: float = 0.95,
     kept). A null vec_id is passed by in minima; a component of null ids alone
     has a null id and kept is false. An empty table gives an empty one.
     """
-    rows, _ = materialise(spark, unit_vectors(vectors, id_col, vec_col), "grid-vectors")
-    reps = rows.where("x is not null").groupBy("x").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("least"))
+    rows, kind = unit_vectors(vectors, id_col, vec_col)
+    reps = rows.where("k1 is not null").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("least"), F.first("v").alias("v"))
     reps, _ = materialise(spark, reps.withColumn("uid", F.monotonically_increasing_id()), "grid-classes")
-    links = [_links(spark, reps.where(F.octet_length("x") == r.size), r.size // 8, cosine)
-             for r in reps.select(F.octet_length("x").alias("size")).distinct().orderBy("size").collect()]
-    met = links[0] if links else spark.createDataFrame([], "uid bigint, links bigint, root bigint")
+    links = [_links(spark, reps.where(F.octet_length("v") == r.size), kind, r.size // np.dtype(kind).itemsize, cosine)
+             for r in reps.select(F.octet_length("v").alias("size")).distinct().orderBy("size").collect()]
+    met = links[0] if links else spark.createDataFrame([], MET)
     for more in links[1:]:
         met = met.unionByName(more)
     met, _ = materialise(spark, met, "grid-links")
     found = met.groupBy("uid").agg(F.sum("links").alias("links"))
     roots = components(spark, met.where("root is not null").select("uid", "root"))
     classes = (reps.join(found, "uid", "left").join(roots, reps.uid == roots.node, "left")
-               .select("x", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
+               .select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
                        F.coalesce("root", "uid").alias("root"), "least"))
     names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = classes.join(names, "root").select("x", "n_links", "component_id")
-    out = rows.where("x is not null").join(classes, "x").select("vec_id", "n_links", "component_id")
-    alone = rows.where("x is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    classes = classes.join(names, "root").select("k1", "k2", "n_links", "component_id")
+    out = rows.where("k1 is not null").select("vec_id", "k1", "k2").join(classes, ["k1", "k2"]).select("vec_id", "n_links", "component_id")
+    alone = rows.where("k1 is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return out.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
-def _links(spark: SparkSession, reps: DataFrame, dims: int, cosine: float) -> DataFrame:
-    """``uid, links, root``: per meeting of two intervals each vector's
-    weighted links, and the smallest vector it hangs together with there."""
-    axes = principal_axes(reps, dims)
+MET = "uid bigint, links bigint, root bigint"
+
+
+def _links(spark: SparkSession, reps: DataFrame, kind: str, dims: int, cosine: float) -> DataFrame:
+    """``uid, links, root``: per task of meetings each vector's weighted links
+    there, and the smallest vector it hangs together with."""
+    axes = principal_axes(reps, kind, dims)
     eps = float(np.sqrt(max(0.0, 2 - 2 * cosine))) or 1e-9
-    lead, key = min(GRID, dims), min(KEY, dims)
+    lead, most = min(GRID, dims), min(INTERVAL, max(LEAF, BYTES // (dims * np.dtype(kind).itemsize)))
     cells = [f"c{i}" for i in range(lead)]
 
     def grid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.frombuffer(b"".join(batch.column("x").to_pylist()), dtype="<f8").reshape(-1, dims)
-            cell = np.floor((x @ axes[:, :lead]) / eps).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("weight"), batch.column("x"),
-                                              *[pa.array(cell[:, i]) for i in range(lead)]], ["uid", "weight", "x", *cells])
+            cell = np.floor((unpacked(batch.column("v").to_pylist(), kind, dims) @ axes[:, :lead]) / eps).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("weight"), batch.column("v"),
+                                              *[pa.array(cell[:, i]) for i in range(lead)]], ["uid", "weight", "v", *cells])
 
-    placed = reps.select("uid", "weight", "x").mapInArrow(
-        grid, "uid bigint, weight bigint, x binary, " + ", ".join(f"{c} int" for c in cells))
+    placed = reps.select("uid", "weight", "v").mapInArrow(
+        grid, "uid bigint, weight bigint, v binary, " + ", ".join(f"{c} int" for c in cells))
     n = reps.count()
-    placed = placed.repartitionByRange(max(1, -(-n // INTERVAL)), *cells, "uid").sortWithinPartitions(*cells, "uid")
+    placed = placed.repartitionByRange(max(1, -(-n // most)), *cells, "uid").sortWithinPartitions(*cells, "uid")
 
     def intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Numbers the sequence intervals and adds their boxes to each row."""
-        from pyspark import TaskContext
-        part, seen, waiting = TaskContext.get().partitionId(), 0, []
-
-        def cut(held: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
-            t = pa.Table.from_batches(held).combine_chunks()
-            x = np.frombuffer(b"".join(t.column("x").to_pylist()), dtype="<f8").reshape(-1, dims) @ axes
-            low, high = x.min(axis=0).astype("<f8").tobytes(), x.max(axis=0).astype("<f8").tobytes()
-            k = len(t)
-            return pa.RecordBatch.from_arrays(
-                [t.column("uid").combine_chunks(), t.column("weight").combine_chunks(), pa.array([r.astype("<f8").tobytes() for r in x], pa.binary()),
-                 pa.array([(part << 32) + number] * k, pa.int64()), pa.array(range(k), pa.int32()), pa.array([low] * k, pa.binary()), pa.array([high] * k, pa.binary()),
-                 *[t.column(c).combine_chunks() for c in cells[:key]]],
-                ["uid", "weight", "y", "interval", "pos", "low", "high", *cells[:key]])
-
-        number = 0
+        """A row per sequence interval: its vectors and their box."""
+        part, held, number, waiting = TaskContext.get().partitionId(), 0, 0, []
+
+        def cut() -> pa.RecordBatch:
+            t = pa.Table.from_batches(waiting)
+            v = t.column("v").to_pylist()
+            y = unpacked(v, kind, dims) @ axes
+            uid, weight = (t.column(c).to_numpy().astype("<i8").tobytes() for c in ("uid", "weight"))
+            return pa.RecordBatch.from_arrays([pa.array([(part << 32) + number], pa.int64()), *[pa.array([b], pa.binary()) for b in (uid, weight, b"".join(v))],
+                                               *[pa.array([b.tolist()], pa.list_(pa.float64())) for b in (y.min(axis=0), y.max(axis=0))]],
+                                              ["interval", "uid", "weight", "v", "low", "high"])
+
         for batch in batches:
             while batch.num_rows:
-                take = min(INTERVAL - seen, batch.num_rows)
-                waiting.append(batch.slice(0, take))
-                batch, seen = batch.slice(take), seen + take
-                if seen == INTERVAL:
-                    yield cut(waiting, number)
-                    waiting, seen, number = [], 0, number + 1
+                take = min(most - held, batch.num_rows)
+                waiting.append(batch.select(["uid", "weight", "v"]).slice(0, take))
+                batch, held = batch.slice(take), held + take
+                if held == most:
+                    yield cut()
+                    waiting, held, number = [], 0, number + 1
         if waiting:
-            yield cut(waiting, number)
+            yield cut()
 
     cut, _ = materialise(spark, placed.mapInArrow(
-        intervals, "uid bigint, weight bigint, y binary, interval bigint, pos int, low binary, high binary, "
-                   + ", ".join(f"{c} int" for c in cells[:key])), "grid-intervals")
-    # which intervals can meet: neighbours in the leading cells whose boxes come within eps
-    boxes = cut.groupBy("interval", *cells[:key]).agg(F.first("low").alias("low"), F.first("high").alias("high"))
-    left, right = boxes, boxes.select(F.col("interval").alias("other"), F.col("low").alias("low2"), F.col("high").alias("high2"),
-                                      *[F.col(c).alias(f"{c}_2") for c in cells[:key]])
-    for c in cells[:key]:
-        left = left.withColumn(f"{c}_2", F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1)))
-    near = left.join(right, [f"{c}_2" for c in cells[:key]]).where("interval <= other")
-    near = near.dropDuplicates(["interval", "other"]).select("interval", "other", "low", "high", "low2", "high2")
-
-    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lo, hi, lo2, hi2 = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<f8").reshape(-1, dims)
-                                for c in ("low", "high", "low2", "high2"))
-            gap = np.maximum(0.0, np.maximum(lo - hi2, lo2 - hi))
-            keep = pa.array((gap * gap).sum(axis=1) <= eps * eps * (1 + 1e-6) + 1e-9)
-            yield batch.select(["interval", "other"]).filter(keep)
-
-    near, _ = materialise(spark, near.mapInArrow(within, "interval bigint, other bigint"), "grid-meetings")
-    first = near.join(cut, "interval").withColumn("side", F.lit(0))
-    second = near.where("interval != other").join(cut.withColumnRenamed("interval", "other"), "other").withColumn("side", F.lit(1))
-    cols = ["interval", "other", "side", "pos", "uid", "weight", "y"]
-
-    def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["side", "pos"])
-        u, v = rows[rows["side"] == 0], rows[rows["side"] == 1]
-        same = not len(v)
-        v = u if same else v
-        x, y = (np.frombuffer(b"".join(z["y"]), dtype="<f8").reshape(-1, dims) for z in (u, v))
-        links = [np.zeros(len(u), np.int64), np.zeros(len(v), np.int64)]
-        uid = u["uid"].tolist() if same else u["uid"].tolist() + v["uid"].tolist()
-        shift = 0 if same else len(u)
-        rank = np.argsort(np.argsort(np.array(uid)))  # so that the smallest uid is the root
-
-        def pairs():
+        intervals, "interval bigint, uid binary, weight binary, v binary, low array<double>, high array<double>"), "grid-intervals")
+    other = cut.select(*[F.col(c).alias(f"{c}_2") for c in cut.columns])
+
+    def beyond(low: str, high: str):
+        return F.zip_with(low, high, lambda a, b: F.greatest(a - b, F.lit(0.0)))
+
+    # apart in a dimension: one of the two is zero
+    gap = F.aggregate(F.concat(beyond("low", "high_2"), beyond("low_2", "high")), F.lit(0.0), lambda s, g: s + g * g)
+    near = cut.hint("shuffle_replicate_nl").join(other, (F.col("interval") <= F.col("interval_2")) & (gap <= eps * eps * (1 + 1e-6) + 1e-9))
+
+    def meet(rows: Iterator[Row]) -> Iterator[tuple]:
+        at: dict[int, np.ndarray] = {}  # an interval's vectors by their number in this task
+        uids: list[np.ndarray] = []
+        links, up = np.zeros(0, np.int64), []
+
+        def top(i: int) -> int:
+            while up[i] != i:
+                up[i] = up[up[i]]
+                i = up[i]
+            return i
+
+        def side(number: int, uid: bytes, weight: bytes, v: bytes) -> tuple:
+            nonlocal links
+            if number not in at:
+                ids = np.frombuffer(uid, "<i8")
+                at[number] = np.arange(len(up), len(up) + len(ids))
+                uids.append(ids)
+                up.extend(range(len(up), len(up) + len(ids)))
+                links = np.concatenate([links, np.zeros(len(ids), np.int64)])
+            return at[number], np.frombuffer(weight, "<i8"), unpacked([bytes(v)], kind, dims) @ axes
+
+        before, first = None, None
+        for r in rows:
+            if r.interval != before:
+                before, first = r.interval, side(r.interval, r.uid, r.weight, r.v)
+            same = r.interval == r.interval_2
+            (a, wa, x), (b, wb, y) = first, first if same else side(r.interval_2, r.uid_2, r.weight_2, r.v_2)
             for i, j in _meet(x, y, same, cosine, eps):
-                links[0] += np.bincount(i, v["weight"].to_numpy()[j], len(u)).astype(np.int64)
-                links[1] += np.bincount(j, u["weight"].to_numpy()[i], len(v)).astype(np.int64)
-                yield from zip(rank[i].tolist(), rank[j + shift].tolist())
-
-        by_rank = np.sort(np.array(uid))
-        root = {int(by_rank[i]): int(by_rank[r]) for i, r in spanning(len(uid), pairs())}
-        total = links[0] + links[1] if same else np.concatenate(links)
-        out = [(i, int(t), root.get(i)) for i, t in zip(uid, total) if t]
-        return pd.DataFrame({"uid": pd.Series([r[0] for r in out], dtype="int64"), "links": pd.Series([r[1] for r in out], dtype="int64"),
-                             "root": pd.Series([r[2] for r in out], dtype="Int64")})
-
-    return first.select(*cols).unionByName(second.select(*cols)).groupBy("interval", "other").applyInPandas(
-        meet, "uid bigint, links bigint, root bigint")
+                np.add.at(links, a[i], wb[j])
+                np.add.at(links, b[j], wa[i])
+                i, j = a[i], b[j]
+                # what hangs together already is passed by
+                some, place = np.unique(np.concatenate([i, j]), return_inverse=True)
+                roots = np.array([top(k) for k in some.tolist()])[place]
+                apart = roots[:len(i)] != roots[len(i):]
+                for k, m in zip(i[apart].tolist(), j[apart].tolist()):
+                    k, m = top(k), top(m)
+                    if k != m:
+                        up[max(k, m)] = min(k, m)
+        if not uids:
+            return
+        uid, root = np.concatenate(uids), np.array([top(k) for k in range(len(up))])
+        least = np.full(len(up), np.iinfo(np.int64).max)
+        np.minimum.at(least, root, uid)
+        least = least[root]
+        for k in np.flatnonzero(links).tolist():
+            yield int(uid[k]), int(links[k]), None if least[k] == uid[k] else int(least[k])
+
+    met = near.select("interval", "uid", "weight", "v", "interval_2", "uid_2", "weight_2", "v_2").rdd.mapPartitions(meet)
+    return spark.createDataFrame(met, MET, verifySchema=False)
